@@ -17,7 +17,12 @@ def zero_fill(value: Column, width: int) -> Column:
 
 def base64_line(payload: Column | str) -> Column:
     """Base64 on one line, whatever the session says about chunking."""
-    return F.translate(F.base64(payload), "\r\n", "")
+    return F.replace(F.base64(payload), F.lit("\r\n"), F.lit(""))
+
+
+def base64_length(payload: Column | str) -> Column:
+    """Length of ``base64_line`` without encoding: four letters for every three bytes begun."""
+    return F.ceil(F.octet_length(payload) / 3) * 4
 
 
 def base64_bytes(text: Column | str) -> Column:

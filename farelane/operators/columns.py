@@ -38,13 +38,33 @@ def alphabetical(df: DataFrame) -> DataFrame:
 
 
 def is_known(df: DataFrame, name: str) -> Column:
-    """Neither null nor NaN. Plain predicates, so the null part reaches the file scan."""
+    """Neither null nor NaN; true or false, never null."""
     column = F.col(name)
     if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-        return column.isNotNull() & ~F.isnan(column)
+        return F.coalesce(_not_nan(column), F.lit(False))
     return column.isNotNull()
 
 
+def _not_nan(column: Column) -> Column:
+    """NaN sorts above infinity, so one comparison refuses it and, in a filter, null as well."""
+    return column <= F.lit(float("inf"))
+
+
 def drop_incomplete(df: DataFrame, *names: str) -> DataFrame:
-    """Keeps rows in which every named column (default: every column) is known."""
-    return df.where(reduce(Column.__and__, (is_known(df, name) for name in names or df.columns)))
+    """Keeps rows in which every named column (default: every column) is known.
+
+    One plain predicate per column, which the file scan can use.
+    """
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))}
+    known = [_not_nan(F.col(n)) if n in floating else F.col(n).isNotNull() for n in names or df.columns]
+    return df.where(reduce(Column.__and__, known))
+
+
+def select_if(df: DataFrame, condition: Column, *columns: Column | str) -> DataFrame:
+    """Columns of the rows that meet the condition.
+
+    For conditions on parsed or decoded columns: a plain filter is moved below
+    the projection that computes them, which then does its work twice.
+    """
+    kept = F.explode(F.when(condition, F.array(F.struct(*columns))))
+    return df.select(kept.alias("_kept")).select("_kept.*")

@@ -65,7 +65,8 @@ def clean_trips(
     if null_policy == "strict":
         complete = drop_incomplete(df)
         joined = drop_incomplete(add_both_coordinates(complete, zones, how), *COORDINATES)
-        return alphabetical(drop_incomplete(_names_and_types(joined, service)))
+        typed = _names_and_types(joined, service)
+        return alphabetical(drop_incomplete(typed, *[name for name in TYPES if name in typed.columns]))
     typed = drop_incomplete(_names_and_types(df.drop("ehail_fee"), service))
     return alphabetical(drop_incomplete(add_both_coordinates(typed, zones, how), *COORDINATES))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from farelane.functions.calendar import time_from_micros
+from farelane.operators.columns import select_if
 from farelane.schemas import CORRUPT, GREEN_AFTER, GREEN_TIMES, change_envelope
 
 
@@ -44,13 +45,8 @@ def decode_changes(messages: DataFrame) -> DataFrame:
 def parse_changes(messages: DataFrame) -> DataFrame:
     """After-images as trip rows. Messages without one give no row; updates are further rows."""
     after = F.col("data.payload.after")
-    images = decode_changes(messages).select(F.explode(F.when(after.isNotNull(), F.array(after))).alias("after"))
-    return images.select(
-        *[
-            (time_from_micros(f"after.{name}") if name in GREEN_TIMES else F.col(f"after.{name}")).alias(name)
-            for name in GREEN_AFTER.names
-        ]
-    )
+    images = select_if(decode_changes(messages), after.isNotNull(), "data.payload.after.*")
+    return images.withColumns({name: time_from_micros(name) for name in GREEN_TIMES})
 
 
 def rejected_changes(messages: DataFrame) -> DataFrame:
@@ -61,10 +57,8 @@ def rejected_changes(messages: DataFrame) -> DataFrame:
         .when(F.col("data.payload.op") == "d", "delete")
         .otherwise("no_after")
     )
-    decoded = decode_changes(messages)
-    return decoded.select(
-        "value", F.when(F.col("data.payload.after").isNull(), reason).alias("reason")
-    ).where("reason IS NOT NULL")
+    without = F.col("data.payload.after").isNull()
+    return select_if(decode_changes(messages), without, "value", reason.alias("reason"))
 
 
 def running_counts(trips: DataFrame) -> DataFrame:

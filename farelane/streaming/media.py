@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from farelane.functions.text import base64_bytes, base64_line, object_path
+from farelane.functions.text import base64_bytes, base64_length, base64_line, object_path
+from farelane.operators.columns import select_if
 from farelane.schemas import MEDIA_METADATA
 from farelane.sinks.objects import Put, write_objects
 
@@ -23,17 +24,25 @@ MAX_MESSAGE_BYTES = 5 * 1024 * 1024
 
 
 def encode_media(files: DataFrame, kind: str) -> DataFrame:
-    """Messages from rows with ``id``, ``year``, ``month``, ``day`` and binary ``content``."""
+    """Messages from rows with ``id``, ``year``, ``month``, ``day`` and binary ``content``.
+
+    ``n_bytes`` is the length of the message, found without encoding the
+    content, so that refused messages are never built.
+    """
     field = KINDS[kind][0]
-    metadata = F.struct(*[F.col(name).cast("string").alias(name) for name in MEDIA_METADATA.names])
-    message = F.struct(base64_line("content").alias(field), metadata.alias("metadata"))
-    return files.select("id", F.to_json(message).alias("value"))
+    metadata = F.struct(*[F.col(name).cast("string").alias(name) for name in MEDIA_METADATA.names]).alias("metadata")
+    empty = F.to_json(F.struct(F.lit("").alias(field), metadata))
+    return files.select(
+        "id",
+        (F.octet_length(empty) + base64_length("content")).alias("n_bytes"),
+        F.to_json(F.struct(base64_line("content").alias(field), metadata)).alias("value"),
+    )
 
 
 def refusal(max_bytes: int = MAX_MESSAGE_BYTES) -> Column:
     """Why a message may not be sent, null if it may."""
     return F.when(F.coalesce(F.length("id"), F.lit(0)) == 0, "no_id").when(
-        F.octet_length("value") > max_bytes, "too_long"
+        F.col("n_bytes") > max_bytes, "too_long"
     )
 
 
@@ -43,7 +52,7 @@ def sendable(messages: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFra
 
 def refused(messages: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
     """Refused messages: id, length in bytes and reason."""
-    marked = messages.select("id", F.octet_length("value").alias("n_bytes"), refusal(max_bytes).alias("reason"))
+    marked = messages.select("id", "n_bytes", refusal(max_bytes).alias("reason"))
     return marked.where("reason IS NOT NULL")
 
 
@@ -64,7 +73,7 @@ def decode_media(messages: DataFrame, kind: str, *keep: str) -> DataFrame:
 
 def whole(objects: DataFrame) -> DataFrame:
     """Objects that can be stored."""
-    return objects.where(F.col("path").isNotNull() & F.col("content").isNotNull())
+    return select_if(objects, F.col("path").isNotNull() & F.col("content").isNotNull(), *objects.columns)
 
 
 def latest_per_path(objects: DataFrame, order: str) -> DataFrame:

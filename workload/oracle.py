@@ -140,8 +140,9 @@ habits AS (SELECT *, CAST(row_number() OVER (PARTITION BY id_customer
 def _usual(name: str) -> str:
     """The most frequent value of one column for each customer."""
     return f"""
-usual_{name} AS (SELECT id_customer, {name}, count(*) AS trips FROM trips GROUP BY id_customer, {name}
-  QUALIFY row_number() OVER (PARTITION BY id_customer ORDER BY trips DESC, {name} NULLS FIRST) = 1)"""
+usual_{name} AS (
+  SELECT id_customer, {name}, n FROM (SELECT id_customer, {name}, count(*) AS n FROM trips GROUP BY id_customer, {name})
+  QUALIFY row_number() OVER (PARTITION BY id_customer ORDER BY n DESC, {name} NULLS FIRST) = 1)"""
 
 
 TOTALS = """
@@ -150,7 +151,7 @@ totals AS (SELECT id_customer, count(*) AS trip_count, sum(total_amount) AS tota
              sum(tip_amount) / count(*) AS avg_tip
            FROM trips GROUP BY id_customer)"""
 
-PROFILE = """SELECT id_customer AS "customerID", z.trips AS count, trip_count, total_spent, avg_spent, total_tip, avg_tip,
+PROFILE = """SELECT id_customer AS "customerID", z.n AS count, trip_count, total_spent, avg_spent, total_tip, avg_tip,
     pulocationid AS "LocationID", zone, service_zone, pickup_time_of_day
   FROM totals JOIN usual_pulocationid z USING (id_customer) JOIN usual_pickup_time_of_day USING (id_customer)
   JOIN zones ON pulocationid = "LocationID" """
@@ -182,7 +183,7 @@ files AS (SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN '' ELSE CAST(doc_id AS V
     lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') AS day, text, base64(encode(text)) AS image_data,
   FROM documents),
 messages AS (SELECT *, CAST(octet_length(encode('{"image_data":"' || image_data || '","metadata":{"id":"' || id
-    || '","year":"' || year || '","month":"' || month || '","day":"' || day || '"}}')) AS INTEGER) AS n_bytes
+    || '","year":"' || year || '","month":"' || month || '","day":"' || day || '"}}')) AS BIGINT) AS n_bytes
   FROM files),
 objects AS (SELECT format('image/{}/{}/{}/{}.jpg', year, month, day, id) AS path, 'image/jpeg' AS content_type,
     octet_length(encode(text)) AS n_bytes, md5(text) AS digest

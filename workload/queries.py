@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 DAY = "1998-03-17"
 SERVICE = "yellow"
 TOP_K = 10
-CUSTOMER = 150
+CUSTOMER = 151
 SAMPLE_ROWS = 1000
 PUBLISHED_ROWS = 50
 MEDIA_BYTES = 48 * 1024
@@ -128,9 +128,12 @@ def calendar_mix(spark, sf_dir):
 # Cleaning
 
 
-def _cleaned(spark, sf_dir, service, null_policy="strict", how="left"):
-    raw = _raw(spark, sf_dir, service)
-    return _local_times(clean_trips(raw, tables.zones(spark, sf_dir), service, null_policy, how))
+def _processed(spark, sf_dir, service, null_policy="strict", how="left"):
+    return clean_trips(_raw(spark, sf_dir, service), tables.zones(spark, sf_dir), service, null_policy, how)
+
+
+def _cleaned(*args, **options):
+    return _local_times(_processed(*args, **options))
 
 
 @register
@@ -174,8 +177,8 @@ def all_trips_cleaned(spark, sf_dir):
 
 @register
 def fact_rollup_all(spark, sf_dir):
-    green, yellow = (fact_rollup(_cleaned(spark, sf_dir, s), f"{s}_tripdata") for s in ("green", "yellow"))
-    return yellow.unionByName(green)
+    green, yellow = (fact_rollup(_processed(spark, sf_dir, s), f"{s}_tripdata") for s in ("green", "yellow"))
+    return _local_times(yellow.unionByName(green))
 
 
 # Customers
@@ -464,9 +467,9 @@ def cdc_stream_customer_count(spark, sf_dir):
 
 @register
 def cdc_replay(spark, sf_dir):
-    """Messages written as files and replayed file by file."""
+    """Messages written as files and replayed file by file; an empty message becomes an empty line."""
     feed, folder = scratch_folder(spark, "feed"), scratch_folder(spark, "changes")
-    write_text_messages(_changes(spark, sf_dir).where("value IS NOT NULL"), feed, files=4)
+    write_text_messages(_changes(spark, sf_dir), feed, files=4)
     rows = changes.parse_changes(text_messages(spark, feed, files_per_trigger=1))
     _finish(changes.start_append(rows, f"{folder}/data", f"{folder}/checkpoint", once=True))
     return _local_times(spark.read.parquet(f"{folder}/data"))
