@@ -60,9 +60,13 @@ def glue(keys: list[str], first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def colliding(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    """Rows of the left whose key value occurs on the right."""
-    return left.join(right.select(key), key, "left_semi")
+    """Rows of the left whose key value occurs on the right.
+
+    Copies on the right are removed before the shuffle, so no key is hot there;
+    a hot key on the left is split by adaptive execution.
+    """
+    return left.join(right.select(key).distinct(), key, "left_semi")
 
 
 def not_colliding(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
-    return left.join(right.select(key), key, "left_anti")
+    return left.join(right.select(key).distinct(), key, "left_anti")

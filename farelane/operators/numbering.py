@@ -21,14 +21,16 @@ def number_rows(
     partition and place, the marked rows are written once, and the sizes of the
     earlier ranges of the same group are added. The written table keeps the
     numbers fixed if an executor is lost. Rows that tie in ``order`` are
-    numbered in any order.
+    numbered in any order; a random last key spreads them over several ranges.
     """
     spark, within = df.sparkSession, within or []
     keys = [F.col(key).alias(f"_group{i}") for i, key in enumerate(within)]
     groups = [f"_group{i}" for i in range(len(within))]
     target = folder or scratch_folder(spark, "numbered")
     (
-        df.orderBy(*within, *order)
+        df.withColumn("_spread", F.rand(seed=1))
+        .orderBy(*within, *order, "_spread")
+        .drop("_spread")
         .withColumn("_place", F.monotonically_increasing_id())
         .write.parquet(target)
     )

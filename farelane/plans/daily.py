@@ -94,27 +94,28 @@ def running_month_revenue(trips: DataFrame) -> DataFrame:
 
 
 def daily_tables_glued(trips: DataFrame, service: str, day: str) -> DataFrame:
-    """The report of one day put together from separate tables.
+    """The report of one day put together from separate tables and the month's total.
 
     For tables that already exist on their own; ``daily_kpis_on`` needs one pass.
     """
-    asked = Date.fromisoformat(day)
-    on_day = trips.where(
-        (F.col("service") == service)
-        & (F.col("trip_day") == F.lit(asked))
-        & (F.to_date("pickup_datetime") == F.lit(asked))
-    ).withColumn("date", F.lit(asked))
-    by_day = on_day.groupBy("date")
+    asked = F.lit(Date.fromisoformat(day))
+    on_day = month_to_date(trips, service, day).where(
+        (F.col("trip_day") == asked) & (F.to_date("pickup_datetime") == asked)
+    )
+    by_day = on_day.groupBy(F.col("trip_day").alias("date"))
     seconds = seconds_between("pickup_datetime", "dropoff_datetime")
-    glued = glue(
-        ["date"],
-        by_day.agg(total("total_amount").alias("revenue_of_day")),
-        by_day.agg(mean("tip_amount").alias("avg_tip_amount"), total("fare_amount").alias("total_fare")),
-        by_day.agg(total("trip_distance").alias("total_trip_distance"), mean_minutes(seconds).alias("avg_trip_time")),
-        by_day.agg(total("passenger_count").alias("total_customer")),
+    money = by_day.agg(
+        total("total_amount").alias("revenue_of_day"),
+        mean("tip_amount").alias("avg_tip_amount"),
+        total("fare_amount").alias("total_fare"),
+    )
+    travel = by_day.agg(
+        total("trip_distance").alias("total_trip_distance"),
+        mean_minutes(seconds).alias("avg_trip_time"),
+        total("passenger_count").alias("total_customer"),
     )
     month = month_to_date_revenue(trips, service, day).scalar()
-    return glued.withColumn("revenue_of_month", month).select(*DAILY_COLUMNS)
+    return glue(["date"], money, travel).withColumn("revenue_of_month", month).select(*DAILY_COLUMNS)
 
 
 ZONE_COLUMNS = (

@@ -94,8 +94,9 @@ def publish(
         if not order:
             raise ValueError("a limited table needs an order")
         df = df.orderBy(*order).limit(limit)
-    ordered = df.select(*[c for c in df.columns if c not in replace_by], *replace_by)
-    create_table(df.sparkSession, table, ordered.schema, replace_by, folder, fmt)
+    spark = df.sparkSession
+    create_table(spark, table, df.schema, replace_by, folder, fmt)
+    ordered = df.select(*spark.table(table).columns)
     writer = ordered.write.option("partitionOverwriteMode", "dynamic") if replace_by else ordered.write
     writer.insertInto(table, overwrite=True)
 

@@ -79,7 +79,7 @@ def whole(objects: DataFrame) -> DataFrame:
 def latest_per_path(objects: DataFrame, order: str) -> DataFrame:
     """The last message of each path, the one an overwriting store would end up with."""
     columns = [c for c in objects.columns if c not in ("path", order)]
-    last = objects.groupBy("path").agg(F.max_by(F.struct(*columns), order).alias("last"))
+    last = objects.groupBy("path").agg(F.max_by(F.struct(*columns), F.struct(order)).alias("last"))
     return last.select("path", *[f"last.{c}" for c in columns])
 
 

@@ -38,8 +38,7 @@ trips AS (
          WHEN hour(pickup_datetime) BETWEEN 18 AND 22 THEN 'Tối' ELSE 'Đêm' END AS pickup_time_of_day
   FROM (SELECT *,
           pickup_datetime + CAST(l_quantity + 5 AS INTEGER) * INTERVAL 1 MINUTE AS dropoff_datetime,
-          fare_amount + extra + mta_tax + tip_amount + tolls_amount + improvement_surcharge
-            + congestion_surcharge AS total_amount
+          floor(l_extendedprice * (1.0::DOUBLE + l_tax) * 4) / 4 AS total_amount
         FROM items))"""
 
 ZONES = """

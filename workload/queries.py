@@ -511,7 +511,7 @@ def media_decode(spark, sf_dir):
 def _media_stream(spark, sf_dir):
     documents = tables.documents_stream(spark, sf_dir)
     sent = media.sendable(_media(documents))
-    return sent.withColumn("at", F.col("id").cast("long"))
+    return sent.withColumn("at", F.col("id").try_cast("long"))
 
 
 @register

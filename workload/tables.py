@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.operators.columns import select_if
 from farelane.sources.streams import table_stream
 from farelane.streaming.changes import encode_changes
 
@@ -42,7 +43,7 @@ def _measures() -> dict:
         "tip_amount": tip,
         "tolls_amount": tolls,
         "improvement_surcharge": F.lit(1.0),
-        "total_amount": fare + extra + F.lit(0.5) + tip + tolls + F.lit(1.0) + congestion,
+        "total_amount": _quarters(price * (F.lit(1.0) + tax)),
         "congestion_surcharge": congestion,
     }
 
@@ -73,28 +74,32 @@ def _codes() -> dict:
     }
 
 
-def _select(df: DataFrame, *groups: dict) -> DataFrame:
-    return df.select(*[column.alias(name) for group in groups for name, column in group.items()])
+def _columns(*groups: dict) -> list:
+    return [column.alias(name) for group in groups for name, column in group.items()]
+
+
+def _as_read(df: DataFrame, columns: list) -> DataFrame:
+    """The columns as if a file held them: filters on them do not compute them again."""
+    return select_if(df, F.lit(True), *columns)
 
 
 def trips(line_items: DataFrame) -> DataFrame:
     """All trips of both services as stored, with the key of the line item."""
     start, end = _times()
-    return _select(
-        line_items,
+    columns = _columns(
         {"service": _service(), "trip_day": F.to_date(end), "pickup_datetime": start, "dropoff_datetime": end},
         _places(),
         _measures(),
         {"id_customer": F.col("l_partkey")},
         {name: F.col(name) for name in KEY},
     )
+    return line_items.select(*columns)
 
 
 def raw_green(line_items: DataFrame) -> DataFrame:
     """Green trips as they arrive: all columns of the after-image."""
     start, end = _times()
-    return _select(
-        line_items.where("l_returnflag = 'R'"),
+    columns = _columns(
         {"lpep_pickup_datetime": start, "lpep_dropoff_datetime": end},
         _codes(),
         _places(),
@@ -106,14 +111,14 @@ def raw_green(line_items: DataFrame) -> DataFrame:
             "rate": 1 + (F.col("l_orderkey") % 9) * F.lit(0.5),
         },
     )
+    return _as_read(line_items.where("l_returnflag = 'R'"), columns)
 
 
 def raw_yellow(line_items: DataFrame) -> DataFrame:
     """Yellow trips as they arrive: mixed-case names, codes as floating point."""
     start, end = _times()
     codes, places = _codes(), _places()
-    return _select(
-        line_items.where("l_returnflag <> 'R'"),
+    columns = _columns(
         {
             "VendorID": codes["vendorid"].cast("double"),
             "tpep_pickup_datetime": start,
@@ -128,6 +133,7 @@ def raw_yellow(line_items: DataFrame) -> DataFrame:
         _measures(),
         {"id": F.concat_ws("-", *KEY), "id_customer": F.col("l_partkey")},
     )
+    return _as_read(line_items.where("l_returnflag <> 'R'"), columns)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
