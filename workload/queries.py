@@ -58,6 +58,11 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.trips(_items(spark, sf_dir))
 
 
+def _month_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of the month of ``DAY`` up to that day, and a few more."""
+    return tables.trips(tables.items_near(_items(spark, sf_dir), f"{DAY[:7]}-01", DAY))
+
+
 def _raw(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     read = tables.raw_green if service == "green" else tables.raw_yellow
     return read(_items(spark, sf_dir))
@@ -79,17 +84,17 @@ def daily_kpis(spark, sf_dir):
 
 @register
 def daily_kpis_one_day(spark, sf_dir):
-    return daily.daily_kpis_on(_trips(spark, sf_dir), SERVICE, DAY)
+    return daily.daily_kpis_on(_month_trips(spark, sf_dir), SERVICE, DAY)
 
 
 @register
 def daily_kpis_joined_form(spark, sf_dir):
-    return daily.daily_tables_glued(_trips(spark, sf_dir), SERVICE, DAY)
+    return daily.daily_tables_glued(_month_trips(spark, sf_dir), SERVICE, DAY)
 
 
 @register
 def month_to_date_revenue(spark, sf_dir):
-    return daily.month_to_date_revenue(_trips(spark, sf_dir), SERVICE, DAY)
+    return daily.month_to_date_revenue(_month_trips(spark, sf_dir), SERVICE, DAY)
 
 
 @register
@@ -109,7 +114,7 @@ def zone_kpis_known_only(spark, sf_dir):
 
 @register
 def zone_kpis_one_day(spark, sf_dir):
-    return daily.zone_kpis_on(_trips(spark, sf_dir), tables.zones(spark, sf_dir), SERVICE, DAY)
+    return daily.zone_kpis_on(_month_trips(spark, sf_dir), tables.zones(spark, sf_dir), SERVICE, DAY)
 
 
 @register

@@ -96,6 +96,15 @@ def trips(line_items: DataFrame) -> DataFrame:
     return line_items.select(*columns)
 
 
+def items_near(line_items: DataFrame, first: str, last: str) -> DataFrame:
+    """Line items whose trips may end between two days: a trip ends on the ship date or the day after.
+
+    Does for the scan what the folders of a trip store do.
+    """
+    early = F.lit(first).cast("date") - F.expr("INTERVAL 1 DAY")
+    return line_items.where(F.col("l_shipdate").between(early, F.lit(last).cast("date")))
+
+
 def raw_green(line_items: DataFrame) -> DataFrame:
     """Green trips as they arrive: all columns of the after-image."""
     start, end = _times()
