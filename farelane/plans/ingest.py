@@ -9,6 +9,7 @@ from farelane.plans.cleaning import clean_trips, watch_rows
 from farelane.plans.daily import daily_kpis_on, zone_kpis_on
 from farelane.sinks.store import STORE_KEYS, append, read_month_to_date, with_store_keys, write_store
 from farelane.sinks.tables import daily_table_names, publish
+from farelane.sources.files import read_month_files
 
 
 def ingest_raw(spark: SparkSession, patterns: list[str], target: str, service: str, dropoff: str) -> None:
@@ -34,6 +35,14 @@ def raw_to_processed(
     return {"before": rows_in.get["rows"], "after": rows_out.get["rows"]}
 
 
+def clean_month_files(
+    spark: SparkSession, root: str, zones: DataFrame, service: str, target: str, null_policy: str = "strict"
+) -> None:
+    """All monthly files of a service through the cleaning, into folders by service, year and month."""
+    raw = read_month_files(spark, root, service)
+    write_store(clean_trips(raw, zones, service, null_policy), target, ("service", "year", "month"))
+
+
 def convert_table(source: DataFrame, target: str, fmt: str = "parquet") -> None:
     """Appends a table to one in another format."""
     append(source, target, fmt)

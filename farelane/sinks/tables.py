@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from farelane.sinks.store import shaped
+
 # Warehouse type by column type.
 WAREHOUSE_TYPES = {
     T.TimestampNTZType: "DATETIME",
@@ -76,6 +78,11 @@ def create_table(
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {fmt}{parts}{place}")
 
 
+def table_folder(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return described.where("col_name = 'Location'").first()["data_type"]
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -87,7 +94,9 @@ def publish(
 ) -> None:
     """Writes a report into a table, replacing the parts it covers.
 
-    Running it again leaves the table as it is. ``limit`` writes the first rows
+    Running it again leaves the table as it is. The files are written below the
+    table's folder, because an insert replaces single partitions only if the
+    whole session is set to do so. ``limit`` writes the first rows
     in ``order`` only; without it the report goes in whole.
     """
     if limit is not None:
@@ -96,9 +105,18 @@ def publish(
         df = df.orderBy(*order).limit(limit)
     spark = df.sparkSession
     create_table(spark, table, df.schema, replace_by, folder, fmt)
-    ordered = df.select(*spark.table(table).columns)
-    writer = ordered.write.option("partitionOverwriteMode", "dynamic") if replace_by else ordered.write
-    writer.insertInto(table, overwrite=True)
+    columns = df.select(*spark.table(table).columns)
+    (
+        (shaped(columns, replace_by) if replace_by else columns)
+        .write.format(fmt)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*replace_by)
+        .save(table_folder(spark, table))
+    )
+    if replace_by:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.catalog.refreshTable(table)
 
 
 def relational_statement(table: str, schema: T.StructType) -> str:

@@ -77,9 +77,9 @@ def read_latest(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFra
     return spark.read.parquet(newest["path"])
 
 
-def read_month_files(spark: SparkSession, root: str) -> DataFrame:
-    """All monthly files below ``root`` in one scan, with service, year and month from their names."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+def read_month_files(spark: SparkSession, root: str, service: str) -> DataFrame:
+    """All monthly files of a service below ``root`` in one scan, with service, year and month from their names."""
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"{service}_tripdata_*.parquet")
     return files.parquet(root).withColumns(month_file_parts(F.col("_metadata.file_path")))
 
 

@@ -169,6 +169,19 @@ def _zero_filled(name: str) -> str:
 AFTER = """vendorid, lpep_pickup_datetime, lpep_dropoff_datetime, store_and_fwd_flag, ratecodeid, pulocationid,
     dolocationid, passenger_count, trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
     improvement_surcharge, total_amount, payment_type, trip_type, congestion_surcharge, id, id_customer, rate"""
+NUMBERED = f"""
+numbered AS (
+  SELECT * EXCLUDE (id), year || month || {_zero_filled('number')} AS id
+  FROM (SELECT *, strftime(pickup_datetime, '%Y') AS year, strftime(pickup_datetime, '%m') AS month,
+          row_number() OVER (PARTITION BY date_trunc('month', pickup_datetime)
+            ORDER BY pickup_datetime, {KEY}) AS number
+        FROM trips))"""
+
+
+def _id_draw(seed: int) -> str:
+    return f"CAST('0x' || substr(md5(numbered.id || '-{seed}'), 1, 13) AS BIGINT)"
+
+
 CHANGES = """
 changes AS (SELECT *, pickup_datetime AS lpep_pickup_datetime, dropoff_datetime AS lpep_dropoff_datetime,
     CASE WHEN l_orderkey % 101 = 0 THEN 'malformed' WHEN l_orderkey % 103 = 0 THEN 'empty'
@@ -287,11 +300,7 @@ ORACLE: dict[str, str] = {
         _usual("pickup_time_of_day"),
     ),
     "trips_with_ids": _with(
-        f"""SELECT {KEY}, pickup_datetime, year, month, year || month || {_zero_filled('number')} AS id
-            FROM (SELECT * EXCLUDE (id), strftime(pickup_datetime, '%Y') AS year, strftime(pickup_datetime, '%m') AS month,
-                    row_number() OVER (PARTITION BY date_trunc('month', pickup_datetime)
-                      ORDER BY pickup_datetime, {KEY}) AS number
-                  FROM trips)"""
+        f"SELECT {KEY}, pickup_datetime, year, month, id FROM numbered", ITEMS, NUMBERED
     ),
     "trips_with_customers": _with(
         f"""SELECT {KEY}, service, listed.id AS id_customer
@@ -305,6 +314,16 @@ ORACLE: dict[str, str] = {
             FROM lineitem""",
         ITEMS,
     ),
+    "trips_augmented": _with(
+        f"""SELECT {KEY}, pickup_datetime, year, month, numbered.id, listed.id AS id_customer,
+              least(round({_id_draw(43)} / CAST(4503599627370496 AS DOUBLE) * 5, 1) + 1, 5.0) AS rate
+            FROM numbered
+            JOIN (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM customers) listed
+              ON place = {_id_draw(42)} % (SELECT count(*) FROM customers)""",
+        ITEMS,
+        CUSTOMERS,
+        NUMBERED,
+    ),
     "customers_normalized": _with(
         f"SELECT {_zero_filled('id')} AS id, segment FROM customers",
         CUSTOMERS,

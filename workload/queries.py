@@ -16,6 +16,7 @@ from farelane.operators.lookups import colliding, not_colliding
 from farelane.operators.ranking import sample_exact
 from farelane.plans import customers as people
 from farelane.plans import daily
+from farelane.plans.augment import augment_trips
 from farelane.plans.cleaning import clean_trips, cleaning_audit
 from farelane.plans.ingest import convert_table, raw_to_processed
 from farelane.plans.rollup import fact_rollup
@@ -267,6 +268,18 @@ def trips_with_rating(spark, sf_dir):
     return add_rating(_trips(spark, sf_dir).select(*tables.KEY), _trip_key_draw(11))
 
 
+@register
+def trips_augmented(spark, sf_dir):
+    """Ids, customers and ratings for all trips."""
+    trips = _trips(spark, sf_dir).select(
+        *tables.KEY,
+        "pickup_datetime",
+        F.date_format("pickup_datetime", "yyyy").alias("year"),
+        F.date_format("pickup_datetime", "MM").alias("month"),
+    )
+    return augment_trips(trips, tables.customers(spark, sf_dir), ["pickup_datetime", *tables.KEY], digest_draw)
+
+
 @register
 def customers_normalized(spark, sf_dir):
     return normalize_customers(tables.customers(spark, sf_dir))
