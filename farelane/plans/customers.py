@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions.calendar import with_habit_columns
 from farelane.functions.measures import total
-from farelane.operators.lookups import add_zone_names, small_side
+from farelane.operators.lookups import add_zone_names
 from farelane.operators.ranking import first_by_count, top_k, top_rows
 
 HABITS = ("pickup_day", "pickup_time_of_day", "pulocationid")
@@ -66,13 +66,14 @@ def ranked_habits(trips: DataFrame, n: int = 1) -> DataFrame:
 def top_customer_habits(trips: DataFrame, zones: DataFrame, k: int, mode: str = "joint") -> DataFrame:
     """Habits of the ``k`` customers with most trips, with the names of the zone.
 
-    One pass: the counts that find the habits also add up to the ranking.
-    Trips without a customer take part in the ranking but give no row, nor does
-    a customer whose usual zone is unknown.
+    Two scans: the first reads the customer alone, the second counts habits for
+    ``k`` customers only, so neither shuffles more than counts. Trips without a
+    customer take part in the ranking but give no row, nor does a customer whose
+    usual zone is unknown.
     """
-    habits = customer_habits(trips) if mode == "joint" else customer_habits_each(trips)
-    best = top_k(habits, k, F.desc("trip_count"), "id_customer").where("id_customer IS NOT NULL")
-    return add_zone_names(best, small_side(zones), "pulocationid", ZONE_NAMES, "inner").select(
+    theirs = trips_of(trips, top_customers(trips, k))
+    habits = customer_habits(theirs) if mode == "joint" else customer_habits_each(theirs)
+    return add_zone_names(habits, zones, "pulocationid", ZONE_NAMES, "inner").select(
         F.col("id_customer").alias("customerID"),
         "pickup_day",
         "pickup_time_of_day",
@@ -137,7 +138,7 @@ def customer_profiles(trips: DataFrame, zones: DataFrame) -> DataFrame:
         F.col("usual.pulocationid").alias("LocationID"),
         F.col("part.pickup_time_of_day").alias("pickup_time_of_day"),
     )
-    return add_zone_names(flat, small_side(zones), "LocationID", ZONE_NAMES, "inner").select(
+    return add_zone_names(flat, zones, "LocationID", ZONE_NAMES, "inner").select(
         *flat.columns[:8], *ZONE_NAMES, "pickup_time_of_day"
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions.calendar import first_of_month, seconds_between
 from farelane.functions.measures import mean, mean_minutes, total
-from farelane.operators.lookups import add_zone_names, glue, small_side
+from farelane.operators.lookups import add_zone_names, glue
 
 DAILY_COLUMNS = (
     "date",
@@ -135,7 +135,8 @@ ZONE_COLUMNS = (
 def zone_kpis(trips: DataFrame, zones: DataFrame, how: str = "left") -> DataFrame:
     """One row per service, stored day and pick-up zone.
 
-    The zone name is joined to the aggregated rows. ``total_trip_count`` counts
+    The zone name is joined to the aggregated rows, so no hint is needed there:
+    Spark picks the join from the sizes it sees. ``total_trip_count`` counts
     known zone ids, so it is 0 in the row of trips without one. ``how="inner"``
     drops unknown zones.
     """
@@ -148,7 +149,7 @@ def zone_kpis(trips: DataFrame, zones: DataFrame, how: str = "left") -> DataFram
         mean("congestion_surcharge").alias("avg_congestion_surcharge"),
         F.count("pulocationid").alias("total_trip_count"),
     )
-    return add_zone_names(grouped, small_side(zones), "pulocationid", how=how).select("service", *ZONE_COLUMNS)
+    return add_zone_names(grouped, zones, "pulocationid", how=how).select("service", *ZONE_COLUMNS)
 
 
 def zone_kpis_on(trips: DataFrame, zones: DataFrame, service: str, day: str) -> DataFrame:

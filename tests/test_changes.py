@@ -99,7 +99,7 @@ def test_count_table_keeps_two_copies(spark, tmp_path):
 
 
 def test_kafka_options():
-    options = kafka_options("streaming.public.green", ["a:1", "b:2"], max_offsets=10)
+    options = kafka_options("trips.public.green", ["a:1", "b:2"], max_offsets=10)
     assert options["kafka.bootstrap.servers"] == "a:1,b:2"
     assert (options["startingOffsets"], options["failOnDataLoss"]) == ("earliest", "false")
     assert options["maxOffsetsPerTrigger"] == "10"

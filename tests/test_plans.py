@@ -93,7 +93,7 @@ def exchanges(plan):
         ("zone_kpis", 1, 1),
         ("customer_totals", 1, 1),
         ("customer_profile", 1, 2),
-        ("top_customer_habits", 1, 2),
+        ("top_customer_habits", 2, 3),
         ("clean_trips_strict", 1, 0),
         ("trip_sample", 1, 0),
         ("cdc_parse", 1, 0),
@@ -109,6 +109,12 @@ def test_counting_customers_reads_one_column(spark):
     assert scans(explained(queries()["top_customers"](spark, SF_DIR))) == [{"l_partkey"}]
 
 
+def test_habits_are_counted_for_top_customers_only(spark):
+    plan = explained(queries()["top_customer_habits"](spark, SF_DIR))
+    assert "TakeOrderedAndProject" in plan and "LeftSemi" in plan
+    assert {"l_partkey"} in scans(plan)
+
+
 def test_filters_reach_the_scan(spark):
     assert "EqualTo(l_partkey,151)" in explained(queries()["customer_profile_one"](spark, SF_DIR))
     assert "GreaterThanOrEqual(l_shipdate" in explained(queries()["daily_kpis_one_day"](spark, SF_DIR))
