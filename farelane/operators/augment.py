@@ -12,9 +12,11 @@ from farelane.operators.numbering import number_rows
 ID_DIGITS = 8
 
 
-def add_trip_ids(trips: DataFrame, order: list[str], year: str = "year", month: str = "month") -> DataFrame:
-    """``id`` = year, month and the zero-filled row number within that month."""
-    numbered = number_rows(trips, "_number", order, within=[year, month])
+def add_trip_ids(
+    trips: DataFrame, order: list[str], year: str = "year", month: str = "month", unique: bool = False
+) -> DataFrame:
+    """``id`` = year, month and the zero-filled row number within that month; ``unique`` as in ``number_rows``."""
+    numbered = number_rows(trips, "_number", order, [year, month], unique)
     text = F.concat(F.col(year), F.col(month), zero_fill(F.col("_number"), ID_DIGITS))
     return numbered.withColumn("id", text).drop("_number")
 

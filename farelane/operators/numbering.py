@@ -12,8 +12,23 @@ from farelane.scratch import scratch_folder
 PARTITION_SHIFT = 33
 
 
+def _spread_ties(df: DataFrame, order: list[str]) -> DataFrame:
+    """Adds a last sort key that differs between rows that tie, copies too.
+
+    The key is the row's place within its task. Sorting the task's rows first
+    makes that place the same when the task is repeated, up to copies.
+    """
+    row = F.xxhash64(*df.columns)
+    return df.sortWithinPartitions(*order, row).withColumn("_spread", F.monotonically_increasing_id())
+
+
 def number_rows(
-    df: DataFrame, name: str, order: list[str], within: list[str] | None = None, folder: str | None = None
+    df: DataFrame,
+    name: str,
+    order: list[str],
+    within: list[str] | None = None,
+    unique: bool = False,
+    folder: str | None = None,
 ) -> DataFrame:
     """Numbers rows 1, 2, … in ``order``, restarting for each value of ``within``.
 
@@ -21,17 +36,17 @@ def number_rows(
     partition and place, the marked rows are written once, and the sizes of the
     earlier ranges of the same group are added. The written table keeps the
     numbers fixed if an executor is lost. Rows that tie in ``order`` are
-    numbered in any order; a random last key spreads them over several ranges.
+    numbered in any order and spread over several ranges, at the price of a sort
+    before the shuffle; ``unique`` says that there are none.
     """
     spark, within = df.sparkSession, within or []
     keys = [F.col(key).alias(f"_group{i}") for i, key in enumerate(within)]
     groups = [f"_group{i}" for i in range(len(within))]
     target = folder or scratch_folder(spark, "numbered")
+    keyed = df if unique else _spread_ties(df, [*within, *order])
     (
-        df.withColumn("_spread", F.rand(seed=1))
-        .orderBy(*within, *order, "_spread")
-        .drop("_spread")
-        .withColumn("_place", F.monotonically_increasing_id())
+        keyed.orderBy(*within, *order, *([] if unique else ["_spread"]))
+        .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
         .write.parquet(target)
     )
     placed = spark.read.parquet(target).select(

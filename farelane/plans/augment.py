@@ -13,13 +13,15 @@ from farelane.sources.files import read_month_files
 MONTH_KEYS = ("service", "year", "month")
 
 
-def augment_trips(trips: DataFrame, customers: DataFrame, order: list[str], draw=hash_draw, seed: int = 42) -> DataFrame:
+def augment_trips(
+    trips: DataFrame, customers: DataFrame, order: list[str], draw=hash_draw, seed: int = 42, unique: bool = False
+) -> DataFrame:
     """``id``, ``id_customer`` and ``rate`` for trips that carry ``year`` and ``month``.
 
     Ids count up within each month in ``order``. Customer and rating are drawn
     from the id, so the same trips always get the same ones.
     """
-    numbered = add_trip_ids(trips.drop("ehail_fee"), order)
+    numbered = add_trip_ids(trips.drop("ehail_fee"), order, unique=unique)
     with_customer = add_customers(numbered, customers, draw("id", seed=seed))
     return add_rating(with_customer, draw("id", seed=seed + 1))
 

@@ -42,11 +42,10 @@ def write_objects(objects: DataFrame, make_put: Callable[[], Put]) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         put = make_put()
         for batch in batches:
-            rows = batch.to_pydict()
             errors = []
-            for path, content, kind in zip(rows["path"], rows["content"], rows["content_type"]):
+            for path, content, kind in zip(*[batch.column(c) for c in ("path", "content", "content_type")]):
                 try:
-                    put(path, content, kind)
+                    put(path.as_py(), content.as_py(), kind.as_py())
                     errors.append(None)
                 except Exception as problem:
                     errors.append(f"{type(problem).__name__}: {problem}")

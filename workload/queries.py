@@ -254,7 +254,7 @@ def trips_with_ids(spark, sf_dir):
         F.date_format("pickup_datetime", "yyyy").alias("year"),
         F.date_format("pickup_datetime", "MM").alias("month"),
     )
-    return add_trip_ids(trips, ["pickup_datetime", *tables.KEY])
+    return add_trip_ids(trips, ["pickup_datetime", *tables.KEY], unique=True)
 
 
 @register
@@ -277,7 +277,8 @@ def trips_augmented(spark, sf_dir):
         F.date_format("pickup_datetime", "yyyy").alias("year"),
         F.date_format("pickup_datetime", "MM").alias("month"),
     )
-    return augment_trips(trips, tables.customers(spark, sf_dir), ["pickup_datetime", *tables.KEY], digest_draw)
+    order = ["pickup_datetime", *tables.KEY]
+    return augment_trips(trips, tables.customers(spark, sf_dir), order, digest_draw, unique=True)
 
 
 @register
