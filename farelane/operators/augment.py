@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelane.functions.draws import hash_draw, pick_index, rating
+from farelane.functions.draws import pick_index, rating
 from farelane.functions.text import zero_fill
 from farelane.operators.numbering import number_rows
 
@@ -35,11 +35,11 @@ def add_rating(trips: DataFrame, draw: Column) -> DataFrame:
     return trips.withColumn("rate", rating(draw))
 
 
-def ensure_customer(trips: DataFrame, n_customers: int, *key: str, seed: int = 42) -> DataFrame:
-    """Gives trips without ``id_customer`` one in 1..n drawn from their key."""
+def ensure_customer(trips: DataFrame, n_customers: int, draw: Column) -> DataFrame:
+    """Gives trips without ``id_customer`` one in 1..n."""
     if "id_customer" in trips.columns:
         return trips
-    return trips.withColumn("id_customer", pick_index(hash_draw(*key, seed=seed), n_customers) + 1)
+    return trips.withColumn("id_customer", pick_index(draw, n_customers) + 1)
 
 
 def normalize_customers(customers: DataFrame) -> DataFrame:

@@ -29,33 +29,24 @@ def daily_kpis(trips: DataFrame) -> DataFrame:
     A day's trips are those dropped off on it (``trip_day``, the way they are
     stored); the day's measures cover those picked up on it too, the running
     month total covers all of them. One pass over the trips; the window runs
-    over one row per day.
+    over a few rows per day, one for each pick-up date.
     """
-    on_day = F.to_date("pickup_datetime") == F.col("trip_day")
-
-    def of_day(name: str):
-        return F.when(on_day, F.col(name))
-
-    seconds = F.when(on_day, seconds_between("pickup_datetime", "dropoff_datetime"))
-    days = trips.groupBy("service", "trip_day").agg(
-        F.count_if(on_day).alias("_trips"),
-        F.sum("total_amount").alias("_revenue"),
-        total(of_day("total_amount")).alias("revenue_of_day"),
-        mean(of_day("tip_amount")).alias("avg_tip_amount"),
-        total(of_day("fare_amount")).alias("total_fare"),
-        total(of_day("trip_distance")).alias("total_trip_distance"),
-        mean_minutes(seconds).alias("avg_trip_time"),
-        total(of_day("passenger_count")).alias("total_customer"),
+    days = trips.groupBy("service", "trip_day", F.to_date("pickup_datetime").alias("date")).agg(
+        total("total_amount").alias("revenue_of_day"),
+        mean("tip_amount").alias("avg_tip_amount"),
+        total("fare_amount").alias("total_fare"),
+        total("trip_distance").alias("total_trip_distance"),
+        mean_minutes(seconds_between("pickup_datetime", "dropoff_datetime")).alias("avg_trip_time"),
+        total("passenger_count").alias("total_customer"),
     )
     so_far = (
         Window.partitionBy("service", first_of_month("trip_day"))
         .orderBy("trip_day")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        days.withColumn("revenue_of_month", F.sum("_revenue").over(so_far).cast("double"))
-        .where("_trips > 0")
-        .withColumn("date", F.col("trip_day"))
+        days.withColumn("revenue_of_month", F.sum("revenue_of_day").over(so_far))
+        .where("date = trip_day")
         .select("service", *DAILY_COLUMNS)
     )
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame
 
+# Tasks get these functions themselves, so executors need no copy of the package.
+register_pickle_by_value(sys.modules[__name__])
+
 Put = Callable[[str, bytes, str], None]
 
 

@@ -80,9 +80,9 @@ def test_draws_and_ratings(spark, draw):
 
 def test_missing_customers_are_drawn_only_if_absent(spark):
     df = spark.range(500)
-    drawn = ensure_customer(df, 10, "id")
+    drawn = ensure_customer(df, 10, hash_draw("id"))
     assert drawn.agg(F.min("id_customer"), F.max("id_customer")).first() == (1, 10)
-    assert ensure_customer(drawn, 3, "id") is drawn
+    assert ensure_customer(drawn, 3, hash_draw("id")) is drawn
 
 
 def test_customer_ids(spark):

@@ -56,6 +56,19 @@ def test_null_policies(spark, zones):
     assert kept(clean_trips(rows, zones, "green", how="inner")) == [1.0, 7.0]
 
 
+def test_a_lookup_too_large_to_broadcast_gives_the_same(spark, zones, monkeypatch):
+    rows = raw(spark, *[with_changes(total_amount=float(n), PULocationID=1 if n % 3 else n) for n in range(200)])
+    expected = kept(clean_trips(rows, zones, "green"))
+    monkeypatch.setattr("farelane.operators.lookups.fits_broadcast", lambda *_: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cleaned = clean_trips(rows, zones, "green")
+        assert "SortMergeJoin" in cleaned._jdf.queryExecution().toString()
+        assert kept(cleaned) == expected and len(expected) > 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_values_that_do_not_fit_a_code_drop_the_row(spark, zones):
     rows = raw(spark, with_changes(VendorID=1e30), with_changes(total_amount=2.0))
     assert kept(clean_trips(rows, zones, "green")) == [2.0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.queries import CUSTOMER, DAY, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, TOP_K
+from workload.queries import CUSTOMER, DAY, DRAWN_CUSTOMERS, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, TOP_K
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -288,6 +288,11 @@ ORACLE: dict[str, str] = {
     ),
     "customer_habits_ranked": _with("SELECT * FROM habits", ITEMS, HABITS),
     "customer_totals": _with("SELECT * FROM totals", ITEMS, TOTALS),
+    "customer_totals_drawn": _with(
+        "SELECT * FROM totals",
+        ITEMS.replace("l_partkey AS id_customer", f"{_draw(17)} % {DRAWN_CUSTOMERS} + 1 AS id_customer"),
+        TOTALS,
+    ),
     "customer_profile": _with(
         PROFILE, ITEMS, ZONES, TOTALS, _usual("pulocationid"), _usual("pickup_time_of_day")
     ),

@@ -11,7 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 from farelane.functions.calendar import with_calendar_columns, with_habit_columns
 from farelane.functions.draws import digest_draw
 from farelane.functions.text import day_path
-from farelane.operators.augment import add_customers, add_rating, add_trip_ids, normalize_customers
+from farelane.operators.augment import (
+    add_customers,
+    add_rating,
+    add_trip_ids,
+    ensure_customer,
+    normalize_customers,
+)
 from farelane.operators.lookups import colliding, not_colliding
 from farelane.operators.ranking import sample_exact
 from farelane.plans import customers as people
@@ -38,6 +44,7 @@ SERVICE = "yellow"
 TOP_K = 10
 CUSTOMER = 151
 SAMPLE_ROWS = 1000
+DRAWN_CUSTOMERS = 300
 PUBLISHED_ROWS = 50
 MEDIA_BYTES = 48 * 1024
 # Seconds a test stream may take before it counts as stuck.
@@ -229,6 +236,13 @@ def customer_totals(spark, sf_dir):
     return people.customer_totals(_trips(spark, sf_dir))
 
 
+@register
+def customer_totals_drawn(spark, sf_dir):
+    """Totals of trips that came without a customer and were given one."""
+    trips = _trips(spark, sf_dir).drop("id_customer")
+    return people.customer_totals(ensure_customer(trips, DRAWN_CUSTOMERS, digest_draw(*tables.KEY, seed=17)))
+
+
 @register
 def customer_profile(spark, sf_dir):
     return people.customer_profiles(_trips(spark, sf_dir), tables.zones(spark, sf_dir))
@@ -443,11 +457,11 @@ def latest_file_of_store(spark, sf_dir):
 
 
 def _changes(spark, sf_dir):
-    return tables.change_messages(tables.raw_green(_items(spark, sf_dir)))
+    return tables.change_messages(_items(spark, sf_dir))
 
 
 def _change_stream(spark, sf_dir):
-    return tables.change_messages(tables.raw_green(tables.line_items_stream(spark, sf_dir)))
+    return tables.change_messages(tables.line_items_stream(spark, sf_dir))
 
 
 def _finish(*running: StreamingQuery) -> None:

@@ -105,10 +105,9 @@ def items_near(line_items: DataFrame, first: str, last: str) -> DataFrame:
     return line_items.where(F.col("l_shipdate").between(early, F.lit(last).cast("date")))
 
 
-def raw_green(line_items: DataFrame) -> DataFrame:
-    """Green trips as they arrive: all columns of the after-image."""
+def _green_columns() -> list:
     start, end = _times()
-    columns = _columns(
+    return _columns(
         {"lpep_pickup_datetime": start, "lpep_dropoff_datetime": end},
         _codes(),
         _places(),
@@ -120,7 +119,11 @@ def raw_green(line_items: DataFrame) -> DataFrame:
             "rate": 1 + (F.col("l_orderkey") % 9) * F.lit(0.5),
         },
     )
-    return _as_read(line_items.where("l_returnflag = 'R'"), columns)
+
+
+def raw_green(line_items: DataFrame) -> DataFrame:
+    """Green trips as they arrive: all columns of the after-image."""
+    return _as_read(line_items.where("l_returnflag = 'R'"), _green_columns())
 
 
 def raw_yellow(line_items: DataFrame) -> DataFrame:
@@ -177,13 +180,13 @@ def media_files(documents: DataFrame) -> DataFrame:
     )
 
 
-def change_messages(green: DataFrame) -> DataFrame:
-    """Change messages of raw green trips, a batch or a stream: some deletes, some broken, some empty."""
-    order = F.split("id", "-")[0].cast("long")
+def change_messages(line_items: DataFrame) -> DataFrame:
+    """Change messages of the green trips, a batch or a stream: some deletes, some broken, some empty."""
+    green = line_items.where("l_returnflag = 'R'").select(*_green_columns(), "l_orderkey")
+    order = F.col("l_orderkey")
     op = F.when(order % 97 == 0, "d").when(order % 3 == 0, "u").otherwise("c")
-    messages = encode_changes(green.withColumn("_order", order), op=op, keep=("_order",))
-    at = F.col("_order")
-    broken = F.when(at % 101 == 0, F.substring("value", 1, 12)).when(at % 103 != 0, F.col("value"))
+    messages = encode_changes(green, op=op, keep=("l_orderkey",))
+    broken = F.when(order % 101 == 0, F.substring("value", 1, 12)).when(order % 103 != 0, F.col("value"))
     return messages.select(broken.alias("value"))
 
 
