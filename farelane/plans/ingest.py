@@ -63,7 +63,10 @@ def publish_day(
         trips = read_month_to_date(spark, store, service, day)
         tables = names[service] = daily_table_names(service, day)
         place = {key: f"{folder}/{name}" if folder else None for key, name in tables.items()}
-        publish(daily_kpis_on(trips, service, day), tables["daily"], ("date",), limit, ["date"], place["daily"])
-        zone_order = ["date", "pulocationid"]
-        publish(zone_kpis_on(trips, zones, service, day), tables["zones"], ("date",), limit, zone_order, place["zones"])
+        reports = {
+            "daily": (daily_kpis_on(trips, service, day), ["date"]),
+            "zones": (zone_kpis_on(trips, zones, service, day), ["date", "pulocationid"]),
+        }
+        for key, (report, order) in reports.items():
+            publish(report, tables[key], ("date",), limit, order, place[key], part=day)
     return names

@@ -91,9 +91,13 @@ def publish(
     order: list[Column | str] | None = None,
     folder: str | None = None,
     fmt: str = "parquet",
+    part: str | None = None,
 ) -> None:
     """Writes a report into a table, replacing the parts it covers.
 
+    ``part`` is the value of the only ``replace_by`` column for a report on one
+    part: that part is replaced even if the report has become empty.
+
     Running it again leaves the table as it is. The files are written below the
     table's folder, because an insert replaces single partitions only if the
     whole session is set to do so. ``limit`` writes the first rows
@@ -105,15 +109,19 @@ def publish(
         df = df.orderBy(*order).limit(limit)
     spark = df.sparkSession
     create_table(spark, table, df.schema, replace_by, folder, fmt)
-    columns = df.select(*spark.table(table).columns)
-    (
-        (shaped(columns, replace_by) if replace_by else columns)
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*replace_by)
-        .save(table_folder(spark, table))
-    )
+    columns, target = df.select(*spark.table(table).columns), table_folder(spark, table)
+    if part is not None:
+        (key,) = replace_by
+        columns.drop(key).write.format(fmt).mode("overwrite").save(f"{target}/{key}={part}")
+    else:
+        (
+            (shaped(columns, replace_by) if replace_by else columns)
+            .write.format(fmt)
+            .mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*replace_by)
+            .save(target)
+        )
     if replace_by:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)

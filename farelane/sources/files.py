@@ -39,8 +39,8 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = ".parquet", prefix: str = "") -> DataFrame:
-    """Path, time and length of all files below ``root``; no content is read."""
-    base = f"{root.rstrip('/')}/{prefix}" if prefix else root
+    """Path, time and length of all files below ``root`` whose path there starts with ``prefix``; no content is read."""
+    base = f"{root.rstrip('/')}/{prefix}*" if prefix else root
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -108,6 +108,9 @@ def test_publish_day_twice(spark, store, zones, tmp_path):
     ]
     green = files.run_query(spark, names["green"]["zones"], f"SELECT zone FROM {names['green']['zones']}")
     assert [r[0] for r in green.collect()] == ["Airport"]
+    write_store(frame(spark, [trip("2024-01-03 23:55")]), store)
+    publish_day(spark, store, zones, "2024-01-04", services=("yellow",), folder=str(tmp_path / "tables"))
+    assert [str(r["date"]) for r in spark.table(names["yellow"]["daily"]).collect()] == ["2024-01-05"]
     for service in names.values():
         for table in service.values():
             spark.sql(f"DROP TABLE {table}")
@@ -167,6 +170,8 @@ def test_listing_and_latest(spark, tmp_path):
     root = str(tmp_path)
     assert [r["path"].split("/")[-1] for r in files.list_files(spark, root).collect()] == ["a.parquet"]
     assert files.list_files(spark, root, ".csv", prefix="2024").count() == 2
+    assert files.list_files(spark, root, ".csv", prefix="2024/c").count() == 1
+    assert files.list_files(spark, root, ".csv", prefix="20").count() == 2
     assert files.read_latest(spark, root).first()["x"] == 2
     os.utime(tmp_path / "2024/b.csv", (9000, 9000))
     assert files.read_latest(spark, root).first()["x"] == 1
