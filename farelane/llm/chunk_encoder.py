@@ -15,13 +15,27 @@ from farelane.llm.common import flat_ranges
 
 #: The characters that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0  -     　"
+#: Letters up to the punctuation that ends a word; both vocabularies' patterns part them there.
+_STEM = f"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?]+(?![^{WHITE}]))"
 #: Words, for vocabularies that drop white space.
-WORDS = re.compile(f"[^{WHITE}]+")
+WORDS = re.compile(f"{_STEM}|[^{WHITE}]+")
 #: Words with one space before them, and the white space left between such words.
-SPACED = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-CACHED_CHUNKS = 800_000
+SPACED = re.compile(f" ?{_STEM}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+CACHED_CHUNKS, CACHED_IDS = 800_000, 8_000_000
 JOINED_CHUNKS = 4096
-LONG_CHUNK = 200
+
+
+class _Places(dict):
+    """Numbers chunks in the order of their first use and remembers the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        place = self[chunk] = len(self)
+        self.new.append(chunk)
+        return place
 
 
 class ChunkEncoder:
@@ -34,63 +48,78 @@ class ChunkEncoder:
         self.chunks = chunks
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        #: Whether a line feed has an id of its own.
+        self.keeps_white = bool(self.tokenizer.encode("\n", add_special_tokens=False).ids)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
         self.used = 0
 
     def _encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks and the number of ids of each, from one call of the library.
+        """Ids of all chunks, each of letters alone, and the number of ids of each, from one call.
 
-        A line feed before a chunk that does not start with its own space keeps the chunk
-        apart; the line feed's id, if the vocabulary has one, is left out again.
+        A line feed before a chunk without its own space keeps the chunk apart; where it
+        has an id, that is left out again. Every chunk is one word to the library.
         """
-        parts, sizes = [], []
-        for chunk in chunks:
-            if chunk[0] != " ":
-                parts.append("\n")
-                sizes.append(1)
-            else:
-                sizes.append(0)
-            parts.append(chunk)
-            sizes.append(len(chunk))
-        encoding = self.tokenizer.encode("".join(parts), add_special_tokens=False)
+        apart = [chunk[0] != " " for chunk in chunks]
+        text = "".join(f"\n{chunk}" if lone else chunk for chunk, lone in zip(chunks, apart))
+        encoding = self.tokenizer.encode(text, add_special_tokens=False)
         ids = np.array(encoding.ids, np.uint32)
-        at = np.fromiter((a for a, _ in encoding.offsets), np.int64, len(ids))
-        segment = np.searchsorted(np.cumsum(sizes), at, "right")
-        own = segment % 2 == 1
-        return ids[own], np.bincount(segment[own] // 2, minlength=len(chunks))
-
-    def _learn(self, missing: list[str]) -> None:
-        if len(self.place) + len(missing) > CACHED_CHUNKS and self.place:
-            raise OverflowError
-        plain, odd = [], []
-        for chunk in missing:
-            (odd if chunk.isspace() or "<|" in chunk else plain).append(chunk)
+        word = np.array(encoding.word_ids, np.int64)
+        own = np.arange(len(chunks))
+        if self.keeps_white:
+            own += np.cumsum(apart)
+        counts = np.bincount(word, minlength=int(own[-1]) + 1)
+        if len(counts) != own[-1] + 1:
+            # Some letter falls apart when it is normalised: one call per chunk.
+            found = [np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.uint32) for c in chunks]
+            return np.concatenate(found), np.array([len(f) for f in found])
+        mine = np.zeros(len(counts), bool)
+        mine[own] = True
+        return ids[mine[word]], counts[own]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes new chunks, numbered in this order."""
+        lengths, parts = np.zeros(len(chunks), np.int64), [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if c.isalpha() or (c[0] == " " and c[1:].isalpha())]
+        odd = set(range(len(chunks))).difference(plain)
         for start in range(0, len(plain), JOINED_CHUNKS):
             part = plain[start : start + JOINED_CHUNKS]
-            self._keep(part, *self._encode_joined(part))
-        for chunk in odd:
-            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            self._keep([chunk], np.array(ids, np.uint32), np.array([len(ids)]))
-
-    def _keep(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        first, total = len(self.place), len(ids)
+            ids, counts = self._encode_joined([chunks[i] for i in part])
+            lengths[part] = counts
+            ends = np.cumsum(counts)
+            for i, a, b in zip(part, (ends - counts).tolist(), ends.tolist()):
+                parts[i] = ids[a:b]
+        for i in odd:
+            parts[i] = np.array(self.tokenizer.encode(chunks[i], add_special_tokens=False).ids, np.uint32)
+            lengths[i] = len(parts[i])
+        self._keep(np.concatenate(parts), lengths, len(self.place) - len(chunks))
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray, first: int) -> None:
+        total, count = len(ids), len(lengths)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while first + len(chunks) > len(self.starts):
+        while first + count > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         self.ids[self.used : self.used + total] = ids
-        self.starts[first : first + len(chunks)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + len(chunks)] = lengths
-        self.place.update(zip(chunks, range(first, first + len(chunks))))
+        self.starts[first : first + count] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first : first + count] = lengths
         self.used += total
 
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        if len(self.place) > CACHED_CHUNKS:
+            self._forget()
+        places = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
+        new, self.place.new = self.place.new, []
+        if new:
+            self._learn(new)
+        return places
+
     def split(self, text: str) -> list[str]:
         if self.special is None or "<|" not in text:
             return self.chunks.findall(text)
@@ -100,49 +129,15 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text as unsigned 32-bit integers."""
         split = [self.split(text) for text in texts]
-        flat = [chunk for chunks in split for chunk in chunks]
-        missing = list(set(flat).difference(self.place))
-        if any(len(chunk) > LONG_CHUNK for chunk in missing):
-            return self._encode_long(texts, split)
-        if missing:
-            try:
-                self._learn(missing)
-            except OverflowError:
-                self._forget()
-                self._learn(list(set(flat)))
-        chosen = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        lengths = self.lengths[chosen]
-        ids = self.ids[flat_ranges(self.starts[chosen], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0] + [len(chunks) for chunks in split])]
-        return [ids[a:b] for a, b in zip(ends, ends[1:])]
-
-    def _encode_long(self, texts: list[str], split: list[list[str]]) -> list[np.ndarray]:
-        """Texts with very long chunks, which are not cached, go through the library piece by piece."""
-        if len(texts) > 1:
-            return [self.encode([text])[0] for text in texts]
-        parts, short = [], []
-        for chunk in split[0] + [None]:
-            if chunk is not None and len(chunk) <= LONG_CHUNK:
-                short.append(chunk)
-                continue
-            if short:
-                parts += self._known(short)
-                short = []
-            if chunk is not None:
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-                parts.append(np.array(ids, np.uint32))
-        return [np.concatenate(parts) if parts else np.zeros(0, np.uint32)]
-
-    def _known(self, chunks: list[str]) -> list[np.ndarray]:
-        missing = list(set(chunks).difference(self.place))
-        if missing:
-            try:
-                self._learn(missing)
-            except OverflowError:
-                self._forget()
-                self._learn(list(set(chunks)))
-        chosen = np.fromiter(map(self.place.__getitem__, chunks), np.int64, len(chunks))
-        return [self.ids[flat_ranges(self.starts[chosen], self.lengths[chosen])]]
+        counts = np.cumsum([0] + [len(chunks) for chunks in split])
+        places = self._places([chunk for chunks in split for chunk in chunks])
+        lengths = self.lengths[places]
+        ids = self.ids[flat_ranges(self.starts[places], lengths)]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[counts]
+        found = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        if self.used > CACHED_IDS:
+            self._forget()
+        return found
 
 
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
