@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,23 @@ class _Codes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
             self.clear()
+        stem = word[:-1] if word[-1] in ".,;:!?" else word
+        if stem.isalpha():
+            # Plain words differ by capitals and end mark alone.
+            model = ("XX" if len(stem) > 1 and stem.isupper() else "x") + word[len(stem) :]
+            code = self[word] = self._code(model)
+        else:
+            code = self[word] = self._code(word)
+        return code
+
+    @staticmethod
+    @lru_cache(maxsize=10_000)
+    def _code(word: str) -> int:
         letters = [c for c in word if c.isalpha()]
         facts = UPPER * (len(letters) > 1 and all(c.isupper() for c in letters))
         facts |= MARKED * (MARKS.search(word) is not None) | BAR * (word == "|")
         facts |= PLAIN * (not facts & UPPER and PLAIN_WORD.fullmatch(word) is not None) | STOP * word.endswith((".", "!", "?")) | LETTER * bool(letters)
-        code = self[word] = facts | (zlib.crc32(_shape(word).encode("utf-8", "surrogatepass")) % (1 << BITS)) << 8
-        return code
+        return facts | (zlib.crc32(_shape(word).encode("utf-8", "surrogatepass")) % (1 << BITS)) << 8
 
 
 _CODES = _Codes()
