@@ -60,15 +60,12 @@ def _doubled(nodes: DataFrame, rounds: int) -> list[DataFrame]:
     up = nodes.select("tree", "node", F.col("parent").alias("above"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("sum"))
     tables = [saved(up, "ancestors")]
     for _ in range(rounds):
-        near = tables[-1]
-        far = near.select("tree", F.col("node").alias("mid"), F.col("above").alias("top"), F.col("steps").alias("more"), F.col("sum").alias("rest"))
-        same = (F.col("n.tree") == F.col("f.tree")) & (F.col("n.above") == F.col("f.mid"))
-        joined = near.alias("n").join(far.alias("f"), same, "left")
-        up = joined.select(
-            "n.tree", "n.node", F.col("f.top").alias("above"),
-            (F.col("n.steps") + F.coalesce("f.more", F.lit(0))).alias("steps"), (F.col("n.sum") + F.coalesce("f.rest", F.lit(0.0))).alias("sum"),
-        )
-        tables.append(saved(up, "ancestors"))
+        near, settled = tables[-1].filter("above is not null"), tables[-1].filter("above is null")
+        same = (F.col("n.tree") == F.col("f.tree")) & (F.col("n.above") == F.col("f.node"))
+        up = near.alias("n").join(tables[-1].alias("f"), same).select(
+            "n.tree", "n.node", "f.above", (F.col("n.steps") + F.col("f.steps")).alias("steps"), (F.col("n.sum") + F.col("f.sum")).alias("sum")
+        )
+        tables.append(saved(up.union(settled), "ancestors"))
     return tables
 
 
@@ -97,11 +94,12 @@ def best_paths(messages: DataFrame, keep: int = 1) -> DataFrame:
     else:
         order = Window.partitionBy("tree").orderBy(F.desc("sum"), "node")
         chosen = leaves.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep).select("tree", "node", "steps")
-    path = chosen.select("tree", F.col("node").alias("leaf"), "node")
+    path = saved(chosen.select("tree", F.col("node").alias("leaf"), "node"), "leaves")
     for table in reversed(tables[:-1]):
         above = table.filter("above is not null").select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
         joined = path.join(above, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")))
-        path = path.union(joined.select("tree", "leaf", F.col("above").alias("node")))
+        # Written at every step: a plan that holds itself twice would double each time.
+        path = saved(path.union(joined.select("tree", "leaf", F.col("above").alias("node"))), "paths")
     return path.join(rooted.select("tree", "node", F.col("steps").alias("place")), ["tree", "node"])
 
 
@@ -112,6 +110,7 @@ def format_trees(messages: DataFrame, keep: int = 1) -> DataFrame:
     Null roles and texts count as empty. The paths are those of ``best_paths``; of
     repeated rows of a node the smallest role and text are kept. An empty table gives no rows.
     """
+    messages = saved(messages.select("tree", "node", "parent", "score", "role", "text"), "replies")
     said = messages.groupBy("tree", "node").agg(
         F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))).alias("m")
     )
