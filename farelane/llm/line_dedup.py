@@ -221,9 +221,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_dropped")
     names = docs.columns
-    lost = lost_lines(docs).withColumnRenamed("doc_id", "__doc_id")
+    lost = lost_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("lost").alias("__lost"))
     joined = docs.join(lost, F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id")
-    joined = joined.select(*[c for c in names if c != "text"], "text", F.col("lost").alias("__lost"))
+    joined = joined.select(*[c for c in names if c != "text"], "text", "__lost")
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("__lost",)), "n_lines long", "n_dropped long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
