@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from farelane.functions.draws import pick_index, rating
 from farelane.functions.text import zero_fill
+from farelane.operators.lookups import small_side
 from farelane.operators.numbering import number_rows
 
 ID_DIGITS = 8
@@ -25,10 +26,10 @@ def add_customers(trips: DataFrame, customers: DataFrame, draw: Column, id_colum
     """``id_customer``: for each trip one customer of the list, drawn uniformly with replacement."""
     numbered = number_rows(customers.select(F.col(id_column).alias("id_customer")), "_number", ["id_customer"])
     listed = numbered.select((F.col("_number") - 1).alias("_index"), "id_customer")
-    size = customers.count()
+    size = listed.count()
     if size == 0:
         raise ValueError("the customer list is empty")
-    return trips.withColumn("_index", pick_index(draw, size)).join(listed, "_index").drop("_index")
+    return trips.withColumn("_index", pick_index(draw, size)).join(small_side(listed), "_index").drop("_index")
 
 
 def add_rating(trips: DataFrame, draw: Column) -> DataFrame:

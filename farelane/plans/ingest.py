@@ -12,11 +12,24 @@ from farelane.sinks.tables import daily_table_names, publish
 from farelane.sources.files import read_month_files
 
 
-def ingest_raw(spark: SparkSession, patterns: list[str], target: str, service: str, dropoff: str) -> None:
-    """Files that match the patterns into the raw store, by day of drop-off; files that vanish are skipped."""
+def ingest_raw(
+    spark: SparkSession,
+    patterns: list[str],
+    target: str,
+    service: str,
+    dropoff: str,
+    source: str | None = None,
+    keys: tuple[str, ...] = STORE_KEYS,
+) -> None:
+    """Files that match the patterns into the raw store, by day of drop-off; files that vanish are skipped.
+
+    Rows belong to their file's name, or to ``source`` if given. Ingesting a file again
+    replaces its own rows only, also in days that it shares with other files.
+    """
     files = spark.read.option("ignoreMissingFiles", "true").parquet(*patterns)
-    keyed = files.withColumns({"trip_day": F.to_date(dropoff), "service": F.lit(service)})
-    write_store(keyed, target)
+    owner = F.lit(source) if source else F.col("_metadata.file_name")
+    keyed = files.withColumns({"trip_day": F.to_date(dropoff), "service": F.lit(service), "source": owner})
+    write_store(keyed, target, keys)
 
 
 def raw_to_processed(
@@ -24,14 +37,19 @@ def raw_to_processed(
     zones: DataFrame,
     service: str,
     target: str,
+    source: str,
     null_policy: str = "strict",
     keys: tuple[str, ...] = STORE_KEYS,
     files: int | None = None,
 ) -> dict[str, int]:
-    """Cleans one service into the processed store; rows are counted while they are written."""
+    """Cleans one service into the processed store; rows are counted while they are written.
+
+    ``source`` names the input, such as its month: a later run replaces the rows of the
+    same source and leaves those of others in the days that both touch.
+    """
     seen, rows_in = watch_rows(raw, f"{service} before")
     cleaned, rows_out = watch_rows(clean_trips(seen, zones, service, null_policy), f"{service} after")
-    write_store(with_store_keys(cleaned, service), target, keys, files)
+    write_store(with_store_keys(cleaned, service, source), target, keys, files)
     return {"before": rows_in.get["rows"], "after": rows_out.get["rows"]}
 
 

@@ -1,16 +1,22 @@
-"""The trip store: files by service and day of drop-off."""
+"""The trip store: files by service, day of drop-off and source.
+
+A write replaces the folders that occur in its rows. Inputs are cut by pick-up, folders
+by drop-off, so two inputs meet in the days at their ends. The source, the name of the
+input, is the last part of the path: an input replaces its own rows alone.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STORE_KEYS = ("service", "trip_day")
+STORE_KEYS = ("service", "trip_day", "source")
 
 
-def with_store_keys(trips: DataFrame, service: str | None = None) -> DataFrame:
-    """Adds ``trip_day``, the date of drop-off, and ``service`` if given."""
+def with_store_keys(trips: DataFrame, service: str | None = None, source: str | None = None) -> DataFrame:
+    """Adds ``trip_day``, the date of drop-off, and ``service`` and ``source`` if given."""
     dated = trips.withColumn("trip_day", F.to_date("dropoff_datetime"))
+    dated = dated.withColumn("source", F.lit(source)) if source else dated
     return dated.withColumn("service", F.lit(service)) if service else dated
 
 

@@ -83,6 +83,14 @@ def table_folder(spark: SparkSession, table: str) -> str:
     return described.where("col_name = 'Location'").first()["data_type"]
 
 
+def _check_columns(table: str, offered: T.StructType, stored: T.StructType) -> None:
+    """A report must have the table's columns with the table's types, in any order."""
+    kinds = [{f.name.lower(): f.dataType.simpleString() for f in schema.fields} for schema in (offered, stored)]
+    if kinds[0] != kinds[1]:
+        odd = sorted(set(kinds[0].items()) ^ set(kinds[1].items()))
+        raise ValueError(f"the report does not fit {table}: {', '.join(f'{n} {kind}' for n, kind in odd)}")
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -92,7 +100,7 @@ def publish(
     folder: str | None = None,
     fmt: str = "parquet",
     part: str | None = None,
-) -> None:
+) -> dict[str, int] | None:
     """Writes a report into a table, replacing the parts it covers.
 
     ``part`` is the value of the only ``replace_by`` column for a report on one
@@ -100,15 +108,19 @@ def publish(
 
     Running it again leaves the table as it is. The files are written below the
     table's folder, because an insert replaces single partitions only if the
-    whole session is set to do so. ``limit`` writes the first rows
-    in ``order`` only; without it the report goes in whole.
+    whole session is set to do so. Columns that the table lacks, or of other types
+    than its own, are an error. ``limit`` writes the first rows in ``order`` only
+    and gives back how many were offered and written; without it the report goes in whole.
     """
+    spark, counts = df.sparkSession, None
     if limit is not None:
         if not order:
             raise ValueError("a limited table needs an order")
+        offered = df.count()
+        counts = {"offered": offered, "written": min(limit, offered)}
         df = df.orderBy(*order).limit(limit)
-    spark = df.sparkSession
     create_table(spark, table, df.schema, replace_by, folder, fmt)
+    _check_columns(table, df.schema, spark.table(table).schema)
     columns, target = df.select(*spark.table(table).columns), table_folder(spark, table)
     if part is not None:
         (key,) = replace_by
@@ -125,6 +137,7 @@ def publish(
     if replace_by:
         spark.sql(f"MSCK REPAIR TABLE {table}")
     spark.catalog.refreshTable(table)
+    return counts
 
 
 def relational_statement(table: str, schema: T.StructType) -> str:

@@ -60,6 +60,12 @@ def read_objects(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
     )
 
 
+def read_recursive(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
+    """The rows of all files below ``root`` that end in ``suffix``, each with its file's ``path``."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}")
+    return reader.parquet(root).withColumn("path", F.col("_metadata.file_path"))
+
+
 def latest_file(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFrame:
     """The newest file, ties to the first path; looked up again at every call."""
     return list_files(spark, root, suffix).orderBy(F.desc("modificationTime"), "path").limit(1)

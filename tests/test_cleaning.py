@@ -133,6 +133,6 @@ def test_audit_counts(spark, zones):
 def test_job_counts_rows_and_can_be_repeated(spark, zones, tmp_path):
     rows = raw(spark, GOOD, with_changes(payment_type=None))
     for _ in range(2):
-        assert raw_to_processed(rows, zones, "green", str(tmp_path / "store")) == {"before": 2, "after": 1}
+        assert raw_to_processed(rows, zones, "green", str(tmp_path / "store"), "2024-01") == {"before": 2, "after": 1}
     stored = spark.read.parquet(str(tmp_path / "store"))
     assert stored.count() == 1 and str(stored.first()["trip_day"]) == "2024-01-02"

@@ -5,8 +5,10 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from farelane.operators.augment import add_customers
 
 SF_DIR = "/root/testdata/sf0.001"
 REPORTS = [
@@ -126,3 +128,11 @@ def test_refused_messages_are_found_without_encoding(spark):
 
 def test_messages_are_parsed_once(spark):
     assert explained(queries()["cdc_parse"](spark, SF_DIR)).count("from_json") == 1
+
+
+def test_customer_list_is_broadcast_after_its_size_check(spark):
+    """A list of 15,000 customers moves no trip."""
+    trips = spark.range(600_000).withColumnRenamed("id", "trip")
+    listed = spark.range(15_000).selectExpr("CAST(id AS string) AS id")
+    plan = explained(add_customers(trips, listed, F.xxhash64("trip")))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

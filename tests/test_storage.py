@@ -15,7 +15,12 @@ from farelane.sinks import tables
 from farelane.sinks.exports import write_csv
 from farelane.sinks.store import append, read_day, read_month_to_date, with_store_keys, write_store
 from farelane.sources import files
-from tests.test_reports import frame, trip
+from tests.test_reports import frame as plain_frame
+from tests.test_reports import trip
+
+
+def frame(spark, rows, source="one"):
+    return plain_frame(spark, rows).withColumn("source", F.lit(source))
 
 
 @pytest.fixture
@@ -62,7 +67,7 @@ def test_number_of_files(spark, tmp_path):
 def test_large_day_is_split_over_files(spark, tmp_path):
     """One day holds nearly all rows; the rebalanced write gives it several tasks."""
     df = spark.range(400_000, numPartitions=8).selectExpr(
-        "'yellow' AS service", "IF(id % 50 = 0, DATE'2024-01-02', DATE'2024-01-01') AS trip_day", "id", "uuid() AS noise"
+        "'yellow' AS service", "IF(id % 50 = 0, DATE'2024-01-02', DATE'2024-01-01') AS trip_day", "id", "uuid() AS noise", "'one' AS source"
     )
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
@@ -96,6 +101,31 @@ def test_ingest_by_patterns(spark, tmp_path):
     }
 
 
+def test_inputs_that_share_a_day_keep_their_rows(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "raw")
+    months = {"01": ["2024-01-31 09:00", "2024-02-01 00:10"], "02": ["2024-02-01 08:00", "2024-02-01 09:00", "2024-02-02 10:00"]}
+    for month, ends in months.items():
+        rows = [(datetime.fromisoformat(end), i) for i, end in enumerate(ends)]
+        spark.createDataFrame(rows, "dropoff timestamp_ntz, v int").coalesce(1).write.parquet(f"{source}/{month}")
+    for month in ("01", "02", "01", "02", "01"):
+        ingest_raw(spark, [f"{source}/{month}/*.parquet"], target, "yellow", "dropoff")
+    days = spark.read.parquet(target).groupBy("trip_day").count().collect()
+    assert {str(r["trip_day"]): r["count"] for r in days} == {"2024-01-31": 1, "2024-02-01": 3, "2024-02-02": 1}
+
+
+def test_publishing_refuses_other_columns_and_types(spark, tmp_path):
+    report = spark.createDataFrame([(1, 2.0, "x")], "a int, v double, date string")
+    publish = lambda df: tables.publish(df, "checked_table", folder=str(tmp_path / "table"))
+    publish(report)
+    for other in (report.withColumn("b", F.lit(1)), report.drop("v"), report.withColumn("a", F.col("a").cast("long"))):
+        with pytest.raises(ValueError):
+            publish(other)
+    assert [tuple(r) for r in spark.table("checked_table").collect()] == [(1, 2.0, "x")]
+    offered = tables.publish(report.union(report.withColumn("a", F.lit(2))), "checked_table", limit=1, order=["a"], folder=str(tmp_path / "table"))
+    assert offered == {"offered": 2, "written": 1}
+    spark.sql("DROP TABLE checked_table")
+
+
 def test_publish_day_twice(spark, store, zones, tmp_path):
     for _ in range(2):
         names = publish_day(spark, store, zones, "2024-01-04", folder=str(tmp_path / "tables"))

@@ -377,6 +377,14 @@ ORACLE: dict[str, str] = {
         f"{_zone_kpis('LEFT JOIN')} ORDER BY date, service, pulocationid NULLS FIRST LIMIT {PUBLISHED_ROWS}"
     ),
     "csv_roundtrip": _with(f"SELECT {KEY}, service, trip_day, total_amount FROM trips"),
+    "recursive_scan": _with(
+        """SELECT service AS folder, service AS kept_service, count(*) AS trips, sum(total_amount) AS revenue
+           FROM trips GROUP BY ALL"""
+    ),
+    "latest_file_of_store": _with("SELECT * FROM zones", ZONES),
+    "ingest_overlapping_years": _with(
+        "SELECT service, trip_day, count(*) AS trips, sum(total_amount) AS revenue FROM trips GROUP BY ALL"
+    ),
     "lookup_csv_pinned": _with("SELECT * FROM zones", ZONES),
     "lookup_csv_inferred": _with("SELECT * FROM zones", ZONES),
     "cdc_parse": APPENDED,

@@ -24,7 +24,7 @@ from farelane.plans import customers as people
 from farelane.plans import daily
 from farelane.plans.augment import augment_trips
 from farelane.plans.cleaning import clean_trips, cleaning_audit
-from farelane.plans.ingest import convert_table, raw_to_processed
+from farelane.plans.ingest import convert_table, ingest_raw, raw_to_processed
 from farelane.plans.rollup import fact_rollup
 from farelane.schemas import ZONE_LOOKUP
 from farelane.scratch import scratch_folder
@@ -32,7 +32,7 @@ from farelane.sinks.exports import write_csv, write_text_messages
 from farelane.sinks.objects import put_object
 from farelane.sinks.store import append, read_month_to_date, write_store
 from farelane.sinks.tables import publish
-from farelane.sources.files import latest_file, list_files, read_csv, read_objects, read_zone_lookup, run_query
+from farelane.sources.files import read_csv, read_latest, read_objects, read_recursive, read_zone_lookup, run_query
 from farelane.sources.streams import text_messages
 from farelane.streaming import changes, media
 from workload import tables
@@ -388,7 +388,7 @@ def processed_store_kpis(spark, sf_dir):
     """Raw trips of both services through the cleaning job into a store, then the zone report from it."""
     store, zones = scratch_folder(spark, "processed"), tables.zones(spark, sf_dir)
     for service in ("yellow", "green"):
-        raw_to_processed(_raw(spark, sf_dir, service), zones, service, store, keys=("service",))
+        raw_to_processed(_raw(spark, sf_dir, service), zones, service, store, "all", keys=("service", "source"))
     return daily.zone_kpis(spark.read.parquet(store), zones)
 
 
@@ -445,12 +445,40 @@ def lookup_csv_inferred(spark, sf_dir):
 
 @register
 def recursive_scan(spark, sf_dir):
-    return list_files(spark, sf_dir).select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    """Trips in nested folders beside files of another kind, read back in one recursive scan and counted by folder."""
+    root = scratch_folder(spark, "nested")
+    trips = _trips(spark, sf_dir).withColumn("kept_service", F.col("service"))
+    trips.write.partitionBy("service").parquet(f"{root}/a/b")
+    write_csv(tables.zones(spark, sf_dir), f"{root}/a/lookup")
+    found = read_recursive(spark, root)
+    folder = F.regexp_extract("path", "/a/b/service=([a-z]+)/", 1)
+    return found.groupBy(folder.alias("folder"), "kept_service").agg(
+        F.count("*").alias("trips"), F.sum("total_amount").alias("revenue")
+    )
 
 
 @register
 def latest_file_of_store(spark, sf_dir):
-    return latest_file(spark, sf_dir, ".parquet")
+    """The lookup written twice, first without half of its zones; the newest file is read."""
+    root, zones = scratch_folder(spark, "lookups"), tables.zones(spark, sf_dir)
+    write_csv(zones.where("LocationID < 12"), f"{root}/first")
+    write_csv(zones, f"{root}/second")
+    return read_latest(spark, root)
+
+
+@register
+def ingest_overlapping_years(spark, sf_dir):
+    """All trips in files by year of pick-up, ingested one after another and one of them twice, counted by drop-off."""
+    files, store = scratch_folder(spark, "years"), scratch_folder(spark, "raw")
+    trips = _trips(spark, sf_dir).drop("trip_day").withColumn("period", F.year("pickup_datetime"))
+    trips.write.partitionBy("service", "period").parquet(files)
+    periods = [tuple(r) for r in trips.select("service", "period").distinct().orderBy("service", "period").collect()]
+    for service, period in [*periods, periods[1]]:
+        pattern = f"{files}/service={service}/period={period}/*.parquet"
+        ingest_raw(spark, [pattern], store, service, "dropoff_datetime", str(period), ("service", "source"))
+    return spark.read.parquet(store).groupBy("service", "trip_day").agg(
+        F.count("*").alias("trips"), F.sum("total_amount").alias("revenue")
+    )
 
 
 # Change stream
