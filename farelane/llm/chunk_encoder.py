@@ -15,8 +15,8 @@ from farelane.llm.common import flat_ranges
 
 #: The characters that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0  -     　"
-#: Letters up to the punctuation that ends a word; both vocabularies' patterns part them there.
-_STEM = f"[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,;:!?]+(?![^{WHITE}]))"
+#: A run of letters before a plain character that is none; both vocabularies' patterns part them there.
+_STEM = r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\x00-@\[-`{-\x7f]|\Z)"
 #: Words, for vocabularies that drop white space.
 WORDS = re.compile(f"{_STEM}|[^{WHITE}]+")
 #: Words with one space before them, and the white space left between such words.

@@ -71,14 +71,18 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
     at = [0, *places.tolist()]
     fine = [0, *penalty.tolist()]
     spots = np.array(at)
-    # Sequences of a power of two: pairs of places exactly so far apart.
-    exact: dict[int, list[int]] = {}
-    size = 1
+    # Sequences of a power of two: pairs of places exactly so far apart, by the later one.
+    later, earlier, size = [], [], 1
     while size < window:
         from_ = np.searchsorted(spots, spots - size)
-        for j in np.flatnonzero((spots >= size) & (spots[from_] == spots - size)).tolist():
-            exact.setdefault(j, []).append(int(from_[j]))
+        hits = np.flatnonzero((spots >= size) & (spots[from_] == spots - size))
+        later.append(hits)
+        earlier.append(from_[hits])
         size *= 2
+    order = np.argsort(np.concatenate(later), kind="stable")
+    origins = np.concatenate(earlier)[order].tolist()
+    until = np.cumsum(np.bincount(np.concatenate(later), minlength=len(at))).tolist()
+    hit = 0
     cost, back = [0] * len(at), [0] * len(at)
     queue: deque[tuple[int, int]] = deque([(0, 0)])  # (cost + place, index), ascending in both
     for j in range(1, len(at)):
@@ -88,10 +92,11 @@ def best_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
             queue.popleft()
         best, origin = queue[0]
         best += window - here
-        if j in exact:
-            for i in exact[j]:
-                if cost[i] < best:
-                    best, origin = cost[i], i
+        while hit < until[j]:
+            i = origins[hit]
+            if cost[i] < best:
+                best, origin = cost[i], i
+            hit += 1
         cost[j] = best = best + fine[j] + SEQUENCE
         back[j] = origin
         key = best + here
