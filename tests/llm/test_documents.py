@@ -1,6 +1,8 @@
 """Document operators against the library, brute force and hand-made edge cases."""
 
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -260,10 +262,28 @@ def test_base_spans():
     ]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="a.@-+% 1\n", max_size=40))
+#: The patterns as they are given.
+PLAIN_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+PLAIN_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="a.@-+% 1_\n", max_size=40))
 def test_emails_equal_plain_matching(text):
-    assert [(a, b) for a, b, _ in pii._emails(text)] == [m.span() for m in pii.EMAIL.finditer(text)]
+    assert [(a, b) for a, b, _ in pii._emails(text)] == [m.span() for m in PLAIN_EMAIL.finditer(text)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="0125.a", max_size=40))
+def test_addresses_equal_plain_matching(text):
+    assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in PLAIN_IP.finditer(text)]
+
+
+@pytest.mark.parametrize("text", ["9" * 300_000, "a@" + "a" * 300_000, "1.2.3.4 743-555-2222 " * 15_000])
+def test_long_runs_take_linear_time(text):
+    began = time.process_time()
+    pii.all_spans(text, {"call me:": "phone"})
+    assert time.process_time() - began < 20
 
 
 def test_contexts_find_unseen_identifiers(spark):
