@@ -10,7 +10,7 @@ DAY_PARTS = ((5, 12, "Sáng"), (12, 18, "Chiều"), (18, 23, "Tối"))
 NIGHT = "Đêm"
 
 
-def part_of_day(ts: Column | str, parts=DAY_PARTS, otherwise: str = NIGHT) -> Column:
+def part_of_day(ts: Column | str, parts=DAY_PARTS, otherwise: str | int = NIGHT) -> Column:
     """Label of the part of the day; a missing time counts as ``otherwise``."""
     hour = F.hour(ts)
     (start, stop, name), *others = parts
@@ -20,6 +20,37 @@ def part_of_day(ts: Column | str, parts=DAY_PARTS, otherwise: str = NIGHT) -> Co
     return label.otherwise(F.lit(otherwise))
 
 
+# Names of the days, in the order of the names; a day's code is its place here.
+WEEKDAYS = ("Friday", "Monday", "Saturday", "Sunday", "Thursday", "Tuesday", "Wednesday")
+#: Code of each weekday from Monday on.
+WEEKDAY_CODES = (1, 5, 6, 4, 0, 2, 3)
+#: Labels of the parts of the day in their order as text.
+PART_LABELS = tuple(sorted([*(part[2] for part in DAY_PARTS), NIGHT]))
+
+
+def _listed(values, place: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(value) for value in values]), place)
+
+
+def weekday_code(ts: Column | str) -> Column:
+    """A small number for the weekday that sorts as its name does; null for a missing time."""
+    return _listed(WEEKDAY_CODES, F.weekday(ts) + 1)
+
+
+def weekday_of_code(code: Column | str) -> Column:
+    return _listed(WEEKDAYS, F.col(code) + 1 if isinstance(code, str) else code + 1)
+
+
+def part_code(ts: Column | str) -> Column:
+    """A small number for the part of the day that sorts as its label does."""
+    parts = [(start, stop, PART_LABELS.index(label)) for start, stop, label in DAY_PARTS]
+    return part_of_day(ts, parts, PART_LABELS.index(NIGHT))
+
+
+def part_of_code(code: Column | str) -> Column:
+    return _listed(PART_LABELS, F.col(code) + 1 if isinstance(code, str) else code + 1)
+
+
 def weekday_name(ts: Column | str) -> Column:
     return F.date_format(ts, "EEEE")
 
@@ -56,6 +87,17 @@ def with_habit_columns(trips: DataFrame) -> DataFrame:
     )
 
 
+def with_habit_codes(trips: DataFrame) -> DataFrame:
+    """As ``with_habit_columns`` with codes in place of names, for counting."""
+    return trips.withColumns({"pickup_day": weekday_code("pickup_datetime"), "pickup_time_of_day": part_code("pickup_datetime")})
+
+
+def with_habit_names(df: DataFrame) -> DataFrame:
+    """Names in place of the codes, in those habit columns that are there."""
+    names = {"pickup_day": weekday_of_code, "pickup_time_of_day": part_of_code}
+    return df.withColumns({name: named(name) for name, named in names.items() if name in df.columns})
+
+
 def with_calendar_columns(trips: DataFrame) -> DataFrame:
     """Adds year, month, weekday, hour, date and month number of the pick-up."""
     at = F.col("pickup_datetime")

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.functions.calendar import with_habit_columns
+from farelane.functions.calendar import with_habit_codes, with_habit_names
 from farelane.functions.measures import total
 from farelane.operators.lookups import add_zone_names
 from farelane.operators.ranking import first_by_count, top_k, top_rows
 
+# Names and order of the habit and zone columns.
 HABITS = ("pickup_day", "pickup_time_of_day", "pulocationid")
 ZONE_NAMES = ("zone", "service_zone")
 
@@ -29,8 +30,8 @@ def trips_of(trips: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def habit_counts(trips: DataFrame) -> DataFrame:
-    """Trips per customer, weekday, part of day and zone."""
-    return with_habit_columns(trips).groupBy("id_customer", *HABITS).agg(F.count("*").alias("trips"))
+    """Trips per customer, weekday, part of day and zone; days and parts as codes, which sort as their names do."""
+    return with_habit_codes(trips).groupBy("id_customer", *HABITS).agg(F.count("*").alias("trips"))
 
 
 def customer_habits(trips: DataFrame) -> DataFrame:
@@ -38,12 +39,12 @@ def customer_habits(trips: DataFrame) -> DataFrame:
     best = habit_counts(trips).groupBy("id_customer").agg(
         F.sum("trips").alias("trip_count"), first_by_count("trips", *HABITS).alias("habit")
     )
-    return best.select("id_customer", "trip_count", *[f"habit.{name}" for name in HABITS])
+    return with_habit_names(best.select("id_customer", "trip_count", *[f"habit.{name}" for name in HABITS]))
 
 
 def customer_habits_each(trips: DataFrame) -> DataFrame:
     """As ``customer_habits``, but the most frequent value of each column on its own."""
-    marked = with_habit_columns(trips)
+    marked = with_habit_codes(trips)
     counts = marked.groupingSets(
         [["id_customer", name] for name in HABITS], "id_customer", *HABITS
     ).agg(F.count("*").alias("trips"), *[F.grouping(name).alias(f"_without_{name}") for name in HABITS])
@@ -54,13 +55,15 @@ def customer_habits_each(trips: DataFrame) -> DataFrame:
     best = counts.groupBy("id_customer").agg(
         F.sum(of(HABITS[0])).alias("trip_count"), *[first_by_count(of(name), name).alias(name) for name in HABITS]
     )
-    return best.select("id_customer", "trip_count", *[F.col(f"{name}.{name}").alias(name) for name in HABITS])
+    return with_habit_names(
+        best.select("id_customer", "trip_count", *[F.col(f"{name}.{name}").alias(name) for name in HABITS])
+    )
 
 
 def ranked_habits(trips: DataFrame, n: int = 1) -> DataFrame:
     """The ``n`` most frequent combinations of each customer, numbered."""
     order = [F.desc("trips"), *[F.asc(name) for name in HABITS]]
-    return top_rows(habit_counts(trips), ["id_customer"], order, n)
+    return with_habit_names(top_rows(habit_counts(trips), ["id_customer"], order, n))
 
 
 def top_customer_habits(trips: DataFrame, zones: DataFrame, k: int, mode: str = "joint") -> DataFrame:
@@ -100,7 +103,7 @@ def customer_profiles(trips: DataFrame, zones: DataFrame) -> DataFrame:
     totals add up over the zone rows. ``count`` is the number of trips from the
     usual zone. Customers whose usual zone is unknown give no row.
     """
-    counts = with_habit_columns(trips.where("id_customer IS NOT NULL")).groupingSets(
+    counts = with_habit_codes(trips.where("id_customer IS NOT NULL")).groupingSets(
         [["id_customer", "pulocationid"], ["id_customer", "pickup_time_of_day"]],
         "id_customer",
         "pulocationid",
@@ -138,7 +141,7 @@ def customer_profiles(trips: DataFrame, zones: DataFrame) -> DataFrame:
         F.col("usual.pulocationid").alias("LocationID"),
         F.col("part.pickup_time_of_day").alias("pickup_time_of_day"),
     )
-    return add_zone_names(flat, zones, "LocationID", ZONE_NAMES, "inner").select(
+    return add_zone_names(with_habit_names(flat), zones, "LocationID", ZONE_NAMES, "inner").select(
         *flat.columns[:8], *ZONE_NAMES, "pickup_time_of_day"
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -84,9 +87,23 @@ def read_latest(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFra
 
 
 def read_month_files(spark: SparkSession, root: str, service: str) -> DataFrame:
-    """All monthly files of a service below ``root`` in one scan, with service, year and month from their names."""
-    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"{service}_tripdata_*.parquet")
-    return files.parquet(root).withColumns(month_file_parts(F.col("_metadata.file_path")))
+    """All monthly files of a service below ``root``, with service, year and month from their names.
+
+    Months may differ in columns and types. The driver reads the schema of every
+    file, of which there is one a month; files of one schema are one scan, and the
+    scans are joined by name: types widen to one that holds both, and a column that
+    a month does not have is null there.
+    """
+    listed = list_files(spark, root, f"{service}_tripdata_*.parquet").select("path").orderBy("path")
+    alike = defaultdict(list)
+    for row in listed.collect():
+        alike[spark.read.parquet(row["path"]).schema.json()].append(row["path"])
+    if not alike:
+        raise FileNotFoundError(f"no monthly file of {service} in {root}")
+    scans = [
+        spark.read.parquet(*paths).withColumns(month_file_parts(F.col("_metadata.file_path"))) for paths in alike.values()
+    ]
+    return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), scans)
 
 
 def run_query(spark: SparkSession, table: str, query: str | None = None) -> DataFrame:

@@ -111,15 +111,16 @@ def read_counts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 def start_ingest(
     messages: DataFrame, folder: str, fmt: str = "parquet", once: bool = False
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Both queries of the job, each with its own checkpoint below ``folder``.
+) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
+    """The queries of the job, each with its own checkpoint below ``folder``: rows, counts, rejects.
 
-    Wait with ``spark.streams.awaitAnyTermination()``, which also ends when the
-    second one fails. Started again on the same folder, both go on where they
-    stopped.
+    Messages that give no row go to ``rejects`` with the reason. Wait with
+    ``spark.streams.awaitAnyTermination()``, which also ends when one of them
+    fails. Started again on the same folder, all go on where they stopped.
     """
     trips = parse_changes(messages)
     return (
         start_append(trips, f"{folder}/data", f"{folder}/checkpoint", fmt, once),
         start_counts(running_counts(trips), f"{folder}/count_customer", f"{folder}/count_checkpoint", fmt, once),
+        start_append(rejected_changes(messages), f"{folder}/rejects", f"{folder}/rejects_checkpoint", fmt, once),
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
@@ -52,8 +53,12 @@ def sendable(messages: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFra
 
 def refused(messages: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
     """Refused messages: id, length in bytes and reason."""
-    marked = messages.select("id", "n_bytes", refusal(max_bytes).alias("reason"))
-    return marked.where("reason IS NOT NULL")
+    return gate(messages, max_bytes).where("reason IS NOT NULL")
+
+
+def gate(messages: DataFrame, max_bytes: int = MAX_MESSAGE_BYTES) -> DataFrame:
+    """Every message: id, length in bytes and why it is refused, null if it is sent."""
+    return messages.select("id", "n_bytes", refusal(max_bytes).alias("reason"))
 
 
 def decode_media(messages: DataFrame, kind: str, *keep: str) -> DataFrame:
@@ -76,11 +81,24 @@ def whole(objects: DataFrame) -> DataFrame:
     return select_if(objects, F.col("path").isNotNull() & F.col("content").isNotNull(), *objects.columns)
 
 
-def latest_per_path(objects: DataFrame, order: str) -> DataFrame:
-    """The last message of each path, the one an overwriting store would end up with."""
-    columns = [c for c in objects.columns if c not in ("path", order)]
-    last = objects.groupBy("path").agg(F.max_by(F.struct(*columns), F.struct(order)).alias("last"))
-    return last.select("path", *[f"last.{c}" for c in columns])
+def rejection() -> Column:
+    """Why a decoded message gives no object, null if it gives one."""
+    return F.when(F.col("path").isNull(), "no_path").when(F.col("content").isNull(), "no_content")
+
+
+def latest_per_path(objects: DataFrame, *order: str) -> DataFrame:
+    """The last object of each path under ``order``, ties to the larger digest; copies are given once.
+
+    The last one is found without its content, and only the objects that have won
+    are grouped by path, so the contents of a hot path never meet in one task.
+    """
+    digest = F.xxhash64("content", "content_type")
+    place = F.struct(*order, digest.alias("_digest"))
+    newest = objects.groupBy("path").agg(F.max(place).alias("_newest")).select(F.col("path").alias("_path"), "_newest")
+    won = objects.join(newest, (objects["path"] == newest["_path"]) & place.eqNullSafe(newest["_newest"]), "left_semi")
+    columns = [c for c in objects.columns if c != "path"]
+    once = won.groupBy("path").agg(F.first(F.struct(*columns)).alias("last"))
+    return once.select("path", *[f"last.{c}" for c in columns])
 
 
 def start_media(
@@ -93,18 +111,38 @@ def start_media(
 ) -> StreamingQuery:
     """Decodes and stores each batch below ``folder``.
 
-    Rows with path, type, length and content go to ``objects``, one folder per
-    batch, which a repeated batch replaces. With ``make_put`` the content goes
-    to single files instead, and ``objects`` holds the report on them.
+    The last object of each path goes to ``objects`` with its ``order``, one folder
+    per batch, which a repeated batch replaces; ``read_latest_objects`` finds the
+    last one over all batches. With ``make_put`` the content goes to single files
+    instead, where a later batch overwrites, and ``objects`` holds the report on
+    them. Messages that give no object go to ``rejects`` with the reason.
     """
-    rows = whole(decode_media(messages, kind, order))
+    rows = decode_media(messages, kind, order, "value")
 
     def store(batch: DataFrame, number: int) -> None:
-        last = latest_per_path(batch, order)
-        out = write_objects(last, make_put) if make_put else last
-        out.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(f"{folder}/objects")
+        def write(df: DataFrame, name: str) -> None:
+            df.withColumn("batch", F.lit(number)).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("batch").parquet(f"{folder}/{name}")
+
+        decoded = batch.withColumn("reason", rejection()).persist(StorageLevel.DISK_ONLY)
+        try:
+            last = latest_per_path(decoded.where("reason IS NULL").drop("reason", "value"), order)
+            write(write_objects(last, make_put) if make_put else last, "objects")
+            write(decoded.where("reason IS NOT NULL").select(F.col("value").cast("string").alias("value"), "reason"), "rejects")
+        finally:
+            decoded.unpersist()
 
     writer = rows.writeStream.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(store)
     return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def read_latest_objects(spark: SparkSession, folder: str, order: str) -> DataFrame:
+    """The last object of each path over all batches of ``start_media``, however messages fell into them."""
+    return latest_per_path(spark.read.parquet(f"{folder}/objects").drop("batch"), order)
+
+
+def read_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of all batches that gave no object, with the reason."""
+    rejects = spark.read.schema("value string, reason string, batch long").parquet(f"{folder}/rejects")
+    return rejects.select("value", "reason")

@@ -85,6 +85,10 @@ def test_restart_loses_and_repeats_nothing(spark, tmp_path):
     counts = changes.read_counts(spark, f"{folder}/count_customer")
     assert counts.columns == ["id_customer", "customer_count"]
     assert {tuple(r) for r in counts.collect()} == {(5, 2), (6, 2)}
+    rejected = spark.read.parquet(f"{folder}/rejects")
+    assert sorted(r["reason"] for r in rejected.collect()) == sorted(
+        r["reason"] for r in changes.rejected_changes(frame(spark, [t or "" for t in TEXTS] + [BROKEN])).collect()
+    )
 
 
 def test_count_table_keeps_two_copies(spark, tmp_path):

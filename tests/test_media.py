@@ -62,6 +62,19 @@ def test_last_message_of_a_path_wins(spark):
     assert {(r["path"][-5:], bytes(r["content"])) for r in last.collect()} == {("a.jpg", b"new"), ("b.jpg", b"one")}
 
 
+@pytest.mark.parametrize("order", [[0, 1, 2], [2, 1, 0], [1, 2, 0]])
+def test_batches_do_not_change_the_last_object(spark, tmp_path, order):
+    feed, folder = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    texts = [message("a", b"1"), message("a", b"4444"), message("a", b"999999999")]
+    for n in order:
+        (feed / f"{order.index(n)}.txt").write_text("\n".join([texts[n]] * 3))
+        source = text_messages(spark, str(feed)).withColumn("at", F.length("value"))
+        assert media.start_media(source, "image", folder, "at", once=True).awaitTermination(120)
+    assert [bytes(r["content"]) for r in media.read_latest_objects(spark, folder, "at").collect()] == [b"999999999"]
+    assert media.read_rejects(spark, folder).count() == 0
+
+
 def test_failed_object_does_not_stop_the_others(spark, tmp_path):
     root = tmp_path.as_uri()
 
@@ -94,6 +107,7 @@ def test_stream_stores_and_goes_on_after_a_restart(spark, tmp_path, single_files
         assert media.start_media(source, "image", folder, "at", make_put, once=True).awaitTermination(120)
     rows = spark.read.parquet(f"{folder}/objects")
     assert rows.groupBy("batch").count().count() == 2 and rows.count() == 3
+    assert [tuple(r) for r in media.read_rejects(spark, folder).collect()] == [("{broken", "no_path")]
     if single_files:
         stored = read_objects(spark, str(tmp_path / "store"), "*.jpg").collect()
         assert sorted(bytes(r["content"]) for r in stored) == [b"22", b"3"]

@@ -243,6 +243,17 @@ def test_month_files(spark, months):
     assert spark.range(1).select(parts["service"]).first()[0] == ""
 
 
+def test_months_of_other_types_and_columns(spark, tmp_path):
+    pq.write_table(pa.table({"Fee": pa.array([1, 2], pa.int64())}), tmp_path / "green_tripdata_2024-01.parquet")
+    other = {"fee": pa.array([0.5, None], pa.float64()), "Extra": pa.array(["x", "y"])}
+    pq.write_table(pa.table(other), tmp_path / "green_tripdata_2024-02.parquet")
+    rows = files.read_month_files(spark, str(tmp_path), "green")
+    found = sorted(((r["month"], r["Fee"], r["Extra"]) for r in rows.collect()), key=repr)
+    assert found == [("01", 1.0, None), ("01", 2.0, None), ("02", 0.5, "x"), ("02", None, "y")]
+    with pytest.raises(FileNotFoundError):
+        files.read_month_files(spark, str(tmp_path), "yellow")
+
+
 def test_augmented_month_files(spark, months, tmp_path):
     target = str(tmp_path / "augmented")
     augment_month_files(spark, months, "green", spark.range(5), ["lpep_pickup_datetime", "Key"], target)

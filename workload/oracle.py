@@ -201,6 +201,18 @@ objects AS (SELECT format('image/{}/{}/{}/{}.jpg', year, month, day, id) AS path
     octet_length(encode(text)) AS n_bytes, md5(text) AS digest
   FROM messages WHERE id <> '' AND n_bytes <= 5242880)"""
 
+# The fields of an after-image: times as microseconds, nothing for a delete.
+ENCODED = ", ".join(
+    f"CASE WHEN l_orderkey % 97 <> 0 THEN {f'epoch_us({name})' if name.endswith('_datetime') else name} END AS {name}"
+    for name in AFTER.replace("\n", " ").replace(" ", "").split(",")
+)
+
+
+def _gate(limit: int) -> str:
+    return f"""SELECT id, n_bytes, CASE WHEN id = '' THEN 'no_id' WHEN n_bytes > {limit} THEN 'too_long' END AS reason
+      FROM messages"""
+
+
 STORED = "service = '{0}' AND trip_day BETWEEN date_trunc('month', DATE '{1}') AND DATE '{1}'".format(SERVICE, DAY)
 
 ORACLE: dict[str, str] = {
@@ -353,6 +365,11 @@ ORACLE: dict[str, str] = {
     "store_month_to_date": _with(
         f"SELECT pickup_date, count(*) AS trips, sum(total_amount) AS revenue FROM trips WHERE {STORED} GROUP BY ALL"
     ),
+    "store_one_day": _with(
+        f"""SELECT {KEY}, pickup_date, pickup_datetime, total_amount FROM trips
+            WHERE service = '{SERVICE}' AND trip_day = DATE '{DAY}'"""
+    ),
+    "publish_one_day": _with(f"SELECT service, {DAILY_NAMES} FROM daily WHERE date = DATE '{DAY}'", ITEMS, DAILY),
     "day_overwrite": _with(
         """SELECT service, trip_day, count(*) AS trips,
              sum(CASE WHEN service = 'green' AND month(trip_day) = 1 THEN 2 ELSE 1 END * total_amount) AS revenue
@@ -388,13 +405,36 @@ ORACLE: dict[str, str] = {
     "lookup_csv_pinned": _with("SELECT * FROM zones", ZONES),
     "lookup_csv_inferred": _with("SELECT * FROM zones", ZONES),
     "cdc_parse": APPENDED,
+    "cdc_encode": _with(
+        f"""SELECT {KEY}, CASE WHEN l_orderkey % 97 = 0 THEN 'd' WHEN l_orderkey % 3 = 0 THEN 'u' ELSE 'c' END AS op,
+              {ENCODED}
+            FROM (SELECT *, pickup_datetime AS lpep_pickup_datetime, dropoff_datetime AS lpep_dropoff_datetime FROM trips)
+            WHERE service = 'green'"""
+    ),
+    "cdc_stream_rejects": _with("SELECT reason, count(*) AS messages FROM changes WHERE reason IS NOT NULL GROUP BY reason", ITEMS, CHANGES),
     "cdc_rejects": _with("SELECT reason, count(*) AS messages FROM changes WHERE reason IS NOT NULL GROUP BY reason", ITEMS, CHANGES),
     "cdc_stream_append": APPENDED,
     "cdc_stream_customer_count": _with(
         "SELECT id_customer, count(*) AS customer_count FROM changes WHERE reason IS NULL GROUP BY id_customer", ITEMS, CHANGES
     ),
     "cdc_replay": APPENDED,
-    "media_encode": _with(f"SELECT id, image_data FROM messages WHERE id <> '' AND n_bytes <= {MEDIA_BYTES}", MEDIA),
+    "media_encode": _with("SELECT id, image_data FROM messages WHERE id <> '' AND n_bytes <= 5242880", MEDIA),
+    "media_gate": _with(_gate(MEDIA_BYTES), MEDIA),
+    "media_gate_product": _with(_gate(5242880), MEDIA),
+    "media_stream_speech": _with(
+        """SELECT replace(replace(path, 'image/', 'speech/'), '.jpg', '.mp3') AS path, 'audio/mpeg' AS content_type,
+             n_bytes, digest FROM objects""",
+        MEDIA,
+    ),
+    "media_stream_latest": _with("SELECT path, content_type, n_bytes, digest FROM objects", MEDIA),
+    "media_stream_rejects": _with(
+        """SELECT reason, count(*) AS messages
+           FROM (SELECT doc_id, 'no_path' AS reason FROM messages WHERE id <> '' AND n_bytes <= 5242880 AND doc_id % 7 = 0
+                 UNION ALL
+                 SELECT doc_id, 'no_content' FROM messages WHERE id <> '' AND n_bytes <= 5242880 AND doc_id % 11 = 0)
+           GROUP BY reason""",
+        MEDIA,
+    ),
     "media_rejects": _with(
         f"""SELECT id, n_bytes, CASE WHEN id = '' THEN 'no_id' ELSE 'too_long' END AS reason
             FROM messages WHERE id = '' OR n_bytes > {MEDIA_BYTES}""",

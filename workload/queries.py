@@ -24,16 +24,16 @@ from farelane.plans import customers as people
 from farelane.plans import daily
 from farelane.plans.augment import augment_trips
 from farelane.plans.cleaning import clean_trips, cleaning_audit
-from farelane.plans.ingest import convert_table, ingest_raw, raw_to_processed
+from farelane.plans.ingest import convert_table, ingest_raw, publish_day, raw_to_processed
 from farelane.plans.rollup import fact_rollup
-from farelane.schemas import ZONE_LOOKUP
+from farelane.schemas import GREEN_AFTER, ZONE_LOOKUP
 from farelane.scratch import scratch_folder
 from farelane.sinks.exports import write_csv, write_text_messages
 from farelane.sinks.objects import put_object
-from farelane.sinks.store import append, read_month_to_date, write_store
+from farelane.sinks.store import append, read_day, read_month_to_date, write_store
 from farelane.sinks.tables import publish
 from farelane.sources.files import read_csv, read_latest, read_objects, read_recursive, read_zone_lookup, run_query
-from farelane.sources.streams import text_messages
+from farelane.sources.streams import table_stream, text_messages
 from farelane.streaming import changes, media
 from workload import tables
 
@@ -46,7 +46,8 @@ CUSTOMER = 151
 SAMPLE_ROWS = 1000
 DRAWN_CUSTOMERS = 300
 PUBLISHED_ROWS = 50
-MEDIA_BYTES = 48 * 1024
+# A bound that refuses some messages at every scale; the product's bound is MAX_MESSAGE_BYTES.
+MEDIA_BYTES = 16 * 1024
 # Seconds a test stream may take before it counts as stuck.
 STREAM_SECONDS = 3600
 
@@ -351,6 +352,27 @@ def store_month_to_date(spark, sf_dir):
     return stored.groupBy("pickup_date").agg(F.count("*").alias("trips"), F.sum("total_amount").alias("revenue"))
 
 
+@register
+def store_one_day(spark, sf_dir):
+    """The trips of one service and day read back from a store of all trips."""
+    store = scratch_folder(spark, "store")
+    write_store(_with_month(_trips(spark, sf_dir)), store, MONTH_KEYS, sort=("trip_day",))
+    return read_day(spark, store, SERVICE, DAY).select(*tables.KEY, "pickup_date", "pickup_datetime", "total_amount")
+
+
+@register
+def publish_one_day(spark, sf_dir):
+    """The daily tables of both services, published from a store of all trips and read back."""
+    store, folder = scratch_folder(spark, "store"), scratch_folder(spark, "tables")
+    write_store(_with_month(_trips(spark, sf_dir)), store, MONTH_KEYS, sort=("trip_day",))
+    names = publish_day(spark, store, tables.zones(spark, sf_dir), DAY, folder=folder)
+    yellow, green = (
+        run_query(spark, names[s]["daily"]).where(F.col("date") == F.lit(DAY).cast("date")).withColumn("service", F.lit(s))
+        for s in ("yellow", "green")
+    )
+    return yellow.unionByName(green)
+
+
 @register
 def day_overwrite(spark, sf_dir):
     """A store in which the green trips of each January are replaced: their amounts are doubled."""
@@ -510,6 +532,28 @@ def cdc_rejects(spark, sf_dir):
     return rejected.groupBy("reason").agg(F.count("*").alias("messages"))
 
 
+@register
+def cdc_encode(spark, sf_dir):
+    """The messages themselves, their fields read by path and not by the parser of the stream."""
+
+    def field(path: str, kind: str):
+        return F.get_json_object("value", f"$.payload.{path}").cast(kind)
+
+    return tables.whole_changes(_items(spark, sf_dir), *tables.KEY).select(
+        *tables.KEY,
+        field("op", "string").alias("op"),
+        *[field(f"after.{name}", kind.dataType.simpleString()).alias(name) for name, kind in zip(GREEN_AFTER.names, GREEN_AFTER)],
+    )
+
+
+@register
+def cdc_stream_rejects(spark, sf_dir):
+    """Messages that the running job could not turn into rows."""
+    folder = scratch_folder(spark, "changes")
+    _finish(*changes.start_ingest(_change_stream(spark, sf_dir), folder, once=True))
+    return spark.read.parquet(f"{folder}/rejects").groupBy("reason").agg(F.count("*").alias("messages"))
+
+
 @register
 def cdc_stream_append(spark, sf_dir):
     folder = scratch_folder(spark, "changes")
@@ -539,8 +583,8 @@ def cdc_replay(spark, sf_dir):
 # Media
 
 
-def _media(documents: DataFrame) -> DataFrame:
-    return media.encode_media(tables.media_files(documents), "image")
+def _media(documents: DataFrame, kind: str = "image") -> DataFrame:
+    return media.encode_media(tables.media_files(documents), kind)
 
 
 def _documents(spark, sf_dir):
@@ -549,7 +593,7 @@ def _documents(spark, sf_dir):
 
 @register
 def media_encode(spark, sf_dir):
-    return media.sendable(_media(_documents(spark, sf_dir)), MEDIA_BYTES).select(
+    return media.sendable(_media(_documents(spark, sf_dir))).select(
         "id", F.get_json_object("value", "$.image_data").alias("image_data")
     )
 
@@ -559,6 +603,18 @@ def media_rejects(spark, sf_dir):
     return media.refused(_media(_documents(spark, sf_dir)), MEDIA_BYTES)
 
 
+@register
+def media_gate(spark, sf_dir):
+    """Every document with the length of its message and the reason, if it is refused."""
+    return media.gate(_media(_documents(spark, sf_dir)), MEDIA_BYTES)
+
+
+@register
+def media_gate_product(spark, sf_dir):
+    """As ``media_gate`` under the bound of the product."""
+    return media.gate(_media(_documents(spark, sf_dir)))
+
+
 def _described(objects: DataFrame) -> DataFrame:
     return objects.select("path", "content_type", "n_bytes", F.md5("content").alias("digest"))
 
@@ -569,9 +625,9 @@ def media_decode(spark, sf_dir):
     return _described(media.whole(media.decode_media(messages, "image")))
 
 
-def _media_stream(spark, sf_dir):
+def _media_stream(spark, sf_dir, kind="image"):
     documents = tables.documents_stream(spark, sf_dir)
-    sent = media.sendable(_media(documents))
+    sent = media.sendable(_media(documents, kind))
     return sent.withColumn("at", F.col("id").try_cast("long"))
 
 
@@ -582,6 +638,43 @@ def media_stream_objects(spark, sf_dir):
     return _described(spark.read.parquet(f"{folder}/objects"))
 
 
+@register
+def media_stream_speech(spark, sf_dir):
+    folder = scratch_folder(spark, "media")
+    _finish(media.start_media(_media_stream(spark, sf_dir, "speech"), "speech", folder, "at", once=True))
+    return _described(spark.read.parquet(f"{folder}/objects"))
+
+
+def _stored_resent(spark, sf_dir) -> str:
+    """Every document sent twice, first with other content, and some broken messages, all over several batches."""
+    files = tables.media_files(_documents(spark, sf_dir))
+    old = files.withColumn("content", F.encode(F.concat(F.lit("old "), "id"), "UTF-8"))
+    first = media.sendable(media.encode_media(old, "image")).withColumn("at", F.lit(1))
+    last = media.sendable(media.encode_media(files, "image")).withColumn("at", F.lit(2))
+    doc = F.col("id").cast("long")
+    cut = last.where(doc % 7 == 0).withColumns({"value": F.substring("value", 1, 12), "at": F.lit(3)})
+    no_base64 = F.replace("value", F.lit('"image_data":"'), F.lit('"image_data":"%'))
+    wrong = last.where(doc % 11 == 0).withColumns({"value": no_base64, "at": F.lit(4)})
+    sent = first.unionByName(last).unionByName(cut).unionByName(wrong).select("value", "at", "id")
+    feed, folder = scratch_folder(spark, "feed"), scratch_folder(spark, "media")
+    sent.repartition(4, "id", "at").write.parquet(feed)
+    stream = table_stream(spark, feed, sent.schema, files_per_trigger=1)
+    _finish(media.start_media(stream, "image", folder, "at", once=True))
+    return folder
+
+
+@register
+def media_stream_latest(spark, sf_dir):
+    """The last object of each path, although its messages fall into different batches."""
+    return _described(media.read_latest_objects(spark, _stored_resent(spark, sf_dir), "at"))
+
+
+@register
+def media_stream_rejects(spark, sf_dir):
+    rejects = media.read_rejects(spark, _stored_resent(spark, sf_dir))
+    return rejects.groupBy("reason").agg(F.count("*").alias("messages"))
+
+
 @register
 def media_stream_files(spark, sf_dir):
     """One file per message; the files are read back as binary rows."""

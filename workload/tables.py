@@ -180,12 +180,17 @@ def media_files(documents: DataFrame) -> DataFrame:
     )
 
 
-def change_messages(line_items: DataFrame) -> DataFrame:
-    """Change messages of the green trips, a batch or a stream: some deletes, some broken, some empty."""
-    green = line_items.where("l_returnflag = 'R'").select(*_green_columns(), "l_orderkey")
+def whole_changes(line_items: DataFrame, *keep: str) -> DataFrame:
+    """Change messages of the green trips, a batch or a stream, some of them deletes."""
+    green = line_items.where("l_returnflag = 'R'").select(*_green_columns(), *KEY)
     order = F.col("l_orderkey")
     op = F.when(order % 97 == 0, "d").when(order % 3 == 0, "u").otherwise("c")
-    messages = encode_changes(green, op=op, keep=("l_orderkey",))
+    return encode_changes(green, op=op, keep=keep)
+
+
+def change_messages(line_items: DataFrame) -> DataFrame:
+    """As ``whole_changes``, with some messages broken and some empty."""
+    order, messages = F.col("l_orderkey"), whole_changes(line_items, "l_orderkey")
     broken = F.when(order % 101 == 0, F.substring("value", 1, 12)).when(order % 103 != 0, F.col("value"))
     return messages.select(broken.alias("value"))
 
