@@ -38,6 +38,7 @@ class Model:
     rotation: np.ndarray
     centroids: np.ndarray
     sample: np.ndarray
+    sample_ids: np.ndarray
     probes: int
 
 
@@ -45,8 +46,11 @@ def _directions(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def fit(sample: np.ndarray, total: int, k: int) -> Model:
-    """Rotation, centroids and number of probes from a sample; the same sample gives the same model."""
+def fit(sample: np.ndarray, ids: np.ndarray, total: int, k: int) -> Model:
+    """Rotation, centroids and number of probes from a sample; the same sample gives the same model.
+
+    The queries that set the number of probes are spread over the sample's ids, one row each.
+    """
     random, dims = np.random.default_rng(7), sample.shape[1]
     rotation = np.linalg.qr(random.standard_normal((dims, dims)))[0]
     lists = int(np.clip(np.sqrt(total), 1, min(MAX_LISTS, max(1, len(sample) // 16))))
@@ -59,17 +63,19 @@ def fit(sample: np.ndarray, total: int, k: int) -> Model:
         length = np.linalg.norm(sums, axis=1, keepdims=True)
         centroids = np.where(length > 0, sums / np.where(length > 0, length, 1), centroids)
     near = np.argmax(unit @ centroids.T, axis=1)
-    tried = sample[: min(TRIED_QUERIES, len(sample))]
+    chosen = random.permutation(np.unique(ids, return_index=True)[1])[:TRIED_QUERIES]
+    tried = sample[chosen]
     scores = tried @ sample.T
-    np.fill_diagonal(scores[:, : len(tried)], -np.inf)
+    scores[ids[chosen][:, None] == ids[None, :]] = -np.inf
     # In a sample the k best stand for more neighbours of the whole, so fewer of them are asked for.
     best = np.argsort(-scores, axis=1)[:, : max(1, min(k, len(sample) - 1))]
     order = np.argsort(-(tried @ centroids.T), axis=1)
     place = np.empty_like(order)
     np.put_along_axis(place, order, np.arange(lists)[None, :].repeat(len(tried), 0), axis=1)
-    needed = np.sort(np.take_along_axis(place, near[best], axis=1).ravel())
-    probes = int(needed[int(np.ceil(COVERAGE * len(needed))) - 1]) + 1
-    return Model(rotation, centroids, sample, probes)
+    other = np.take_along_axis(scores, best, axis=1) > -np.inf
+    needed = np.sort(np.take_along_axis(place, near[best], axis=1)[other])
+    probes = int(needed[int(np.ceil(COVERAGE * len(needed))) - 1]) + 1 if len(needed) else lists
+    return Model(rotation, centroids, sample, ids, probes)
 
 
 def _packs(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,12 +196,12 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
     total = vectors.count()
     share = min(1.0, fit_rows / max(total, 1))
     low = F.xxhash64("vec_id").bitwiseAND(F.lit((1 << 62) - 1))
-    taken = vectors.filter(low < int(share * (1 << 62))).orderBy("vec_id").limit(2 * fit_rows).toArrow()
+    taken = vectors.filter(low < int(share * (1 << 62))).orderBy(low, "vec_id", "vec").limit(2 * fit_rows).toArrow()
     if not taken.num_rows:
         taken = vectors.orderBy("vec_id").limit(1).toArrow()
     if not taken.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    model = fit(matrix(taken.column("vec").combine_chunks()), total, k)
+    model = fit(matrix(taken.column("vec").combine_chunks()), taken.column("vec_id").to_numpy(), total, k)
     shared = spark.sparkContext.broadcast(model)
     ddl = "list long, ids binary, rows binary, blocks binary"
     index = saved(mapped(vectors, lambda batches: _packs(shared.value, batches), ddl), "vector-lists")
