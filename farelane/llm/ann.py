@@ -29,8 +29,8 @@ MAX_LISTS = 1024
 KMEANS_ROUNDS = 8
 #: Columns per block, and the doubt of the test: larger abandons fewer candidates.
 COLUMNS, DOUBT = 16, 2.1
-#: Vectors gathered by list before they are packed.
-GATHERED = 1 << 16
+#: Vectors gathered by list before they are packed, and rows of a list compared at a time.
+GATHERED, SCANNED = 1 << 16, 1 << 12
 
 
 @dataclass
@@ -167,17 +167,39 @@ def _scan(tops: TopLists, model: Model, wave: tuple, row: dict) -> None:
             tops.add(int(part[name]), ids[c[a:b]], scores[a:b])
 
 
+def _scan_all(tops: TopLists, wave: tuple, row: dict) -> None:
+    """Every row of a list against every query, without floors of the sample or tests of a part."""
+    query_ids, queries = wave[:2]
+    ids = np.frombuffer(row["ids"], np.int64)
+    rows = np.frombuffer(row["rows"], np.float64).reshape(len(ids), queries.shape[1])
+    for at in range(0, len(ids), SCANNED):
+        part, named = rows[at : at + SCANNED], ids[at : at + SCANNED]
+        longest = np.linalg.norm(part, axis=1).max()
+        for first in range(0, len(queries), 256):
+            block = queries[first : first + 256]
+            near = block @ part.T
+            near[query_ids[first : first + 256][:, None] == named[None, :]] = -np.inf
+            last = len(named) - min(tops.k, len(named))
+            least = np.partition(near, last, axis=1)[:, last]
+            slack = 1e-9 * longest * np.linalg.norm(block, axis=1)
+            for i in range(len(block)):
+                bound = max(least[i], tops.floor(first + i)) - slack[i]
+                kept = np.flatnonzero((near[i] >= bound) & (near[i] > -np.inf))
+                if len(kept):
+                    tops.add(first + i, named[kept], (part[kept] * block[i]).sum(axis=1))
+
+
 def _prepared(model: Model, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple:
-    """The lists each query probes, and a score its k-th best surely reaches: the k-th best of the sample."""
+    """The lists each query probes, and a score its k-th best surely reaches: the k-th best of the sample's other ids."""
     order = np.argsort(-(queries @ model.centroids.T), axis=1)[:, : model.probes]
     probed = np.zeros((len(ids), len(model.centroids)), bool)
     np.put_along_axis(probed, order, True, axis=1)
     floors = np.full(len(ids), -np.inf)
-    if len(model.sample) > k:
+    if len(model.sample) >= k:
         for first in range(0, len(ids), 256):
             scores = queries[first : first + 256] @ model.sample.T
-            # One more than k, as the query may be in the sample itself.
-            floors[first : first + 256] = np.partition(scores, -(k + 1), axis=1)[:, -(k + 1)] - 1e-9
+            scores[ids[first : first + 256][:, None] == model.sample_ids[None, :]] = -np.inf
+            floors[first : first + 256] = np.partition(scores, -k, axis=1)[:, -k] - 1e-9
     return ids, queries, probed, floors
 
 
@@ -189,7 +211,8 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
     a non-finite component, or have another length than most take no part. All rows of
     the query's id are its own. Repeated rows of an id are candidates each; as a query an
     id asks once. Every row is indexed; about ``fit_rows`` of them fit the index. Queries
-    of which probed lists give fewer than k rows search all lists. An empty table gives no rows.
+    of which probed lists give fewer than k rows compare every row, without tests that
+    abandon some. An empty table gives no rows.
     """
     spark = embeddings.sparkSession
     vectors = valid_vectors(embeddings, zero=False)
@@ -211,15 +234,17 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
     def wave(part: DataFrame, every_list: bool) -> DataFrame:
         table = part.toArrow()
         ids, rows = table.column("vec_id").to_numpy(), matrix(table.column("vec").combine_chunks())
-        prepared = _prepared(model, ids, rows, k) if len(ids) else (ids, rows, np.zeros((0, 0), bool), np.zeros(0))
-        if every_list:
-            prepared[2][:] = True
+        prepared = _prepared(model, ids, rows, k) if len(ids) and not every_list else (ids, rows, np.zeros((0, 0), bool), np.zeros(0))
         asked = spark.sparkContext.broadcast(prepared)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tops = TopLists(len(asked.value[0]), k)
             for batch in in_slices(batches, 1):
-                if len(asked.value[0]):
+                if not len(asked.value[0]):
+                    continue
+                if every_list:
+                    _scan_all(tops, asked.value, batch.to_pylist()[0])
+                else:
                     _scan(tops, shared.value, asked.value, batch.to_pylist()[0])
             yield tops.batch(asked.value[0], TaskContext.get().partitionId(), pa.float64())
 
@@ -233,7 +258,7 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
         queries.join(answered, F.col("vec_id") == F.col("query_id"), "left_anti")
     )
     lacking = saved(lacking, "short-queries")
-    if model.probes == len(model.centroids) or not lacking.limit(1).count():
+    if not lacking.limit(1).count():
         return found
     again = searched(wave(part, True) for part in waves(lacking))
     return found.join(lacking, F.col("query_id") == lacking["vec_id"], "left_anti").union(again)

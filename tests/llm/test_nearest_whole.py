@@ -38,3 +38,15 @@ def test_recall_where_ids_are_sorted_by_cluster(spark):
     share = recall(asked(spark, ids, vectors, fit_rows=512), ids, vectors, first=9600)
     print("recall of spread vectors after clusters:", round(share, 3))
     assert share >= 0.85
+
+
+def test_ids_of_many_rows_get_all_neighbours(spark):
+    random = np.random.default_rng(2)
+    vectors = unit(random.standard_normal((1500, 16)))
+    ids = np.r_[np.repeat([0, 20, 40], [2, 30, 500]), np.arange(1000, 1968)]
+    vectors[ids == 40] = unit(vectors[ids == 40][:1] + 0.05 * random.standard_normal((500, 16)))
+    vectors[ids == 20] = unit(vectors[ids == 20][:1] + 0.05 * random.standard_normal((30, 16)))
+    vectors[ids == 0] = vectors[ids == 0][:1]
+    found = asked(spark, ids, vectors)
+    print("rows of repeated ids:", {q: len(found.get(q, ())) for q in (0, 20, 40)})
+    assert all(len(found.get(q, ())) == K and q not in set(found[q].vec_id) for q in np.unique(ids[ids % 20 == 0]))
