@@ -29,8 +29,10 @@ MAX_LISTS = 1024
 KMEANS_ROUNDS = 8
 #: Columns per block, and the doubt of the test: larger abandons fewer candidates.
 COLUMNS, DOUBT = 16, 2.1
-#: Vectors gathered by list before they are packed, and rows of a list compared at a time.
-GATHERED, SCANNED = 1 << 16, 1 << 12
+#: Rounding of 32-bit blocks, as a share of both squared lengths.
+ROUNDING = 1e-5
+#: Vectors gathered by list before they are packed, rows of a list compared and pairs scored at a time.
+GATHERED, SCANNED, PAIRS = 1 << 16, 1 << 12, 1 << 15
 
 
 @dataclass
@@ -78,10 +80,27 @@ def fit(sample: np.ndarray, ids: np.ndarray, total: int, k: int) -> Model:
     return Model(rotation, centroids, sample, ids, probes)
 
 
-def _packs(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def needed_copies(ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Places of all rows that can be among the k best of any query; only copies of one vector can not.
+
+    Copies tie for every query, and the k smallest ids other than its own win. So k rows
+    of an id and 2 k rows of a vector, by id, are enough: without any one id, k are left.
+    """
+    _, group = np.unique(rows.view(f"V{rows.itemsize * rows.shape[1]}").ravel(), return_inverse=True)
+    order = np.lexsort((ids, group))
+    for most, names in ((k, (group, ids)), (2 * k, (group,))):
+        new = np.any([np.diff(name[order], prepend=name[order[0]] - 1) != 0 for name in names], axis=0)
+        place = np.arange(len(order))
+        order = order[place - np.maximum.accumulate(np.where(new, place, 0)) < most]
+    return np.sort(order)
+
+
+def _packs(model: Model, k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Vectors of one list together: ids, originals, and rotated columns block by block."""
 
     def packed(ids: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+        kept = needed_copies(ids, rows, k)
+        ids, rows = ids[kept], rows[kept]
         near = np.argmax(rows @ model.centroids.T, axis=1)
         order = np.argsort(near, kind="stable")
         names, starts = np.unique(near[order], return_index=True)
@@ -113,13 +132,15 @@ def survivors(blocks: list[np.ndarray], asked: np.ndarray, floors: np.ndarray) -
 
     With |c|, |q| and the partial products of the first d of D rotated columns, D / d
     times the partial distance estimates the whole one; a candidate that exceeds the
-    distance of the k-th best by the test's margin goes.
+    distance of the k-th best by the test's margin goes. All limits allow for the rounding
+    of the 32-bit blocks, so that copies and ties stay.
     """
     dims = asked.shape[1]
     norms = sum((b.astype(np.float64) ** 2).sum(axis=1) for b in blocks)
-    limit = norms[:, None] + (asked**2).sum(axis=1)[None, :] - 2 * floors[None, :]
-    rows, columns = np.nonzero(limit >= 0)
-    limit = limit[rows, columns]
+    lengths = norms[:, None] + (asked**2).sum(axis=1)[None, :]
+    limit, slack = lengths - 2 * floors[None, :], ROUNDING * lengths
+    rows, columns = np.nonzero(limit >= -slack)
+    limit, slack = np.maximum(limit, 0)[rows, columns], 2 * slack[rows, columns]
     partial, at = np.zeros(len(rows)), 0
     dense = True
     for block in blocks:
@@ -131,11 +152,9 @@ def survivors(blocks: list[np.ndarray], asked: np.ndarray, floors: np.ndarray) -
             dots = np.einsum("ij,ij->i", block[rows], query[columns])
         partial += (block**2).sum(axis=1)[rows] + (query**2).sum(axis=1)[columns] - 2 * dots
         at += width
-        if at < dims:
-            alive = partial * (dims / at) <= limit * (1 + DOUBT / np.sqrt(at)) ** 2 + 1e-9
-        else:
-            alive = partial <= limit + 1e-4 * (1 + np.abs(limit))
-        rows, columns, limit, partial = rows[alive], columns[alive], limit[alive], partial[alive]
+        doubt = (1 + DOUBT / np.sqrt(at)) ** 2 * at / dims if at < dims else 1
+        alive = partial <= limit * doubt + slack
+        rows, columns, limit, partial, slack = rows[alive], columns[alive], limit[alive], partial[alive], slack[alive]
         dense = len(rows) > 0.25 * block.shape[0] * len(asked)
     return rows, columns
 
@@ -153,13 +172,15 @@ def _scan(tops: TopLists, model: Model, wave: tuple, row: dict) -> None:
         width = min(COLUMNS, dims - c)
         blocks.append(flat[at : at + len(ids) * width].reshape(len(ids), width))
         at += len(ids) * width
-    for first in range(0, len(asking), 256):
+    for at, first in ((a, f) for a in range(0, len(ids), SCANNED) for f in range(0, len(asking), 256)):
         part = asking[first : first + 256]
         floor = np.array([max(floors[q], tops.floor(q)) for q in part])
-        c, q = survivors(blocks, queries[part] @ model.rotation, floor)
+        c, q = survivors([b[at : at + SCANNED] for b in blocks], queries[part] @ model.rotation, floor)
+        c += at
         own = ids[c] == query_ids[part][q]
         c, q = c[~own], q[~own]
-        scores = (rows[c] * queries[part[q]]).sum(axis=1)
+        cuts = range(0, len(c), PAIRS)
+        scores = np.concatenate([np.zeros(0), *((rows[c[i : i + PAIRS]] * queries[part[q[i : i + PAIRS]]]).sum(axis=1) for i in cuts)])
         order = np.argsort(q, kind="stable")
         c, q, scores = c[order], q[order], scores[order]
         names, starts = np.unique(q, return_index=True)
@@ -210,7 +231,7 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
     smaller vec_id. Rows without an id, vectors that are null, zero, empty, hold a null or
     a non-finite component, or have another length than most take no part. All rows of
     the query's id are its own. Repeated rows of an id are candidates each; as a query an
-    id asks once. Every row is indexed; about ``fit_rows`` of them fit the index. Queries
+    id asks once. Every row is indexed, save copies that 2 k of smaller ids outdo; about ``fit_rows`` of them fit the index. Queries
     of which probed lists give fewer than k rows compare every row, without tests that
     abandon some. An empty table gives no rows.
     """
@@ -227,7 +248,7 @@ def nearest(embeddings: DataFrame, chosen: Column, k: int = 20, fit_rows: int =
     model = fit(matrix(taken.column("vec").combine_chunks()), taken.column("vec_id").to_numpy(), total, k)
     shared = spark.sparkContext.broadcast(model)
     ddl = "list long, ids binary, rows binary, blocks binary"
-    index = saved(mapped(vectors, lambda batches: _packs(shared.value, batches), ddl), "vector-lists")
+    index = saved(mapped(vectors, lambda batches: _packs(shared.value, k, batches), ddl), "vector-lists")
     tasks = index.rdd.getNumPartitions()
     queries = saved(query_rows(vectors, chosen), "queries")
 

@@ -50,3 +50,30 @@ def test_ids_of_many_rows_get_all_neighbours(spark):
     found = asked(spark, ids, vectors)
     print("rows of repeated ids:", {q: len(found.get(q, ())) for q in (0, 20, 40)})
     assert all(len(found.get(q, ())) == K and q not in set(found[q].vec_id) for q in np.unique(ids[ids % 20 == 0]))
+
+
+def test_copies_and_ties_are_kept(spark):
+    random = np.random.default_rng(3)
+    groups = unit(random.standard_normal((12, 64)))
+    vectors = np.concatenate([np.repeat(groups, 300, axis=0), unit(random.standard_normal((400, 64)))])
+    ids = random.permutation(len(vectors))
+    found = asked(spark, ids, vectors)
+    of_copies = [q for q in ids[:3600] if q % 20 == 0]
+    place = dict(zip(ids.tolist(), np.arange(len(ids)).tolist()))
+    right = 0
+    for query in of_copies:
+        copies = np.sort(ids[:3600].reshape(12, 300)[place[query] // 300])
+        right += found[query].vec_id.tolist() == copies[copies != query][:K].tolist() if query in found else 0
+    print("queries of copies with the right rows:", right, "of", len(of_copies))
+    assert right == len(of_copies)
+
+
+def test_copies_left_out_are_never_among_the_best():
+    random = np.random.default_rng(4)
+    for _ in range(300):
+        ids, rows = random.integers(0, 12, 60), random.integers(0, 2, (60, 1)).astype(float)
+        kept = ann.needed_copies(ids, rows, 3)
+        for query, vector in ((q, v) for q in range(12) for v in (0.0, 1.0)):
+            every = np.flatnonzero((ids != query) & (rows[:, 0] == vector))
+            left = kept[(ids[kept] != query) & (rows[kept, 0] == vector)]
+            assert np.sort(ids[every])[:3].tolist() == np.sort(ids[left])[:3].tolist()
