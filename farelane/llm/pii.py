@@ -35,10 +35,12 @@ LIKELY = re.compile(
 )
 LEAD = 48
 LEAD_WORD = re.compile(r"[^\W\d_]+[:#=]?|[:#=]")
-#: A pattern needs so many different seed strings, and at least this share of all of them.
-MIN_SEEDS, SEED_SHARE = 20, 1 / 65536
+#: A pattern needs so many different seed strings.
+MIN_SEEDS = 20
 MIN_SCORE = 0.8
 ROUNDS = 4
+#: Up to so many patterns every task gets all of them; of more, each text gets its own by a join.
+FEW_PATTERNS = 1 << 16
 
 Span = tuple[int, int, str]
 
@@ -127,17 +129,12 @@ def _instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["lead", "string", "kind"])
 
 
-def reliable_patterns(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> dict[str, str]:
-    """Lexical pattern to kind, for the patterns that the graph finds reliable.
-
-    All documents count. As every pattern must introduce its share of all seed strings,
-    there are at most ``1 / SEED_SHARE`` of them per kind, which bounds what the driver gets.
-    """
+def pattern_table(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> DataFrame:
+    """lead, lead_kind: lexical patterns that the graph finds reliable, as a saved table. All documents count."""
     found = mapped(docs.select("text"), _instances, "lead string, string string, kind string")
     edges = saved(found.groupBy("lead", "string").agg(F.max("kind").alias("kind")), "pattern-strings")
     seeds = edges.filter("kind is not null")
-    total = seeds.agg(F.count_distinct("string")).first()[0]
-    support = seeds.groupBy("lead", "kind").count().filter(F.col("count") >= max(min_seeds, total * SEED_SHARE))
+    support = seeds.groupBy("lead", "kind").count().filter(F.col("count") >= min_seeds)
     kinds = support.groupBy("lead").agg(F.max(F.struct("count", "kind"))["kind"].alias("lead_kind"))
     graph = saved(edges.join(kinds, "lead"), "pattern-graph")
     scores = graph.select("lead", "string", F.col("kind").isNotNull().cast("double").alias("score"))
@@ -152,7 +149,52 @@ def reliable_patterns(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_score: fl
         scores = saved(graph.select("lead", "string").join(doubt.select("string", score.alias("score")), "string"), "scores")
     patterns = scores.groupBy("lead").agg((F.sum("score") / (F.count("*") + 1)).alias("trust"))
     chosen = patterns.filter(F.col("trust") >= min_score).join(kinds, "lead")
-    return {row["lead"]: row["lead_kind"] for row in chosen.select("lead", "lead_kind").collect()}
+    return saved(chosen.select("lead", "lead_kind"), "patterns")
+
+
+def _as_dict(patterns: DataFrame) -> dict[str, str]:
+    return {row["lead"]: row["lead_kind"] for row in patterns.collect()}
+
+
+def reliable_patterns(docs: DataFrame, min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> dict[str, str]:
+    """The patterns of ``pattern_table`` as a dict, for callers whose driver can hold all of them."""
+    return _as_dict(pattern_table(docs, min_seeds, min_score))
+
+
+OWN_PATTERNS, TEXT_KEY = "_own_patterns", "_text_key"
+
+
+def _leads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_slices(batches):
+        rows = []
+        for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+            found = {lead for _, _, lead in candidates(text, base_spans(text))} if _may_hold(text) else ()
+            rows += [(key, lead) for lead in found]
+        key, lead = zip(*rows) if rows else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(lead, pa.string())], names=["key", "lead"])
+
+
+def _with_patterns(docs: DataFrame, patterns: dict[str, str] | DataFrame | None) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with a last column of the patterns a text needs, null if it needs none or all get the same dict."""
+    ddl = "array<struct<lead:string,lead_kind:string>>"
+    if patterns is None:
+        patterns = pattern_table(docs)
+    if isinstance(patterns, DataFrame):
+        if patterns.count() > FEW_PATTERNS:
+            keyed = docs.withColumn(TEXT_KEY, F.sha2("text", 256))
+            leads = mapped(keyed.select(TEXT_KEY, "text"), _leads, "key string, lead string").distinct()
+            own = leads.join(patterns, "lead").groupBy("key").agg(F.collect_list(F.struct("lead", "lead_kind")).alias(OWN_PATTERNS))
+            own = saved(own, "own-patterns")
+            return keyed.join(own, F.col(TEXT_KEY) == F.col("key"), "left").drop("key", TEXT_KEY), {}
+        patterns = _as_dict(patterns)
+    return docs.withColumn(OWN_PATTERNS, F.lit(None).cast(ddl)), patterns
+
+
+def _spans_of(batch: pa.RecordBatch, at: int, patterns: dict[str, str]) -> Iterator[tuple[str | None, list[Span], list[Span]]]:
+    """Text of column ``at``, base spans, and all spans of every row; the last column holds a text's own patterns."""
+    for text, own in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+        known = {p["lead"]: p["lead_kind"] for p in own} if own else patterns
+        yield text, *all_spans(text or "", known)
 
 
 def all_spans(text: str, patterns: dict[str, str]) -> tuple[list[Span], list[Span]]:
@@ -168,26 +210,27 @@ def _joined(spans: list[Span]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
 
-def find_personal_data(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+def find_personal_data(docs: DataFrame, patterns: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_spans, spans for every row of ``docs``.
 
     Spans are kind:start:end in code points, end exclusive, joined by commas. The counts
     and ``base_spans`` hold the base patterns' spans, ``spans`` the learned ones too.
     Null and empty texts have none, repeated rows give repeated results, a null doc_id
     stays null, other columns are left out and an empty table gives an empty one.
+    ``patterns`` may be a dict, a table as of ``pattern_table``, or are learned from ``docs``.
     """
-    patterns = reliable_patterns(docs) if patterns is None else patterns
+    docs, known = _with_patterns(docs.select(F.col("doc_id").cast("long"), "text"), patterns)
     names = ["doc_id", *(f"n_{kind}" for kind in KINDS), "base_spans", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            found = [all_spans(text, patterns) for text in texts(batch.column(1))]
+            found = [spans for _, *spans in _spans_of(batch, 1, known)]
             counts = [pa.array([sum(s[2] == kind for s in base) for base, _ in found], pa.int64()) for kind in KINDS]
             joined = [pa.array([_joined(spans[i]) for spans in found], pa.string()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, *joined], names=names)
 
     ddl = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_spans string, spans string"
-    return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, ddl)
+    return mapped(docs, run, ddl)
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -200,15 +243,16 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join(parts) + text[at:]
 
 
-def mask_personal_data(docs: DataFrame, patterns: dict[str, str] | None = None) -> DataFrame:
+def mask_personal_data(docs: DataFrame, patterns: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by its kind in brackets; a null text stays null."""
-    patterns = reliable_patterns(docs) if patterns is None else patterns
+    rows, known = _with_patterns(docs, patterns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             at = batch.schema.get_field_index("text")
-            found = [None if t is None else masked(t, all_spans(t, patterns)[1]) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, "text", pa.array(found, pa.string()))
+            found = [None if text is None else masked(text, spans) for text, _, spans in _spans_of(batch, at, known)]
+            batch = batch.set_column(at, "text", pa.array(found, pa.string()))
+            yield batch.select(range(batch.num_columns - 1))
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return mapped(docs, run, ddl)
+    return mapped(rows, run, ddl)
