@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelane.llm import jaccard_join, line_dedup, packing, pii, quality
-from farelane.llm.common import saved, tokenizer_file
+from farelane.llm.common import row_key, saved, tokenizer_file
 from farelane.scratch import scratch_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,9 +28,22 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every group of near copies; documents without words stay."""
-    found = jaccard_join.jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(saved(found, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of every group of near copies; documents without words stay.
+
+    Rows are judged by their texts, also those of one doc_id or of none. Of a group the
+    row of smallest id stays, then of smallest text and other columns; a null id comes last.
+    """
+    linked = saved(jaccard_join.linked_rows(docs), "linked-rows")
+    least = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id"))["id"].alias("least")
+    several = linked.groupBy("component").agg(F.count("*").alias("n"), least).filter("n > 1")
+    found = linked.join(several, "component").select("id", "text_hash", "component", "least").distinct()
+    found = saved(found, "near-copies")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("id")) & (row_key() == F.col("text_hash"))
+    others = docs.join(found, same, "left_anti")
+    first = docs.join(found.filter(F.col("id").eqNullSafe(F.col("least"))), same)
+    columns = ["text", *(c for c in docs.columns if c != "text")]
+    first = first.groupBy("component").agg(F.min(F.struct(*columns)).alias("r")).select("r.*")
+    return others.unionByName(first).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -296,6 +296,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     its component its component_id is null. Other columns are left out, and an empty
     table gives an empty one.
     """
+    rows, groups, labels = _linked(docs)
+    return _named(rows, groups, labels)
+
+
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """id, text_hash (``row_key``), component for every row of ``docs`` with words; rows of one component link."""
+    rows, groups, labels = _linked(docs)
+    labelled = groups.join(labels, F.col("group") == F.col("node"), "left")
+    labelled = labelled.select(F.col("group").alias("of"), F.coalesce("component", "group").alias("label"))
+    joined = rows.filter("size > 0").join(labelled, F.col("group") == F.col("of"))
+    return joined.select(F.col("doc_id").alias("id"), F.col("tie").alias("text_hash"), F.col("label").alias("component"))
+
+
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with the group of their set, groups with one row of each, and components of linked groups."""
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select("doc_id", "text")
@@ -316,7 +331,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     if rest.limit(1).count():
         links = links.union(saved(_verified(docs, groups, rest), "more-links"))
         labels = saved(components(links), "labels")
-    return _named(rows, groups, labels)
+    return rows, groups, labels
 
 
 def _named(rows: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
