@@ -10,7 +10,6 @@ pattern.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -31,7 +30,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: What may be an identifier beside the base patterns: a spelled-out address, or a run with five digits or more.
 LIKELY = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9.-]+"
-    r"|\+?\(?[0-9](?:[\x20()./-]?[0-9A-Z]){4,23}"
+    r"|\+?\(?[0-9](?:[\x20()./-]?[0-9A-Z]){4,}+"
 )
 LEAD = 48
 LEAD_WORD = re.compile(r"[^\W\d_]+[:#=]?|[:#=]")
@@ -97,18 +96,17 @@ def lead_of(text: str, start: int) -> str | None:
 
 
 def candidates(text: str, base: list[Span]) -> Iterator[tuple[int, int, str]]:
-    """Likely identifiers that touch no base span, with their lexical pattern."""
+    """Likely identifiers that touch no base span, each as long as it goes on, with their lexical pattern."""
     starts = [a for a, _, _ in base]
     ends = list(accumulate((b for _, b, _ in base), max))
-    for m in LIKELY.finditer(text):
-        if sum(c in "0123456789" for c in m.group()) < 5 and "at" not in m.group().lower():
-            continue
-        before = bisect_left(starts, m.end())
-        if before and ends[before - 1] > m.start():
-            continue
-        lead = lead_of(text, m.start())
-        if lead:
-            yield m.start(), m.end(), lead
+    # Each gap between base spans for itself, so that a run that meets one keeps what lies before and after.
+    for at, end in zip([0, *ends], [*starts, len(text)]):
+        for m in LIKELY.finditer(text, at, max(at, end)):
+            if sum(c in "0123456789" for c in m.group()) < 5 and "at" not in m.group().lower():
+                continue
+            lead = lead_of(text, m.start())
+            if lead:
+                yield m.start(), m.end(), lead
 
 
 def _may_hold(text: str) -> bool:

@@ -24,3 +24,12 @@ def test_joined_patterns_equal_shipped_ones(spark, monkeypatch):
     assert joined[1].columns == table.columns
     assert [sorted(map(repr, t.collect())) for t in joined] == shipped
     assert sum("call me: [PHONE]" in row for row in shipped[1]) == 23
+
+
+def test_a_long_identifier_is_masked_whole():
+    for digits in (24, 25, 28, 60):
+        text = f"call me: {'7' * digits} bye"
+        assert pii.masked(text, pii.all_spans(text, {"call me:": "phone"})[1]) == "call me: [PHONE] bye"
+    text = "call me: 743-555-2222 10.0.0.1 " + "5" * 30
+    spans = pii.all_spans(text, {"call me:": "phone"})[1]
+    assert [text[a:b] for a, b, _ in spans] == ["743-555-2222", "10.0.0.1", "5" * 30]
