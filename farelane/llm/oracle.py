@@ -56,4 +56,97 @@ ORACLE = {
                CAST(sum(size) AS BIGINT) AS formatted_chars
         FROM shaped GROUP BY conv_id
     """,
+    "op11_source_divergence": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+        ), words AS (
+            SELECT row, lang, source, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d
+        ), kept AS (
+            SELECT lang, term, CAST(count(*) AS HUGEINT) AS all_n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+        ), own AS (
+            SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM d
+        ), langs AS (
+            SELECT lang, count(*) AS v, sum(all_n) AS total FROM kept GROUP BY lang
+        ), totals AS (
+            SELECT lang, source, sum(n) AS total FROM own GROUP BY ALL
+        ), shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+                   1 + (1000000000 * (CAST(coalesce(o.n, 0) AS HUGEINT) + 2)) // (coalesce(t.total, 0) + 2 * l.v) AS p,
+                   1 + (1000000000 * (k.all_n + 2)) // (l.total + 2 * l.v) AS q
+            FROM groups g JOIN kept k ON g.lang = k.lang JOIN langs l ON g.lang = l.lang
+            LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+            LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+        ), gaps AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN gaps s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ), found AS (
+            SELECT * FROM pairs
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS r FROM found
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR r <= 10
+    """,
+    "op13_merkle_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, text, list_reduce(
+                       list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))
+                   ) AS crc,
+                   coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+                   || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+                   || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head
+            FROM documents
+        ), texts AS (
+            SELECT *, CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS other FROM d
+        ), hashed AS (
+            SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(octet_length(encode(other)) || ':' || other, '-')) AS folded
+            FROM texts
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+        ), nodes AS (
+            SELECT source, 0 AS level, place, leaf AS digest, count(*) OVER (PARTITION BY source) AS size FROM leaves
+            UNION ALL
+            SELECT source, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), any_value((size + 2) // 3)
+            FROM nodes WHERE size > 1 GROUP BY source, level, place // 3
+        ), subroots AS (
+            SELECT source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS place, count(*) OVER () AS size FROM nodes WHERE size = 1
+        ), tops AS (
+            SELECT 0 AS level, place, digest, size FROM subroots
+            UNION ALL
+            SELECT level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), any_value((size + 2) // 3)
+            FROM tops WHERE size > 1 GROUP BY level, place // 3
+        ), every_node AS (
+            SELECT source, false AS top, level, place // 3 AS run, list({'place': place, 'digest': digest} ORDER BY place) AS kids
+            FROM nodes WHERE size > 1 GROUP BY ALL
+            UNION ALL
+            SELECT NULL, true, level, place // 3, list({'place': place, 'digest': digest} ORDER BY place) FROM tops WHERE size > 1 GROUP BY ALL
+        ), way AS (
+            SELECT l.doc_id, l.source, l.leaf, l.place AS first_place, false AS top, 0 AS level, l.place AS place, l.folded, '' AS proof FROM leaves l
+            UNION ALL
+            SELECT w.doc_id, w.source, w.leaf, w.first_place,
+                   CASE WHEN n.kids IS NULL THEN true ELSE w.top END, CASE WHEN n.kids IS NULL THEN 0 ELSE w.level + 1 END,
+                   CASE WHEN n.kids IS NULL THEN s.place ELSE w.place // 3 END,
+                   CASE WHEN n.kids IS NULL THEN w.folded ELSE sha256(list_aggregate(list_transform(n.kids, lambda k: CASE WHEN k.place = w.place THEN w.folded ELSE k.digest END), 'string_agg', '')) END,
+                   CASE WHEN n.kids IS NULL THEN w.proof
+                        ELSE w.proof || coalesce(list_aggregate(list_transform(list_filter(n.kids, lambda k: k.place <> w.place), lambda k: k.digest), 'string_agg', ''), '') END
+            FROM way w
+            LEFT JOIN every_node n ON n.top = w.top AND n.level = w.level AND n.run = w.place // 3 AND (w.top OR n.source IS NOT DISTINCT FROM w.source)
+            JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source
+            WHERE n.kids IS NOT NULL OR NOT w.top
+        ), ends AS (
+            SELECT *, row_number() OVER (PARTITION BY source, first_place ORDER BY top DESC, level DESC) AS r FROM way
+        )
+        SELECT e.doc_id, e.leaf, s.digest AS subroot, t.digest AS root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root, e.folded = t.digest AS verified
+        FROM ends e JOIN subroots s ON s.source IS NOT DISTINCT FROM e.source, (SELECT digest FROM tops WHERE size = 1) t WHERE r = 1
+    """,
 }

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import ann, bpe, chat, exact_topk, jaccard_join, line_dedup, packing, pii, quality, token_files
+from farelane.llm import ann, bpe, chat, divergence, exact_topk, jaccard_join, line_dedup, merkle, packing, pii, quality, token_files
 from farelane.llm.common import in_slices, mapped, tokenizer_file
 from farelane.scratch import scratch_folder
 
@@ -102,10 +102,22 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of every language, and the words each source favours."""
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and check of every document, some read without their line feeds."""
+    docs = _table(spark, sf_dir, "documents")
+    proven = merkle.prove(docs, merkle.tampered_text())
+    return proven.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_exact_topk, op3_bpe, op4_packing, op5_line_dedup, op6_jaccard_join,
-        op7_chat_format, op8_pii, op9_token_files, op10_ann,
+        op7_chat_format, op8_pii, op9_token_files, op10_ann, op11_source_divergence, op13_merkle_manifest,
     )
 }
