@@ -95,6 +95,32 @@ ORACLE = {
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
         FROM ranked WHERE part = 'pair' OR r <= 10
     """,
+    "op12_suffix_dedup": """
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS bytes FROM documents
+        ), strings AS (
+            SELECT r, doc_id, pos, substring(bytes, 2 * pos + 1, 100) AS string
+            FROM (SELECT *, unnest(range(0, length(bytes) // 2 - 49)) AS pos FROM d WHERE length(bytes) >= 100 AND doc_id IS NOT NULL)
+        ), firsts AS (
+            SELECT string, min(doc_id) AS least FROM strings GROUP BY string HAVING min(doc_id) < max(doc_id)
+        ), hits AS (
+            SELECT s.r, s.pos, lag(s.pos) OVER (PARTITION BY s.r ORDER BY s.pos) AS before
+            FROM strings s JOIN firsts f ON s.string = f.string WHERE f.least < s.doc_id
+        ), numbered AS (
+            SELECT r, pos, sum(CASE WHEN before IS NULL OR pos > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY pos) AS span FROM hits
+        ), spans AS (
+            SELECT r, min(pos) AS a, max(pos) + 50 AS b FROM numbered GROUP BY r, span
+        ), cuts AS (
+            SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS free_from FROM spans
+        ), kept AS (
+            SELECT c.r, count(*) AS n_spans, sum(b - a) AS n_removed,
+                   string_agg(substring(d.bytes, 2 * free_from + 1, 2 * (a - free_from)), '' ORDER BY a) AS head, max(b) AS tail_from
+            FROM cuts c JOIN d ON d.r = c.r GROUP BY c.r
+        )
+        SELECT doc_id, length(bytes) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(head, '') || substring(bytes, 2 * coalesce(tail_from, 0) + 1))) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.r = kept.r
+    """,
     "op13_merkle_manifest": """
         WITH RECURSIVE d AS (
             SELECT doc_id, source, text, list_reduce(

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm import ann, bpe, chat, divergence, exact_topk, jaccard_join, line_dedup, merkle, packing, pii, quality, token_files
+from farelane.llm import ann, bpe, chat, divergence, exact_topk, jaccard_join, line_dedup, merkle, packing, pii, quality, suffix_dedup, token_files
 from farelane.llm.common import in_slices, mapped, tokenizer_file
 from farelane.scratch import scratch_folder
 
@@ -107,6 +107,12 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes removed from every document because a smaller one holds them, and a digest of what is kept."""
+    kept = suffix_dedup.drop_repeated_strings(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, proof and check of every document, some read without their line feeds."""
     docs = _table(spark, sf_dir, "documents")
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_exact_topk, op3_bpe, op4_packing, op5_line_dedup, op6_jaccard_join,
-        op7_chat_format, op8_pii, op9_token_files, op10_ann, op11_source_divergence, op13_merkle_manifest,
+        op7_chat_format, op8_pii, op9_token_files, op10_ann, op11_source_divergence, op12_suffix_dedup,
+        op13_merkle_manifest,
     )
 }
