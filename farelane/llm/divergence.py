@@ -21,7 +21,7 @@ MIN_DOCUMENTS = 10
 SCALE = 1_000_000_000
 TOP_TERMS = 10
 #: Bytes of text whose words are sorted together; a longer text is a shard of its own.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 
 #: Bytes of words are letters and all of other scripts.
 IS_TERM = np.zeros(256, bool)
