@@ -124,8 +124,12 @@ def _read(docs: DataFrame) -> DataFrame:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, documents, n: rows that hold a word and its occurrences, by group."""
-    found = mapped(_read(docs), _shards, COUNTS_DDL)
+    """lang, source, term, documents, n: rows that hold a word and its occurrences, by group.
+
+    Shards have summed already, so the one shuffle is by word, and both the sums of a group
+    and those of a language find their rows in one place.
+    """
+    found = mapped(_read(docs), _shards, COUNTS_DDL).repartition("lang", "term")
     return found.groupBy("lang", "source", "term").agg(F.sum("documents").alias("documents"), F.sum("n").alias("n"))
 
 
@@ -153,11 +157,11 @@ def source_divergence(docs: DataFrame) -> DataFrame:
     depend on a count alone and are summed by distinct count; words of both sources follow by a
     join of the kept counts, which sums before it shuffles.
     """
-    counts = saved(term_counts(docs), "term-counts")
+    counts = term_counts(docs)
     groups = _read(docs).select("lang", "source").distinct()
-    by_lang = counts.groupBy("lang", "term").agg(F.sum("documents").alias("documents"), F.sum("n").alias("all_n"))
-    kept = by_lang.filter(F.col("documents") >= MIN_DOCUMENTS).select("lang", "term", "all_n")
-    kept = saved(counts.select("lang", "source", "term", "n").join(kept, ["lang", "term"]), "kept-terms")
+    word = Window.partitionBy("lang", "term")
+    summed = counts.withColumns({"in_lang": F.sum("documents").over(word), "all_n": F.sum("n").over(word)})
+    kept = saved(summed.filter(F.col("in_lang") >= MIN_DOCUMENTS).select("lang", "source", "term", "n", "all_n"), "kept-terms")
     langs = kept.groupBy("lang", "term").agg(F.first("all_n").alias("all_n")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("lang_total"))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
     groups = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").fillna(0)
