@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelane.llm.common import in_slices, mapped, saved, ship_package
+from farelane.operators.lookups import small_side
 from farelane.operators.numbering import number_rows
 
 ARITY = 3
@@ -90,7 +91,7 @@ def _ranked(rows: DataFrame, order: list[str]) -> DataFrame:
     """NODES of whole trees: ranks from 0, and the height of the tree."""
     ranked = number_rows(rows, "rank", order, ["tree"])
     heights = rows.groupBy("tree").agg(F.count("*").alias("n")).select("tree", _height(F.col("n")).alias("height"))
-    return ranked.join(heights, "tree").select("tree", (F.col("rank") - 1).alias("rank"), "digest", "height", "doc_id", "other")
+    return ranked.join(small_side(heights), "tree").select("tree", (F.col("rank") - 1).alias("rank"), "digest", "height", "doc_id", "other")
 
 
 def _segment(key: tuple, table: pa.Table) -> pa.Table:
@@ -119,8 +120,9 @@ def build(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     ship_package(nodes.sparkSession)
     stores, roots, tallest = [], None, nodes.agg(F.max("height")).first()[0] or 0
     while not stores or tallest > 0:
-        group = F.floor(F.col("rank") / (WIDTH * SEGMENTS_PER_GROUP)).cast("long").alias("part")
-        store = saved(nodes.groupBy("tree", group).applyInArrow(_segment, STORE_DDL), f"merkle-{len(stores)}")
+        # Dealt by tree and place, so that a large tree is hashed by many tasks.
+        dealt = nodes.withColumn("part", F.floor(F.col("rank") / (WIDTH * SEGMENTS_PER_GROUP)).cast("long")).repartition("tree", "part")
+        store = saved(dealt.groupBy("tree", "part").applyInArrow(_segment, STORE_DDL), f"merkle-{len(stores)}")
         stores.append(store)
         done = store.filter("height <= 0").select("tree", "digest", F.lit(len(stores)).cast("int").alias("segments"))
         roots = done if roots is None else roots.unionByName(done)
