@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.plans.cleaning import clean_trips, watch_rows
+from farelane.plans.cleaning import clean_trips
 from farelane.plans.daily import daily_kpis_on, zone_kpis_on
-from farelane.sinks.store import STORE_KEYS, append, read_month_to_date, with_store_keys, write_store
+from farelane.sinks.store import DAY_KEY, append, read_month_to_date, replace_source, source_folder, with_store_keys, write_store
 from farelane.sinks.tables import daily_table_names, publish
 from farelane.sources.files import read_month_files
 
@@ -19,17 +19,31 @@ def ingest_raw(
     service: str,
     dropoff: str,
     source: str | None = None,
-    keys: tuple[str, ...] = STORE_KEYS,
-) -> None:
-    """Files that match the patterns into the raw store, by day of drop-off; files that vanish are skipped.
+    below: tuple[str, ...] = (DAY_KEY,),
+) -> list[str]:
+    """Files that match the patterns into the raw store, by day of drop-off; gives back the sources written.
 
-    Rows belong to their file's name, or to ``source`` if given. Ingesting a file again
-    replaces its own rows only, also in days that it shares with other files.
+    Each file is a source of its own, named by its whole path, or all are ``source`` if given.
+    Ingesting a file again replaces all its rows and no others, also in days that it shares
+    with other files or no longer has. Files that vanish are skipped.
     """
-    files = spark.read.option("ignoreMissingFiles", "true").parquet(*patterns)
-    owner = F.lit(source) if source else F.col("_metadata.file_name")
-    keyed = files.withColumns({"trip_day": F.to_date(dropoff), "service": F.lit(service), "source": owner})
-    write_store(keyed, target, keys)
+    reader = spark.read.option("ignoreMissingFiles", "true")
+    every = reader.parquet(*patterns)
+    if source:
+        inputs = {source: every}
+    else:
+        found = spark.read.format("binaryFile").load(patterns).select("path").orderBy("path").collect()
+        inputs = {row["path"]: reader.schema(every.schema).parquet(row["path"]) for row in found}
+    for name, rows in inputs.items():
+        replace_source(rows.withColumn(DAY_KEY, F.to_date(dropoff)), target, service, name, below)
+    return list(inputs)
+
+
+def stored_rows(spark: SparkSession, target: str, service: str, source: str) -> int:
+    """Rows that the store holds of one source; no column is read, so the files' footers tell."""
+    folder = source_folder(target, service, source)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    return 0 if files.select("path").isEmpty() else spark.read.parquet(folder).count()
 
 
 def raw_to_processed(
@@ -39,18 +53,18 @@ def raw_to_processed(
     target: str,
     source: str,
     null_policy: str = "strict",
-    keys: tuple[str, ...] = STORE_KEYS,
+    below: tuple[str, ...] = (DAY_KEY,),
     files: int | None = None,
 ) -> dict[str, int]:
-    """Cleans one service into the processed store; rows are counted while they are written.
+    """Cleans one service into the processed store and tells the rows before and after.
 
-    ``source`` names the input, such as its month: a later run replaces the rows of the
-    same source and leaves those of others in the days that both touch.
+    ``source`` names the input, such as its month: a later run replaces all rows of the
+    same source and leaves those of others in the days that both touch. Rows after are
+    counted from the files that the write left, so tasks that ran twice do not count twice.
     """
-    seen, rows_in = watch_rows(raw, f"{service} before")
-    cleaned, rows_out = watch_rows(clean_trips(seen, zones, service, null_policy), f"{service} after")
-    write_store(with_store_keys(cleaned, service, source), target, keys, files)
-    return {"before": rows_in.get["rows"], "after": rows_out.get["rows"]}
+    cleaned = clean_trips(raw, zones, service, null_policy)
+    replace_source(with_store_keys(cleaned), target, service, source, below, files)
+    return {"before": raw.count(), "after": stored_rows(raw.sparkSession, target, service, source)}
 
 
 def clean_month_files(

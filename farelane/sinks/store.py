@@ -1,16 +1,20 @@
-"""The trip store: files by service, day of drop-off and source.
+"""The trip store: files by service, source and day of drop-off.
 
-A write replaces the folders that occur in its rows. Inputs are cut by pick-up, folders
-by drop-off, so two inputs meet in the days at their ends. The source, the name of the
-input, is the last part of the path: an input replaces its own rows alone.
+The source names the input, such as the whole path of a file or a month. Inputs are cut by
+pick-up, folders by drop-off, so two inputs meet in the days at their ends. A write replaces
+all that its service and source held, also days that the input no longer has.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STORE_KEYS = ("service", "trip_day", "source")
+SOURCE_KEYS = ("service", "source")
+DAY_KEY = "trip_day"
+STORE_KEYS = (*SOURCE_KEYS, DAY_KEY)
 
 
 def with_store_keys(trips: DataFrame, service: str | None = None, source: str | None = None) -> DataFrame:
@@ -20,6 +24,18 @@ def with_store_keys(trips: DataFrame, service: str | None = None, source: str |
     return dated.withColumn("service", F.lit(service)) if service else dated
 
 
+def _folder(name: str, value: str) -> str:
+    """The folder of a partition value, with signs that paths give a meaning as ``%`` and their code."""
+    if not value:
+        raise ValueError(f"{name} must not be empty")
+    return f"{name}=" + re.sub(r"[^\w.\- ]", lambda sign: f"%{ord(sign[0]):02X}", value)
+
+
+def source_folder(path: str, service: str, source: str) -> str:
+    """Where the store holds one source of a service."""
+    return "/".join([path.rstrip("/"), _folder("service", service), _folder("source", source)])
+
+
 def shaped(df: DataFrame, keys: tuple[str, ...] = (), files: int | None = None) -> DataFrame:
     """Rows spread for writing.
 
@@ -32,6 +48,30 @@ def shaped(df: DataFrame, keys: tuple[str, ...] = (), files: int | None = None)
     return df.hint("rebalance", *[F.col(key) for key in keys])
 
 
+def replace_source(
+    df: DataFrame,
+    path: str,
+    service: str,
+    source: str,
+    below: tuple[str, ...] = (DAY_KEY,),
+    files: int | None = None,
+    fmt: str = "parquet",
+    sort: tuple[str, ...] = (),
+) -> None:
+    """Makes ``df`` all that the store holds of one service and source.
+
+    The folder of the source is overwritten as a whole, with folders by ``below`` in it, so a
+    day that has gone from the input goes from the store, and an input without any row leaves
+    nothing. Other sources of the same days stay. If the write fails the source is incomplete
+    until it is written again.
+    """
+    target = source_folder(path, service, source)
+    rows = shaped(df.drop(*SOURCE_KEYS), below, files)
+    writer = (rows.sortWithinPartitions(*below, *sort) if sort else rows).write.format(fmt).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static").partitionBy(*below) if below else writer
+    writer.save(target)
+
+
 def write_store(
     df: DataFrame,
     path: str,
@@ -40,10 +80,11 @@ def write_store(
     fmt: str = "parquet",
     sort: tuple[str, ...] = (),
 ) -> None:
-    """Replaces the partitions that occur in ``df`` and leaves all others alone.
+    """Replaces the folders that occur in ``df`` and leaves all others alone.
 
-    ``sort`` orders the rows within each file, so that a filter on those columns
-    skips row groups; for stores whose folders are coarser than a day.
+    For rows that are whole folders. An input that may lose days goes through
+    ``replace_source``. ``sort`` orders the rows within each file, so that a filter on those
+    columns skips row groups; for stores whose folders are coarser than a day.
     """
     rows = shaped(df, keys, files)
     (

@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 from datetime import date, datetime, timedelta
 
 import pyarrow as pa
@@ -9,11 +11,11 @@ from pyspark.sql import types as T
 
 from farelane.functions.text import day_path, month_file_parts, service_type
 from farelane.plans.augment import augment_month_files
-from farelane.plans.ingest import clean_month_files, convert_table, ingest_raw, publish_day
+from farelane.plans.ingest import clean_month_files, convert_table, ingest_raw, publish_day, stored_rows
 from farelane.scratch import scratch_folder
 from farelane.sinks import tables
 from farelane.sinks.exports import write_csv
-from farelane.sinks.store import append, read_day, read_month_to_date, with_store_keys, write_store
+from farelane.sinks.store import append, read_day, read_month_to_date, replace_source, with_store_keys, write_store
 from farelane.sources import files
 from tests.test_reports import frame as plain_frame
 from tests.test_reports import trip
@@ -33,8 +35,8 @@ def store(spark, tmp_path):
 
 
 def test_folders_are_days_of_dropoff(store):
-    assert sorted(d for d in os.listdir(f"{store}/service=yellow")) == [f"trip_day=2024-01-{d:02}" for d in range(1, 6)]
-    assert os.listdir(f"{store}/service=green") == ["trip_day=2024-01-04"]
+    assert sorted(d for d in os.listdir(f"{store}/service=yellow/source=one")) == [f"trip_day=2024-01-{d:02}" for d in range(1, 6)]
+    assert os.listdir(f"{store}/service=green/source=one") == ["trip_day=2024-01-04"]
 
 
 def test_day_and_month_reads(spark, store):
@@ -113,6 +115,88 @@ def test_inputs_that_share_a_day_keep_their_rows(spark, tmp_path):
     assert {str(r["trip_day"]): r["count"] for r in days} == {"2024-01-31": 1, "2024-02-01": 3, "2024-02-02": 1}
 
 
+def _trip_files(spark, root, months):
+    for folder, ends in months.items():
+        rows = [(datetime.fromisoformat(end), i) for i, end in enumerate(ends)]
+        os.makedirs(f"{root}/{folder}", exist_ok=True)
+        pq.write_table(pa.table({"dropoff": [r[0] for r in rows], "v": [r[1] for r in rows]}), f"{root}/{folder}/data.parquet")
+
+
+def _stored(spark, target):
+    return sorted((str(r["trip_day"]), r["v"]) for r in spark.read.parquet(target).collect())
+
+
+def test_files_of_one_name_are_sources_of_their_own(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "raw")
+    _trip_files(spark, source, {"2024-01": ["2024-01-31 09:00", "2024-02-01 00:10"], "2024-02": ["2024-02-01 08:00", "2024-02-02 10:00"]})
+    for month in ("2024-01", "2024-02", "2024-01"):
+        (name,) = ingest_raw(spark, [f"{source}/{month}/*.parquet"], target, "yellow", "dropoff")
+        assert name.endswith(f"/{month}/data.parquet")
+    assert _stored(spark, target) == [("2024-01-31", 0), ("2024-02-01", 0), ("2024-02-01", 1), ("2024-02-02", 1)]
+    assert len(ingest_raw(spark, [f"{source}/*/*.parquet"], target, "yellow", "dropoff")) == 2
+    assert len(_stored(spark, target)) == 4
+
+
+def test_a_day_that_has_gone_from_a_file_goes_from_the_store(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "raw")
+    _trip_files(spark, source, {"a": ["2024-01-31 09:00", "2024-02-01 00:10"], "b": ["2024-02-01 07:00"]})
+    ingest_raw(spark, [f"{source}/*/*.parquet"], target, "yellow", "dropoff")
+    _trip_files(spark, source, {"a": ["2024-01-31 10:00"]})
+    ingest_raw(spark, [f"{source}/a/*.parquet"], target, "yellow", "dropoff")
+    assert _stored(spark, target) == [("2024-01-31", 0), ("2024-02-01", 0)]
+
+
+def test_odd_source_names_come_back(spark, tmp_path):
+    names = ["s3a://lake/a b/2024=01/data.parquet", "100%", "ä#'\"?*:{[^]}", "2024"]
+    for i, name in enumerate(names):
+        replace_source(spark.range(i + 1).withColumn("trip_day", F.lit("2024-01-01")), str(tmp_path), "yellow", name)
+        replace_source(spark.range(i + 1).withColumn("trip_day", F.lit("2024-01-01")), str(tmp_path), "yellow", name)
+    found = spark.read.parquet(str(tmp_path)).groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in found} == {name: i + 1 for i, name in enumerate(names)}
+    assert [stored_rows(spark, str(tmp_path), "yellow", name) for name in names] == [1, 2, 3, 4]
+    with pytest.raises(ValueError):
+        replace_source(spark.range(1), str(tmp_path), "yellow", "")
+
+
+def test_a_source_that_became_empty_leaves_nothing(spark, tmp_path):
+    path = str(tmp_path / "store")
+    days = frame(spark, [trip("2024-01-01 09:00"), trip("2024-01-02 09:00")])
+    for source in ("one", "two"):
+        replace_source(days, path, "yellow", source)
+    replace_source(days.where("false"), path, "yellow", "one")
+    assert {tuple(r) for r in spark.read.parquet(path).groupBy("source").count().collect()} == {("two", 2)}
+    assert stored_rows(spark, path, "yellow", "one") == 0 and stored_rows(spark, path, "yellow", "two") == 2
+
+
+FAILS_ONCE = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from farelane.sinks.store import replace_source
+from farelane.plans.ingest import stored_rows
+
+spark = SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "3").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+failures = sys.argv[2]
+
+def through(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+        open(failures, "a").write("failed ")
+        raise RuntimeError("once")
+
+rows = spark.range(1000, numPartitions=4).mapInArrow(through, "id long").withColumn("trip_day", F.lit("2024-01-01"))
+replace_source(rows, sys.argv[1], "yellow", "one")
+print(stored_rows(spark, sys.argv[1], "yellow", "one"))
+"""
+
+
+def test_counts_hold_after_a_task_ran_twice(tmp_path):
+    command = [sys.executable, "-c", FAILS_ONCE, str(tmp_path / "store"), str(tmp_path / "failures")]
+    done = subprocess.run(command, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split() == ["1000"] and (tmp_path / "failures").read_text() == "failed "
+
+
 def test_publishing_refuses_other_columns_and_types(spark, tmp_path):
     report = spark.createDataFrame([(1, 2.0, "x")], "a int, v double, date string")
     publish = lambda df: tables.publish(df, "checked_table", folder=str(tmp_path / "table"))

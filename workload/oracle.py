@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from workload.queries import CUSTOMER, DAY, DRAWN_CUSTOMERS, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, TOP_K
+from workload.queries import (
+    CUSTOMER, DAY, DRAWN_CUSTOMERS, LOST_FROM, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, TOP_K, TURN_FIRST,
+)
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -402,6 +404,10 @@ ORACLE: dict[str, str] = {
     "ingest_overlapping_years": _with(
         "SELECT service, trip_day, count(*) AS trips, sum(total_amount) AS revenue FROM trips GROUP BY ALL"
     ),
+    "ingest_default_layout": _with(
+        f"""SELECT service, trip_day, count(*) AS trips, sum(total_amount) AS revenue FROM trips
+            WHERE pickup_datetime >= DATE '{TURN_FIRST}' AND pickup_datetime < DATE '{LOST_FROM}' GROUP BY ALL"""
+    ),
     "lookup_csv_pinned": _with("SELECT * FROM zones", ZONES),
     "lookup_csv_inferred": _with("SELECT * FROM zones", ZONES),
     "cdc_parse": APPENDED,

@@ -410,7 +410,7 @@ def processed_store_kpis(spark, sf_dir):
     """Raw trips of both services through the cleaning job into a store, then the zone report from it."""
     store, zones = scratch_folder(spark, "processed"), tables.zones(spark, sf_dir)
     for service in ("yellow", "green"):
-        raw_to_processed(_raw(spark, sf_dir, service), zones, service, store, "all", keys=("service", "source"))
+        raw_to_processed(_raw(spark, sf_dir, service), zones, service, store, "all", below=())
     return daily.zone_kpis(spark.read.parquet(store), zones)
 
 
@@ -488,19 +488,52 @@ def latest_file_of_store(spark, sf_dir):
     return read_latest(spark, root)
 
 
+def _year_files(spark, trips: DataFrame) -> str:
+    """Trips in folders by service and year of pick-up, all files of one name per folder level."""
+    root = scratch_folder(spark, "years")
+    rows = trips.drop("trip_day").withColumn("period", F.year("pickup_datetime"))
+    rows.repartition("service", "period").write.partitionBy("service", "period").parquet(root)
+    return root
+
+
+def _by_service_and_day(stored: DataFrame) -> DataFrame:
+    return stored.groupBy("service", "trip_day").agg(F.count("*").alias("trips"), F.sum("total_amount").alias("revenue"))
+
+
 @register
 def ingest_overlapping_years(spark, sf_dir):
     """All trips in files by year of pick-up, ingested one after another and one of them twice, counted by drop-off."""
-    files, store = scratch_folder(spark, "years"), scratch_folder(spark, "raw")
-    trips = _trips(spark, sf_dir).drop("trip_day").withColumn("period", F.year("pickup_datetime"))
-    trips.write.partitionBy("service", "period").parquet(files)
-    periods = [tuple(r) for r in trips.select("service", "period").distinct().orderBy("service", "period").collect()]
+    store, trips = scratch_folder(spark, "raw"), _trips(spark, sf_dir)
+    files = _year_files(spark, trips)
+    periods = [tuple(r) for r in trips.select("service", F.year("pickup_datetime")).distinct().orderBy("service", F.year("pickup_datetime")).collect()]
     for service, period in [*periods, periods[1]]:
         pattern = f"{files}/service={service}/period={period}/*.parquet"
-        ingest_raw(spark, [pattern], store, service, "dropoff_datetime", str(period), ("service", "source"))
-    return spark.read.parquet(store).groupBy("service", "trip_day").agg(
-        F.count("*").alias("trips"), F.sum("total_amount").alias("revenue")
-    )
+        ingest_raw(spark, [pattern], store, service, "dropoff_datetime", str(period), below=())
+    return _by_service_and_day(spark.read.parquet(store))
+
+
+#: Days around a turn of the year, and the first day that the second file has lost when it comes again.
+TURN_FIRST, TURN_LAST, LOST_FROM = "1995-10-01", "1996-03-31", "1996-03-01"
+
+
+def _turn_of_year(spark, sf_dir) -> DataFrame:
+    near = tables.items_near(_items(spark, sf_dir), TURN_FIRST, TURN_LAST)
+    return tables.trips(near).where(f"pickup_datetime >= '{TURN_FIRST}' AND pickup_datetime < DATE '{TURN_LAST}'")
+
+
+@register
+def ingest_default_layout(spark, sf_dir):
+    """Two years' files in folders by service, source and day; the second is ingested again without its last month.
+
+    Both lie in folders of their own and hold trips that end on the first day of the second year.
+    """
+    store, trips = scratch_folder(spark, "raw"), _turn_of_year(spark, sf_dir)
+    files, again = _year_files(spark, trips), _year_files(spark, trips.where(f"pickup_datetime < DATE '{LOST_FROM}'"))
+    for service in ("yellow", "green"):
+        for period in (1995, 1996):
+            ingest_raw(spark, [f"{files}/service={service}/period={period}/*.parquet"], store, service, "dropoff_datetime", f"trips/{period}.parquet")
+        ingest_raw(spark, [f"{again}/service={service}/period=1996/*.parquet"], store, service, "dropoff_datetime", "trips/1996.parquet")
+    return _by_service_and_day(spark.read.parquet(store))
 
 
 # Change stream
