@@ -71,6 +71,8 @@ MEDIA_OBJECT = _struct(
     ("content", BinaryType()),
 )
 
+CUSTOMER_COUNT = _struct(("id_customer", LongType()), ("customer_count", LongType()))
+
 
 def change_envelope(after: StructType = GREEN_AFTER) -> StructType:
     """The parts of a change message that are read; the rest is skipped while parsing."""

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from farelane.functions.calendar import time_from_micros
 from farelane.operators.columns import select_if
-from farelane.schemas import CORRUPT, GREEN_AFTER, GREEN_TIMES, change_envelope
+from farelane.schemas import CORRUPT, CUSTOMER_COUNT, GREEN_AFTER, GREEN_TIMES, change_envelope
+from farelane.streaming.newest import FOLD_AFTER, read_newest, start_newest, stored_state
 
 
 def encode_changes(
@@ -82,7 +83,7 @@ SLOTS = 2
 
 
 def start_counts(counts: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False) -> StreamingQuery:
-    """Writes the whole count table at each trigger.
+    """Writes the whole count table at each trigger, for tables that are small.
 
     Batches take turns in two folders, so readers find a whole table while the
     next one is written, and a repeated batch replaces its own rows.
@@ -109,18 +110,56 @@ def read_counts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return table.where(F.col("batch") == newest.scalar()).drop("batch", "slot")
 
 
+def start_changed_counts(
+    counts: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False, every: int = FOLD_AFTER
+) -> StreamingQuery:
+    """Writes the counts that a trigger changed; read them with ``read_changed_counts``."""
+    return start_newest(counts, ["id_customer"], path, checkpoint, fmt, every, once)
+
+
+def read_changed_counts(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return read_newest(spark, path, CUSTOMER_COUNT, ["id_customer"], fmt)
+
+
+def counts_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """id_customer, customer_count as the checkpoint of the running count holds them."""
+    key, value = stored_state(spark, checkpoint).columns
+    return stored_state(spark, checkpoint).select(F.col(key).alias("id_customer"), F.col(value).alias("customer_count"))
+
+
+def recovery_gaps(spark: SparkSession, folder: str, fmt: str = "parquet") -> DataFrame:
+    """Customers for whom the state, the count table and the append log of an ingest job differ.
+
+    Empty when all three went equally far: after a run that took all messages, and after any
+    stop once the job has gone on to the end.
+    """
+    logged = spark.read.format(fmt).load(f"{folder}/data").groupBy("id_customer").agg(F.count("*").alias("logged"))
+    counted = read_changed_counts(spark, f"{folder}/count_customer", fmt).withColumnRenamed("customer_count", "counted")
+    state = counts_in_state(spark, f"{folder}/count_checkpoint").withColumnRenamed("customer_count", "in_state")
+    every = None
+    for part in (logged, counted, state):
+        named = part.withColumnRenamed("id_customer", "_id")
+        every = named if every is None else (
+            every.join(named.withColumnRenamed("_id", "_other"), F.col("_id").eqNullSafe(F.col("_other")), "full")
+            .withColumn("_id", F.coalesce("_id", "_other")).drop("_other")
+        )
+    same = F.col("logged").eqNullSafe(F.col("counted")) & F.col("counted").eqNullSafe(F.col("in_state"))
+    return every.where(~same).withColumnRenamed("_id", "id_customer")
+
+
 def start_ingest(
-    messages: DataFrame, folder: str, fmt: str = "parquet", once: bool = False
+    messages: DataFrame, folder: str, fmt: str = "parquet", once: bool = False, every: int = FOLD_AFTER
 ) -> tuple[StreamingQuery, StreamingQuery, StreamingQuery]:
     """The queries of the job, each with its own checkpoint below ``folder``: rows, counts, rejects.
 
-    Messages that give no row go to ``rejects`` with the reason. Wait with
+    Messages that give no row go to ``rejects`` with the reason. The counts are written by
+    changed keys and folded after ``every`` batches. Wait with
     ``spark.streams.awaitAnyTermination()``, which also ends when one of them
     fails. Started again on the same folder, all go on where they stopped.
     """
     trips = parse_changes(messages)
     return (
         start_append(trips, f"{folder}/data", f"{folder}/checkpoint", fmt, once),
-        start_counts(running_counts(trips), f"{folder}/count_customer", f"{folder}/count_checkpoint", fmt, once),
+        start_changed_counts(running_counts(trips), f"{folder}/count_customer", f"{folder}/count_checkpoint", fmt, once, every),
         start_append(rejected_changes(messages), f"{folder}/rejects", f"{folder}/rejects_checkpoint", fmt, once),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from farelane.schemas import GREEN_AFTER
 from farelane.sources.streams import kafka_options, text_messages
-from farelane.streaming import changes
+from farelane.streaming import changes, newest
 
 AFTER = {
     "vendorid": 2,
@@ -82,7 +82,8 @@ def test_restart_loses_and_repeats_nothing(spark, tmp_path):
         wait(*changes.start_ingest(text_messages(spark, str(feed)), folder, once=True))
     rows = spark.read.parquet(f"{folder}/data")
     assert rows.count() == 4
-    counts = changes.read_counts(spark, f"{folder}/count_customer")
+    counts = changes.read_changed_counts(spark, f"{folder}/count_customer")
+    assert changes.recovery_gaps(spark, folder).count() == 0
     assert counts.columns == ["id_customer", "customer_count"]
     assert {tuple(r) for r in counts.collect()} == {(5, 2), (6, 2)}
     rejected = spark.read.parquet(f"{folder}/rejects")
@@ -102,6 +103,87 @@ def test_count_table_keeps_two_copies(spark, tmp_path):
     assert {tuple(r) for r in changes.read_counts(spark, path).collect()} == {(n, 1) for n in range(5)}
 
 
+def _feed_counts(spark, feed, path, checkpoint, batches, every=2):
+    """One trigger per list of customers, each with new files only; the rows that every trigger wrote."""
+    for n, customers in batches:
+        (feed / f"{n}.txt").write_text("\n".join(message(id_customer=c) for c in customers))
+        source = text_messages(spark, str(feed), files_per_trigger=1)
+        wait(changes.start_changed_counts(changes.running_counts(changes.parse_changes(source)), path, checkpoint, once=True, every=every))
+
+
+def test_a_trigger_writes_changed_keys_only(spark, tmp_path):
+    feed, path, checkpoint = tmp_path / "feed", str(tmp_path / "counts"), str(tmp_path / "c")
+    feed.mkdir()
+    _feed_counts(spark, feed, path, checkpoint, [(0, range(50)), (1, [3]), (2, [3, 60])], every=100)
+    written = spark.read.parquet(f"{path}/changes").groupBy("batch").count().collect()
+    assert {r["batch"]: r["count"] for r in written} == {0: 50, 1: 1, 2: 2}
+    counts = {r[0]: r[1] for r in changes.read_changed_counts(spark, path).collect()}
+    assert counts == {c: 1 for c in [*range(50), 60]} | {3: 3}
+
+
+def test_folds_keep_counts_and_bound_files(spark, tmp_path):
+    feed, path, checkpoint = tmp_path / "feed", str(tmp_path / "counts"), str(tmp_path / "c")
+    feed.mkdir()
+    expected: dict[int, int] = {}
+    for n in range(9):
+        customers = [n % 4, 10 + n, 7]
+        _feed_counts(spark, feed, path, checkpoint, [(n, customers)])
+        for c in customers:
+            expected[c] = expected.get(c, 0) + 1
+        assert {r[0]: r[1] for r in changes.read_changed_counts(spark, path).collect()} == expected, n
+    # Three turns of changes and two bases stay, whatever the number of batches.
+    assert spark.read.parquet(f"{path}/changes").select("batch").distinct().count() <= 3 * 2
+    assert spark.read.parquet(f"{path}/base").select("slot").distinct().count() == 2
+    assert {r[0]: r[1] for r in changes.counts_in_state(spark, checkpoint).collect()} == expected
+
+
+def test_a_repeated_batch_counts_once(spark, tmp_path):
+    """The batch is taken off the commit log, as if the job had died before it ended."""
+    feed, path, checkpoint = tmp_path / "feed", str(tmp_path / "counts"), str(tmp_path / "c")
+    feed.mkdir()
+    _feed_counts(spark, feed, path, checkpoint, [(0, [1, 2]), (1, [2])])
+    for name in ("1", ".1.crc"):
+        (tmp_path / "c" / "commits" / name).unlink()
+    _feed_counts(spark, feed, path, checkpoint, [(2, [5])])
+    assert {tuple(r) for r in changes.read_changed_counts(spark, path).collect()} == {(1, 1), (2, 2), (5, 1)}
+
+
+def test_state_of_a_stopped_job(spark, tmp_path):
+    """RocksDB with changelog checkpoints: what the state reader finds is what was counted."""
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        feed, folder = tmp_path / "feed", str(tmp_path / "out")
+        feed.mkdir()
+        for n, customers in enumerate([[1, 2], [2, 3], [2]]):
+            (feed / f"{n}.txt").write_text("\n".join(message(id_customer=c) for c in customers))
+            wait(*changes.start_ingest(text_messages(spark, str(feed), files_per_trigger=1), folder, once=True))
+            assert changes.recovery_gaps(spark, folder).count() == 0
+        assert {tuple(r) for r in changes.counts_in_state(spark, f"{folder}/count_checkpoint").collect()} == {(1, 1), (2, 3), (3, 1)}
+        (operator,) = newest.state_metadata(spark, f"{folder}/count_checkpoint").select("operatorName").distinct().collect()
+        assert operator[0] == "stateStoreSave"
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_gaps_are_found(spark, tmp_path):
+    feed, folder = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    (feed / "0.txt").write_text("\n".join(message(id_customer=c) for c in (1, 2, 2)))
+    wait(*changes.start_ingest(text_messages(spark, str(feed)), folder, once=True))
+    log = spark.read.parquet(f"{folder}/data").where("id_customer = 1")
+    log.write.parquet(f"{folder}/other/data")
+    (tmp_path / "out" / "count_customer").rename(tmp_path / "out" / "other" / "count_customer")
+    (tmp_path / "out" / "count_checkpoint").rename(tmp_path / "out" / "other" / "count_checkpoint")
+    gaps = changes.recovery_gaps(spark, f"{folder}/other").collect()
+    assert [(r["id_customer"], r["logged"], r["counted"], r["in_state"]) for r in gaps] == [(2, None, 2, 2)]
+
+
 def test_kafka_options():
     options = kafka_options("trips.public.green", ["a:1", "b:2"], max_offsets=10)
     assert options["kafka.bootstrap.servers"] == "a:1,b:2"

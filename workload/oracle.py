@@ -191,6 +191,10 @@ changes AS (SELECT *, pickup_datetime AS lpep_pickup_datetime, dropoff_datetime
   FROM trips WHERE service = 'green')"""
 APPENDED = _with(f"SELECT {AFTER} FROM changes WHERE reason IS NULL", ITEMS, CHANGES)
 
+COUNTED = _with(
+    "SELECT id_customer, count(*) AS customer_count FROM changes WHERE reason IS NULL GROUP BY id_customer", ITEMS, CHANGES
+)
+
 MEDIA = """
 files AS (SELECT doc_id, CASE WHEN doc_id % 50 = 7 THEN '' ELSE CAST(doc_id AS VARCHAR) END AS id,
     '2024' AS year, lpad(CAST(doc_id % 12 + 1 AS VARCHAR), 2, '0') AS month,
@@ -420,8 +424,14 @@ ORACLE: dict[str, str] = {
     "cdc_stream_rejects": _with("SELECT reason, count(*) AS messages FROM changes WHERE reason IS NOT NULL GROUP BY reason", ITEMS, CHANGES),
     "cdc_rejects": _with("SELECT reason, count(*) AS messages FROM changes WHERE reason IS NOT NULL GROUP BY reason", ITEMS, CHANGES),
     "cdc_stream_append": APPENDED,
-    "cdc_stream_customer_count": _with(
-        "SELECT id_customer, count(*) AS customer_count FROM changes WHERE reason IS NULL GROUP BY id_customer", ITEMS, CHANGES
+    "cdc_stream_customer_count": COUNTED,
+    "cdc_stream_count_table": COUNTED,
+    "cdc_state_after_stop": COUNTED,
+    "cdc_recovery_gaps": _with(
+        """SELECT count(DISTINCT id_customer) AS customers, count(*) AS changes, CAST(0 AS BIGINT) AS gaps
+           FROM changes WHERE reason IS NULL""",
+        ITEMS,
+        CHANGES,
     ),
     "cdc_replay": APPENDED,
     "media_encode": _with("SELECT id, image_data FROM messages WHERE id <> '' AND n_bytes <= 5242880", MEDIA),

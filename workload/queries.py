@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -595,14 +596,64 @@ def cdc_stream_append(spark, sf_dir):
     return _local_times(spark.read.parquet(f"{folder}/data"))
 
 
+#: Files of a replayed feed, each a trigger, and triggers between two folds of the count table.
+FEED_FILES, FOLD_EVERY = 6, 2
+
+
+def _change_feed(spark, sf_dir) -> DataFrame:
+    """The change messages as files that are read one per trigger; an empty message becomes an empty line."""
+    feed = scratch_folder(spark, "feed")
+    write_text_messages(_changes(spark, sf_dir), feed, files=FEED_FILES)
+    return text_messages(spark, feed, files_per_trigger=1)
+
+
 @register
 def cdc_stream_customer_count(spark, sf_dir):
-    """Both queries of the job run side by side; the counts are returned."""
+    """All queries of the job run side by side over several triggers; the counts by changed keys are returned."""
     folder = scratch_folder(spark, "changes")
-    _finish(*changes.start_ingest(_change_stream(spark, sf_dir), folder, once=True))
+    _finish(*changes.start_ingest(_change_feed(spark, sf_dir), folder, once=True, every=FOLD_EVERY))
+    return changes.read_changed_counts(spark, f"{folder}/count_customer")
+
+
+@register
+def cdc_stream_count_table(spark, sf_dir):
+    """The counts as a table that each trigger writes as a whole."""
+    folder = scratch_folder(spark, "changes")
+    counts = changes.running_counts(changes.parse_changes(_change_stream(spark, sf_dir)))
+    _finish(changes.start_counts(counts, f"{folder}/count_customer", f"{folder}/count_checkpoint", once=True))
     return changes.read_counts(spark, f"{folder}/count_customer")
 
 
+def _stopped_and_resumed(spark, sf_dir) -> str:
+    """The job stopped after its first batches, wherever its queries were, and started again to the end."""
+    folder, feed = scratch_folder(spark, "changes"), _change_feed(spark, sf_dir)
+    running = changes.start_ingest(feed, folder, every=FOLD_EVERY)
+    deadline = time.monotonic() + STREAM_SECONDS
+    while not any((q.lastProgress or {}).get("batchId", -1) >= 1 for q in running):
+        if time.monotonic() > deadline or not all(q.isActive for q in running):
+            raise TimeoutError("a stream did not get to its second batch")
+        time.sleep(0.1)
+    for query in running:
+        query.stop()
+    _finish(*changes.start_ingest(feed, folder, once=True, every=FOLD_EVERY))
+    return folder
+
+
+@register
+def cdc_state_after_stop(spark, sf_dir):
+    """The counts in the state of the job's checkpoint, after it was stopped between batches and went on."""
+    return changes.counts_in_state(spark, f"{_stopped_and_resumed(spark, sf_dir)}/count_checkpoint")
+
+
+@register
+def cdc_recovery_gaps(spark, sf_dir):
+    """Customers on whom log, counts and state agree after the stop, and on whom they do not."""
+    folder = _stopped_and_resumed(spark, sf_dir)
+    gaps = changes.recovery_gaps(spark, folder)
+    counted = changes.read_changed_counts(spark, f"{folder}/count_customer")
+    return counted.agg(F.count("*").alias("customers"), F.sum("customer_count").alias("changes")).join(gaps.agg(F.count("*").alias("gaps")))
+
+
 @register
 def cdc_replay(spark, sf_dir):
     """Messages written as files and replayed file by file; an empty message becomes an empty line."""
