@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,12 +23,14 @@ def ingest_raw(
     dropoff: str,
     source: str | None = None,
     below: tuple[str, ...] = (DAY_KEY,),
+    at_once: int = 4,
 ) -> list[str]:
     """Files that match the patterns into the raw store, by day of drop-off; gives back the sources written.
 
     Each file is a source of its own, named by its whole path, or all are ``source`` if given.
     Ingesting a file again replaces all its rows and no others, also in days that it shares
-    with other files or no longer has. Files that vanish are skipped.
+    with other files or no longer has. Files that vanish are skipped. Each source is a job of
+    its own, of which some run ``at_once``.
     """
     reader = spark.read.option("ignoreMissingFiles", "true")
     every = reader.parquet(*patterns)
@@ -34,8 +39,12 @@ def ingest_raw(
     else:
         found = spark.read.format("binaryFile").load(patterns).select("path").orderBy("path").collect()
         inputs = {row["path"]: reader.schema(every.schema).parquet(row["path"]) for row in found}
-    for name, rows in inputs.items():
-        replace_source(rows.withColumn(DAY_KEY, F.to_date(dropoff)), target, service, name, below)
+
+    def write(name: str) -> None:
+        replace_source(inputs[name].withColumn(DAY_KEY, F.to_date(dropoff)), target, service, name, below)
+
+    with ThreadPoolExecutor(at_once) as jobs:
+        list(jobs.map(inheritable_thread_target(spark)(write), inputs))
     return list(inputs)
 
 

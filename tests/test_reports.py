@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelane.functions.calendar import part_of_day
+from workload.glued import daily_tables_glued
 from farelane.plans import customers as people
 from farelane.plans import daily
 from farelane.plans.rollup import fact_rollup
@@ -57,7 +58,7 @@ def test_day_without_pickups_gives_no_row(spark):
 def test_one_pass_equals_glued_tables(spark):
     trips = frame(spark, [trip(f"2024-02-{d:02} {h:02}:30", 45, amount=float(d * h)) for d in range(1, 10) for h in range(24)])
     one = daily.daily_kpis_on(trips, "yellow", "2024-02-07").collect()
-    assert one == daily.daily_tables_glued(trips, "yellow", "2024-02-07").collect() and len(one) == 1
+    assert one == daily_tables_glued(trips, "yellow", "2024-02-07").collect() and len(one) == 1
 
 
 def test_zone_report_keeps_unknown_and_missing_zones(spark, zones):

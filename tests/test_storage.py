@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from farelane.functions.text import day_path, month_file_parts, service_type
 from farelane.plans.augment import augment_month_files
+from farelane.plans import daily
 from farelane.plans.ingest import clean_month_files, convert_table, ingest_raw, publish_day, stored_rows
+from farelane.plans.partials import day_partials, merged_daily_kpis, merged_month_to_date, merged_zone_kpis, refresh_partials
 from farelane.scratch import scratch_folder
 from farelane.sinks import tables
 from farelane.sinks.exports import write_csv
@@ -384,3 +386,48 @@ def test_scratch_follows_the_session(spark):
 def test_store_keys(spark):
     df = frame(spark, [trip("2024-01-01 23:55")]).drop("trip_day", "service")
     assert tuple(with_store_keys(df, "green").select("service", "trip_day").first()) == ("green", date(2024, 1, 2))
+
+
+def test_partials_follow_replaced_days(spark, zones, tmp_path):
+    path, target = str(tmp_path / "store"), str(tmp_path / "partials")
+    january = [trip(f"2024-01-{d:02} {h:02}:00", amount=float(d), customer=h) for d in range(1, 6) for h in (1, 9, 23)]
+    late = [trip("2024-01-05 23:55", amount=7.0), trip("2024-01-06 00:10", amount=9.0)]
+    for name, rows in (("one", january), ("two", late)):
+        replace_source(frame(spark, rows), path, "yellow", name)
+        refresh_partials(spark, path, target, "yellow", name)
+
+    def same():
+        trips, partials = spark.read.parquet(path), spark.read.parquet(target)
+        assert sorted(map(repr, merged_daily_kpis(partials).collect())) == sorted(map(repr, daily.daily_kpis(trips).collect()))
+        for how in ("left", "inner"):
+            ours, theirs = merged_zone_kpis(partials, zones, how), daily.zone_kpis(trips, zones, how)
+            assert sorted(map(repr, ours.collect())) == sorted(map(repr, theirs.collect()))
+        month = merged_month_to_date(partials, "yellow", "2024-01-05").first()
+        assert month == daily.month_to_date_revenue(trips, "yellow", "2024-01-05").first()
+
+    same()
+    day = F.col("trip_day") == F.lit("2024-01-03").cast("date")
+    again = frame(spark, [trip("2024-01-03 12:00", amount=50.0)])
+    write_store(again.withColumns({"service": F.lit("yellow"), "source": F.lit("one")}), path)
+    before = {f for f in os.listdir(f"{target}/service=yellow/source=one")}
+    files_before = {d: sorted(os.listdir(f"{target}/service=yellow/source=one/{d}")) for d in before if d.startswith("trip_day")}
+    refresh_partials(spark, path, target, "yellow", "one", day)
+    same()
+    changed = [d for d in files_before if sorted(os.listdir(f"{target}/service=yellow/source=one/{d}")) != files_before[d]]
+    assert changed == ["trip_day=2024-01-03"]
+    # Days that have gone with their input go from the partials too, and so does a whole source.
+    replace_source(frame(spark, january[:6]), path, "yellow", "one")
+    refresh_partials(spark, path, target, "yellow", "one")
+    same()
+    replace_source(frame(spark, late).where("false"), path, "yellow", "two")
+    refresh_partials(spark, path, target, "yellow", "two")
+    same()
+
+
+def test_a_refresh_reads_the_replaced_days_only(spark, store):
+    stored = spark.read.parquet(store).where((F.col("service") == "yellow") & (F.col("source") == "one"))
+    partials = day_partials(stored.where("trip_day = DATE'2024-01-02'"))
+    plan = partials._jdf.queryExecution().executedPlan().toString()
+    assert "trip_day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    files = stored.where("trip_day = DATE'2024-01-02'").select("_metadata.file_path").distinct().collect()
+    assert {r[0].split("trip_day=")[1].split("/")[0] for r in files} == {"2024-01-02"}

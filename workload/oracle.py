@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.queries import (
-    CUSTOMER, DAY, DRAWN_CUSTOMERS, LOST_FROM, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, TOP_K, TURN_FIRST,
+    CUSTOMER, DAY, DRAWN_CUSTOMERS, LOST_FROM, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, SHORTENED, TOP_K,
 )
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -43,6 +43,11 @@ trips AS (
           floor(l_extendedprice * (1.0::DOUBLE + l_tax) * 4) / 4 AS total_amount
         FROM items))"""
 
+# Trips with the amounts of one green day doubled.
+DOUBLED = ITEMS.replace("trips AS (", "stored AS (") + f""",
+trips AS (
+  SELECT * REPLACE (CASE WHEN service = 'green' AND trip_day = DATE '{DAY}' THEN 2 ELSE 1 END * total_amount AS total_amount) FROM stored)"""
+
 ZONES = """
 zones AS (
   SELECT n_nationkey AS "LocationID", r_name AS "Borough", n_name AS zone, r_name AS service_zone,
@@ -410,8 +415,10 @@ ORACLE: dict[str, str] = {
     ),
     "ingest_default_layout": _with(
         f"""SELECT service, trip_day, count(*) AS trips, sum(total_amount) AS revenue FROM trips
-            WHERE pickup_datetime >= DATE '{TURN_FIRST}' AND pickup_datetime < DATE '{LOST_FROM}' GROUP BY ALL"""
+            WHERE service = 'green' AND NOT (year(pickup_datetime) = {SHORTENED} AND pickup_datetime >= DATE '{LOST_FROM}') GROUP BY ALL"""
     ),
+    "daily_kpis_from_partials": _with("SELECT * FROM daily", DOUBLED, DAILY),
+    "zone_kpis_from_partials": _with(_zone_kpis("LEFT JOIN"), DOUBLED, ZONES),
     "lookup_csv_pinned": _with("SELECT * FROM zones", ZONES),
     "lookup_csv_inferred": _with("SELECT * FROM zones", ZONES),
     "cdc_parse": APPENDED,

@@ -26,17 +26,19 @@ from farelane.plans import daily
 from farelane.plans.augment import augment_trips
 from farelane.plans.cleaning import clean_trips, cleaning_audit
 from farelane.plans.ingest import convert_table, ingest_raw, publish_day, raw_to_processed
+from farelane.plans.partials import merged_daily_kpis, merged_zone_kpis, refresh_partials
 from farelane.plans.rollup import fact_rollup
 from farelane.schemas import GREEN_AFTER, ZONE_LOOKUP
 from farelane.scratch import scratch_folder
 from farelane.sinks.exports import write_csv, write_text_messages
 from farelane.sinks.objects import put_object
-from farelane.sinks.store import append, read_day, read_month_to_date, write_store
+from farelane.sinks.store import SOURCE_KEYS, append, read_day, read_month_to_date, replace_source, write_store
 from farelane.sinks.tables import publish
 from farelane.sources.files import read_csv, read_latest, read_objects, read_recursive, read_zone_lookup, run_query
 from farelane.sources.streams import table_stream, text_messages
 from farelane.streaming import changes, media
 from workload import tables
+from workload.glued import daily_tables_glued
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,7 +101,7 @@ def daily_kpis_one_day(spark, sf_dir):
 
 @register
 def daily_kpis_joined_form(spark, sf_dir):
-    return daily.daily_tables_glued(_month_trips(spark, sf_dir), SERVICE, DAY)
+    return daily_tables_glued(_month_trips(spark, sf_dir), SERVICE, DAY)
 
 
 @register
@@ -513,30 +515,52 @@ def ingest_overlapping_years(spark, sf_dir):
     return _by_service_and_day(spark.read.parquet(store))
 
 
-#: Days around a turn of the year, and the first day that the second file has lost when it comes again.
-TURN_FIRST, TURN_LAST, LOST_FROM = "1995-10-01", "1996-03-31", "1996-03-01"
-
-
-def _turn_of_year(spark, sf_dir) -> DataFrame:
-    near = tables.items_near(_items(spark, sf_dir), TURN_FIRST, TURN_LAST)
-    return tables.trips(near).where(f"pickup_datetime >= '{TURN_FIRST}' AND pickup_datetime < DATE '{TURN_LAST}'")
+#: The year whose file comes again without its last days, and the first day that it has lost.
+SHORTENED, LOST_FROM = 1996, "1996-11-16"
 
 
 @register
 def ingest_default_layout(spark, sf_dir):
-    """Two years' files in folders by service, source and day; the second is ingested again without its last month.
+    """The green trips in files by year, ingested into folders by service, source and day, each file a source.
 
-    Both lie in folders of their own and hold trips that end on the first day of the second year.
+    Years share the days at their turns. One year's files are ingested again, then one year comes
+    again without its last weeks, whose days must go.
     """
-    store, trips = scratch_folder(spark, "raw"), _turn_of_year(spark, sf_dir)
-    files, again = _year_files(spark, trips), _year_files(spark, trips.where(f"pickup_datetime < DATE '{LOST_FROM}'"))
-    for service in ("yellow", "green"):
-        for period in (1995, 1996):
-            ingest_raw(spark, [f"{files}/service={service}/period={period}/*.parquet"], store, service, "dropoff_datetime", f"trips/{period}.parquet")
-        ingest_raw(spark, [f"{again}/service={service}/period=1996/*.parquet"], store, service, "dropoff_datetime", "trips/1996.parquet")
+    store, service = scratch_folder(spark, "raw"), "green"
+    trips = _trips(spark, sf_dir).where(F.col("service") == service)
+    files = _year_files(spark, trips)
+    shorter = trips.where((F.year("pickup_datetime") == SHORTENED) & (F.col("pickup_datetime") < F.lit(LOST_FROM).cast("date")))
+    again = _year_files(spark, shorter)
+    ingest_raw(spark, [f"{files}/service={service}/*/*.parquet"], store, service, "dropoff_datetime", at_once=8)
+    (source,) = ingest_raw(spark, [f"{files}/service={service}/period={SHORTENED}/*.parquet"], store, service, "dropoff_datetime")
+    ingest_raw(spark, [f"{again}/service={service}/*/*.parquet"], store, service, "dropoff_datetime", source)
     return _by_service_and_day(spark.read.parquet(store))
 
 
+def _refreshed_partials(spark, sf_dir) -> DataFrame:
+    """Partials of a store of all trips, after the green trips of one day came again with doubled amounts."""
+    store, target = scratch_folder(spark, "store"), scratch_folder(spark, "partials")
+    trips = _with_month(_trips(spark, sf_dir))
+    for service in ("yellow", "green"):
+        replace_source(trips.where(F.col("service") == service), store, service, "all", ("month",))
+        refresh_partials(spark, store, target, service, "all", below=("month",))
+    doubled = F.when(F.col("trip_day") == F.lit(DAY).cast("date"), F.col("total_amount") * 2).otherwise(F.col("total_amount"))
+    replaced = trips.where((F.col("service") == "green") & (F.col("month") == DAY[:7])).withColumns({"total_amount": doubled, "source": F.lit("all")})
+    write_store(replaced, store, (*SOURCE_KEYS, "month"))
+    refresh_partials(spark, store, target, "green", "all", F.col("month") == DAY[:7], ("month",))
+    return spark.read.parquet(target)
+
+
+@register
+def daily_kpis_from_partials(spark, sf_dir):
+    return merged_daily_kpis(_refreshed_partials(spark, sf_dir))
+
+
+@register
+def zone_kpis_from_partials(spark, sf_dir):
+    return merged_zone_kpis(_refreshed_partials(spark, sf_dir), tables.zones(spark, sf_dir))
+
+
 # Change stream
 
 
@@ -597,7 +621,7 @@ def cdc_stream_append(spark, sf_dir):
 
 
 #: Files of a replayed feed, each a trigger, and triggers between two folds of the count table.
-FEED_FILES, FOLD_EVERY = 6, 2
+FEED_FILES, FOLD_EVERY = 5, 2
 
 
 def _change_feed(spark, sf_dir) -> DataFrame:
