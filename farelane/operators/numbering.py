@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelane.operators.lookups import small_side
 from farelane.scratch import scratch_folder
 
+#: Rows of a range, as far as the number of ranges allows, and keys drawn for each bound.
+ROWS_PER_RANGE, MAX_RANGES, DRAWN_PER_BOUND = 250_000, 16_384, 32
+
 # monotonically_increasing_id keeps the partition number above the lowest 33 bits.
 PARTITION_SHIFT = 33
 
@@ -22,6 +25,60 @@ def _spread_ties(df: DataFrame, order: list[str]) -> DataFrame:
     return df.sortWithinPartitions(*order, row).withColumn("_spread", F.monotonically_increasing_id())
 
 
+def _bounds(keys: DataFrame, ranges: int, rows: int) -> DataFrame:
+    """One row with ``ranges`` - 1 ascending keys at most, at even steps through a bounded draw.
+
+    The draw guides the balance of the ranges only. It is written, as a second draw would differ.
+    """
+    spark = keys.sparkSession
+    wanted = DRAWN_PER_BOUND * ranges
+    drawn = keys if rows <= wanted else keys.sample(wanted / rows, seed=1)
+    drawn = drawn.agg(F.sort_array(F.collect_set(F.struct(*keys.columns))).alias("drawn"))
+    steps = F.sequence(F.lit(1), F.lit(ranges - 1))
+    size = F.size("drawn")
+    picked = F.filter(
+        F.transform(steps, lambda i: F.get("drawn", F.floor(i * size / ranges).cast("int"))), lambda key: key.isNotNull()
+    )
+    folder = scratch_folder(spark, "bounds")
+    drawn.select(F.array_distinct(picked).alias("bounds")).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def _with_range(df: DataFrame, columns: list[str], bounds: DataFrame | None, ranges: int) -> DataFrame:
+    """Adds ``_range``: how many bounds are at most the key, by bisection."""
+    if bounds is None:
+        return df.withColumn("_range", F.lit(0))
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(ranges.bit_length()))))
+
+    def step(found: Column, width: Column) -> Column:
+        further = F.get("_bounds", found + width - 1)
+        return F.when(further <= F.struct(*columns), found + width).otherwise(found)
+
+    return df.withColumn("_bounds", bounds.scalar()).withColumn("_range", F.aggregate(steps, F.lit(0), step)).drop("_bounds")
+
+
+def _number_by_bounds(df: DataFrame, name: str, order: list[str], within: list[str]) -> DataFrame:
+    spark, columns = df.sparkSession, [*within, *order]
+    keys = df.select(*columns)
+    rows = keys.count()
+    ranges = min(MAX_RANGES, rows // ROWS_PER_RANGE + 1)
+    groups = [F.col(key).alias(f"_group{i}") for i, key in enumerate(within)]
+    names = [f"_group{i}" for i in range(len(within))]
+    bounds = _bounds(keys, ranges, rows) if ranges > 1 else None
+    sizes = _with_range(keys, columns, bounds, ranges).select("_range", *groups).groupBy("_range", *names).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*names).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_range").alias("_of_range"), *[F.col(g).alias(f"{g}s") for g in names], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    folder = scratch_folder(spark, "range-starts")
+    starts.write.parquet(folder)
+    starts = spark.read.parquet(folder)
+    mine = Window.partitionBy("_range", *within).orderBy(*order)
+    placed = _with_range(df, columns, bounds, ranges).withColumn("_place", F.row_number().over(mine))
+    same = F.col("_range") == F.col("_of_range")
+    for key, g in zip(within, names):
+        same = same & placed[key].eqNullSafe(F.col(f"{g}s"))
+    return placed.join(small_side(starts), same).withColumn(name, F.col("_place") + F.col("_before")).select(*df.columns, name)
+
+
 def number_rows(
     df: DataFrame,
     name: str,
@@ -32,20 +89,25 @@ def number_rows(
 ) -> DataFrame:
     """Numbers rows 1, 2, … in ``order``, restarting for each value of ``within``.
 
-    No task sees more than its own range: a range sort marks each row with its
-    partition and place, the marked rows are written once, and the sizes of the
-    earlier ranges of the same group are added. The written table keeps the
-    numbers fixed if an executor is lost. Rows that tie in ``order`` are
-    numbered in any order and spread over several ranges, at the price of a sort
-    before the shuffle; ``unique`` says that there are none.
+    No task sees more than its own range. ``unique`` says that no rows of a group tie in
+    ``order``: bounds of ranges are drawn from the keys and kept, the keys alone are counted by
+    range, and a row gets the size of the earlier ranges plus its place in its own. The other
+    columns are shuffled once and not written.
+
+    Without ``unique`` rows that tie are numbered in any order and spread over several
+    ranges: a range sort marks each row with its partition and place, the marked rows are
+    written once, which keeps the numbers fixed if an executor is lost, and the sizes of the
+    earlier ranges are added.
     """
+    if unique:
+        return _number_by_bounds(df, name, order, within or [])
     spark, within = df.sparkSession, within or []
     keys = [F.col(key).alias(f"_group{i}") for i, key in enumerate(within)]
     groups = [f"_group{i}" for i in range(len(within))]
     target = folder or scratch_folder(spark, "numbered")
-    keyed = df if unique else _spread_ties(df, [*within, *order])
     (
-        keyed.orderBy(*within, *order, *([] if unique else ["_spread"]))
+        _spread_ties(df, [*within, *order])
+        .orderBy(*within, *order, "_spread")
         .select(*df.columns, F.monotonically_increasing_id().alias("_place"))
         .write.parquet(target)
     )

@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from farelane.functions.draws import DRAW_RANGE, digest_draw, hash_draw, rating
 from farelane.functions.text import zero_fill
 from farelane.operators.augment import add_customers, add_rating, add_trip_ids, ensure_customer, normalize_customers
 from farelane.operators.lookups import colliding, fits_broadcast, not_colliding, small_side
+from farelane.operators import numbering
 from farelane.operators.numbering import number_rows
 from farelane.operators.ranking import sample_exact
 
@@ -37,6 +39,40 @@ def test_copies_are_spread_over_ranges(spark, tmp_path):
     assert len(ranges) > 1 and max(r["count"] for r in ranges) < 10_000
 
 
+@pytest.mark.parametrize("within", [[], ["g"], ["g", "h"]])
+@pytest.mark.parametrize("per_range", [1, 40, 100_000])
+def test_numbers_by_bounds(spark, monkeypatch, within, per_range):
+    """Unique keys over many ranges, with nulls, a hot group and columns beside the key."""
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", per_range)
+    df = spark.range(900, numPartitions=5).selectExpr(
+        "IF(id % 3 = 0, 'hot', IF(id % 7 = 0, NULL, CAST(id % 11 AS STRING))) AS g", "id % 2 AS h",
+        "IF(id < 400, NULL, TIMESTAMP'2024-01-01' + make_interval(0, 0, 0, 0, 0, id % 5)) AS at", "-id AS v", "uuid() AS payload",
+    )
+    df = df.drop("payload").withColumn("payload", F.md5(F.col("v").cast("string")))
+    numbered = number_rows(df, "n", ["at", "v"], within, unique=True)
+    assert numbered.columns == [*df.columns, "n"]
+    expected = df.withColumn("n", F.row_number().over(Window.partitionBy(*within).orderBy("at", "v")))
+    assert sorted(map(repr, numbered.collect())) == sorted(map(repr, expected.collect()))
+    assert number_rows(df.where("v > 0"), "n", ["at", "v"], within, unique=True).count() == 0
+
+
+def test_other_columns_are_shuffled_once_and_not_written(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 1000)
+    folders = []
+    monkeypatch.setattr(numbering, "scratch_folder", lambda spark, label: folders.append(str(tmp_path / label)) or folders[-1])
+    df = spark.range(20_000, numPartitions=4).selectExpr("id AS v", "uuid() AS payload")
+    numbered = number_rows(df, "n", ["v"], unique=True)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line for line in plan.splitlines()) == 1 and "rangepartitioning" not in plan
+    assert numbered.where("n <> v + 1").count() == 0
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["bounds", "range-starts"]
+    assert not any("payload" in spark.read.parquet(f).columns for f in folders)
+    sizes = numbered.groupBy(F.floor((F.col("n") - 1) / 1000)).count()
+    assert sizes.count() == 20
+    starts = [r["_before"] for r in spark.read.parquet(folders[1]).orderBy("_before").collect()]
+    assert len(starts) > 15 and max(b - a for a, b in zip(starts, [*starts[1:], 20_000])) < 3000
+
+
 def test_numbers_without_groups_and_without_rows(spark):
     df = spark.range(100).withColumnRenamed("id", "v")
     assert {r["v"]: r["n"] for r in number_rows(df, "n", ["v"]).collect()} == {v: v + 1 for v in range(100)}
