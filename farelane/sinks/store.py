@@ -24,16 +24,22 @@ def with_store_keys(trips: DataFrame, service: str | None = None, source: str |
     return dated.withColumn("service", F.lit(service)) if service else dated
 
 
-def _folder(name: str, value: str) -> str:
-    """The folder of a partition value, with signs that paths give a meaning as ``%`` and their code."""
-    if not value:
-        raise ValueError(f"{name} must not be empty")
-    return f"{name}=" + re.sub(r"[^\w.\- ]", lambda sign: f"%{ord(sign[0]):02X}", value)
+# Signs that Spark writes as ``%`` and their code in the folder of a partition.
+ESCAPED = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+
+
+def part_folder(name: str, value: str | None) -> str:
+    """The folder in which a partitioned write puts a value."""
+    if value is None or value == "":
+        return f"{name}=__HIVE_DEFAULT_PARTITION__"
+    return f"{name}=" + ESCAPED.sub(lambda sign: f"%{ord(sign[0]):02X}", value)
 
 
 def source_folder(path: str, service: str, source: str) -> str:
     """Where the store holds one source of a service."""
-    return "/".join([path.rstrip("/"), _folder("service", service), _folder("source", source)])
+    if not service or not source:
+        raise ValueError("service and source must not be empty")
+    return "/".join([path.rstrip("/"), part_folder("service", service), part_folder("source", source)])
 
 
 def shaped(df: DataFrame, keys: tuple[str, ...] = (), files: int | None = None) -> DataFrame:

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from farelane.sinks.store import shaped
+from farelane.sinks.store import part_folder, shaped
+
+#: Between a table's folder and those of its staged parts.
+PARTS = "-parts/"
 
 # Warehouse type by column type.
 WAREHOUSE_TYPES = {
@@ -91,6 +99,99 @@ def _check_columns(table: str, offered: T.StructType, stored: T.StructType) -> N
         raise ValueError(f"the report does not fit {table}: {', '.join(f'{n} {kind}' for n, kind in odd)}")
 
 
+#: Table property with the folders that the last publishing put out of use.
+SUPERSEDED = "farelane.superseded"
+
+
+@dataclass(frozen=True)
+class Staged:
+    """A report written beside its table: which parts it replaces and where their files lie."""
+
+    table: str
+    folder: str
+    replace_by: tuple[str, ...]
+    parts: tuple[tuple[str | None, ...], ...]
+
+    def place(self, values: tuple[str | None, ...]) -> str:
+        return "/".join([self.folder, *map(part_folder, self.replace_by, values)])
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def stage_report(
+    df: DataFrame,
+    table: str,
+    replace_by: tuple[str, ...] = ("date",),
+    folder: str | None = None,
+    fmt: str = "parquet",
+    part: str | None = None,
+) -> Staged:
+    """Writes a report beside its table, which still shows the old parts; ``switch_parts`` shows the new ones.
+
+    Creates the table if it is missing. Columns that the table lacks, or of other types than
+    its own, are an error.
+    """
+    spark = df.sparkSession
+    create_table(spark, table, df.schema, replace_by, folder, fmt)
+    _check_columns(table, df.schema, spark.table(table).schema)
+    home = table_folder(spark, table).split(PARTS, 1)[0]
+    target, columns = f"{home}{PARTS}{uuid4().hex}", df.select(*spark.table(table).columns)
+    if part is not None:
+        (key,) = replace_by
+        staged = Staged(table, target, replace_by, ((part,),))
+        columns.drop(key).write.format(fmt).save(staged.place((part,)))
+        return staged
+    if not replace_by:
+        columns.write.format(fmt).save(target)
+        return Staged(table, target, (), ())
+    shaped(columns, replace_by).write.format(fmt).partitionBy(*replace_by).save(target)
+    keys = [F.col(key).cast("string").alias(key) for key in replace_by]
+    written = columns.select(*keys).limit(0) if _is_empty(spark, target, fmt) else spark.read.schema(columns.schema).format(fmt).load(target).select(*keys)
+    return Staged(table, target, replace_by, tuple(sorted((tuple(r) for r in written.distinct().collect()), key=repr)))
+
+
+def _is_empty(spark: SparkSession, folder: str, fmt: str) -> bool:
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}").load(folder)
+    return files.select("path").isEmpty()
+
+
+def switch_parts(spark: SparkSession, staged: Staged) -> None:
+    """Lets the table show the parts of a staged report in place of its own; other parts are not looked at.
+
+    Files of the parts replaced stay until the next switch, so whoever reads them now finds
+    them whole. Staging and switching again puts the same parts in place again.
+    """
+    table, old = staged.table, []
+    if not staged.replace_by:
+        old.append(table_folder(spark, table))
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(staged.folder)}")
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} if staged.replace_by else set()
+    fresh = []
+    for values in staged.parts:
+        spec = ", ".join(f"`{k}` = {'NULL' if v is None else _quoted(v)}" for k, v in zip(staged.replace_by, values))
+        place = _quoted(staged.place(values))
+        if "/".join(map(part_folder, staged.replace_by, values)) in known:
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").where("col_name = 'Location'").first()
+            old.append(described["data_type"])
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {place}")
+        else:
+            fresh.append(f"PARTITION ({spec}) LOCATION {place}")
+    if fresh:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(fresh)}")
+    _clear_superseded(spark, table)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SUPERSEDED}' = {_quoted(json.dumps(old))})")
+    spark.catalog.refreshTable(table)
+
+
+def _clear_superseded(spark: SparkSession, table: str) -> None:
+    """Empties the folders that the switch before put out of use."""
+    for row in spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == SUPERSEDED).collect():
+        for folder in json.loads(row["value"]):
+            spark.createDataFrame([], "cleared string").write.mode("overwrite").parquet(folder)
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -106,37 +207,20 @@ def publish(
     ``part`` is the value of the only ``replace_by`` column for a report on one
     part: that part is replaced even if the report has become empty.
 
-    Running it again leaves the table as it is. The files are written below the
-    table's folder, because an insert replaces single partitions only if the
-    whole session is set to do so. Columns that the table lacks, or of other types
-    than its own, are an error. ``limit`` writes the first rows in ``order`` only
-    and gives back how many were offered and written; without it the report goes in whole.
+    Running it again leaves the table as it is. The report is staged beside the table and
+    then switched in part by part, so readers find old or new parts, whole. Columns that the
+    table lacks, or of other types than its own, are an error. ``limit`` writes the first rows
+    in ``order`` only and gives back how many were offered and written; without it the report
+    goes in whole.
     """
-    spark, counts = df.sparkSession, None
+    counts = None
     if limit is not None:
         if not order:
             raise ValueError("a limited table needs an order")
         offered = df.count()
         counts = {"offered": offered, "written": min(limit, offered)}
         df = df.orderBy(*order).limit(limit)
-    create_table(spark, table, df.schema, replace_by, folder, fmt)
-    _check_columns(table, df.schema, spark.table(table).schema)
-    columns, target = df.select(*spark.table(table).columns), table_folder(spark, table)
-    if part is not None:
-        (key,) = replace_by
-        columns.drop(key).write.format(fmt).mode("overwrite").save(f"{target}/{key}={part}")
-    else:
-        (
-            (shaped(columns, replace_by) if replace_by else columns)
-            .write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*replace_by)
-            .save(target)
-        )
-    if replace_by:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-    spark.catalog.refreshTable(table)
+    switch_parts(df.sparkSession, stage_report(df, table, replace_by, folder, fmt, part))
     return counts
 
 

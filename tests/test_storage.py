@@ -232,6 +232,50 @@ def test_publish_day_twice(spark, store, zones, tmp_path):
             spark.sql(f"DROP TABLE {table}")
 
 
+def _shown(spark, table):
+    return sorted(tuple(r) for r in spark.table(table).select("v", "k").collect())
+
+
+def test_readers_see_whole_parts_while_publishing(spark, tmp_path):
+    folder, frame_of = str(tmp_path / "t"), lambda rows: spark.createDataFrame(rows, "v int, k string")
+    tables.publish(frame_of([(1, "a"), (2, "a"), (3, "b")]), "staged_table", ("k",), folder=folder)
+    seen = [r[0] for r in spark.table("staged_table").where("k = 'a'").select("_metadata.file_path").distinct().collect()]
+    staged = tables.stage_report(frame_of([(10, "a"), (20, "c's \\ %")]), "staged_table", ("k",), folder)
+    assert _shown(spark, "staged_table") == [(1, "a"), (2, "a"), (3, "b")]
+    tables.switch_parts(spark, staged)
+    assert _shown(spark, "staged_table") == [(3, "b"), (10, "a"), (20, "c's \\ %")]
+    assert sorted(r["v"] for r in spark.read.parquet(*seen).collect()) == [1, 2]
+    # Switching once more changes nothing, and the files out of use since the switch before are emptied.
+    tables.publish(frame_of([(10, "a"), (20, "c's \\ %")]), "staged_table", ("k",), folder=folder)
+    assert _shown(spark, "staged_table") == [(3, "b"), (10, "a"), (20, "c's \\ %")]
+    old = [p for p in (tmp_path / "t-parts").glob("*/k=a") if spark.read.parquet(str(p)).columns == ["cleared"]]
+    assert len(old) == 1
+    spark.sql("DROP TABLE staged_table")
+
+
+def test_only_touched_parts_are_registered(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "t")
+    tables.publish(spark.createDataFrame([(i, str(i)) for i in range(8)], "v int, k string"), "touched_table", ("k",), folder=folder)
+    locations = lambda: {k: spark.sql(f"DESCRIBE TABLE EXTENDED touched_table PARTITION (k = '{k}')").where("col_name = 'Location'").first()[1] for k in range(8)}
+    before = locations()
+    tables.publish(spark.createDataFrame([(30, "3")], "v int, k string"), "touched_table", ("k",), folder=folder)
+    after = locations()
+    assert [k for k in range(8) if before[k] != after[k]] == [3]
+    tables.publish(spark.createDataFrame([], "v int, k string"), "touched_table", ("k",), folder=folder)
+    assert _shown(spark, "touched_table") == [(i if i != 3 else 30, str(i)) for i in (0, 1, 2, 4, 5, 6, 7)] + [(30, "3")]
+    tables.publish(spark.createDataFrame([(5, None), (6, "x y")], "v int, k string"), "touched_table", ("k",), folder=folder)
+    assert (5, None) in [tuple(r) for r in spark.table("touched_table").select("v", "k").collect()]
+    spark.sql("DROP TABLE touched_table")
+
+
+def test_whole_table_is_switched(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    for n in (3, 2, 5):
+        tables.publish(spark.range(n), "whole_table", (), folder=folder)
+        assert spark.table("whole_table").count() == n
+    spark.sql("DROP TABLE whole_table")
+
+
 def test_limited_table(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "DATE'2024-01-01' AS date")
     with pytest.raises(ValueError):
