@@ -27,7 +27,14 @@ def augment_trips(
 
 
 def augment_month_files(
-    spark: SparkSession, root: str, service: str, customers: DataFrame, order: list[str], target: str
+    spark: SparkSession,
+    root: str,
+    service: str,
+    customers: DataFrame,
+    order: list[str],
+    target: str,
+    draw=hash_draw,
+    unique: bool = False,
 ) -> None:
     """All monthly files of a service, read in one scan, into folders by service, year and month.
 
@@ -35,4 +42,4 @@ def augment_month_files(
     every trip within its month.
     """
     trips = read_month_files(spark, root, service).withColumn("service", F.lit(service))
-    write_store(augment_trips(trips, customers, order), target, MONTH_KEYS)
+    write_store(augment_trips(trips, customers, order, draw, unique=unique), target, MONTH_KEYS)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelane.functions.calendar import with_habit_codes, with_habit_names
 from farelane.functions.measures import total
 from farelane.operators.lookups import add_zone_names
-from farelane.operators.ranking import first_by_count, top_k, top_rows
+from farelane.operators.ranking import first_by_count, top_by_sketch, top_k, top_rows
 
 # Names and order of the habit and zone columns.
 HABITS = ("pickup_day", "pickup_time_of_day", "pulocationid")
@@ -24,6 +24,11 @@ def top_customers(trips: DataFrame, k: int) -> DataFrame:
     return top_k(trip_counts(trips), k, F.desc("trip_count"), "id_customer")
 
 
+def top_customers_by_sketch(trips: DataFrame, k: int) -> DataFrame:
+    """As ``top_customers``: where few customers stand out, only these are counted."""
+    return top_by_sketch(trips.select("id_customer"), "id_customer", k, "trip_count")[0]
+
+
 def trips_of(trips: DataFrame, customers: DataFrame) -> DataFrame:
     """Trips of the listed customers, each once."""
     return trips.join(customers.select("id_customer"), "id_customer", "left_semi")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from functools import reduce
 
@@ -86,22 +87,40 @@ def read_latest(spark: SparkSession, root: str, suffix: str = ".csv") -> DataFra
     return spark.read.parquet(newest["path"])
 
 
+def schemas_alike(spark: SparkSession, paths: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Runs of neighbouring files whose schemas go together, each with the schema of all of them.
+
+    One Spark job reads the footers in its tasks and merges the schemas. If types differ the
+    halves are tried, so there are about as many jobs as changes of type times the depth.
+    """
+    try:
+        merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
+        return [(merged, paths)]
+    except Exception as problem:
+        if len(paths) == 1 or "CANNOT_MERGE" not in str(problem):
+            raise
+    half = len(paths) // 2
+    return schemas_alike(spark, paths[:half]) + schemas_alike(spark, paths[half:])
+
+
 def read_month_files(spark: SparkSession, root: str, service: str) -> DataFrame:
     """All monthly files of a service below ``root``, with service, year and month from their names.
 
-    Months may differ in columns and types. The driver reads the schema of every
-    file, of which there is one a month; files of one schema are one scan, and the
-    scans are joined by name: types widen to one that holds both, and a column that
-    a month does not have is null there.
+    A month is a file or a folder of files. Months may differ in columns and types: footers are
+    read by Spark jobs, files whose schemas go together are one scan, and the scans are joined by
+    name. Types widen to one that holds both, and a column that a month lacks is null there.
     """
-    listed = list_files(spark, root, f"{service}_tripdata_*.parquet").select("path").orderBy("path")
-    alike = defaultdict(list)
-    for row in listed.collect():
-        alike[spark.read.parquet(row["path"]).schema.json()].append(row["path"])
-    if not alike:
+    month = F.regexp_extract("path", rf"({service}_tripdata_\d{{4}}-\d{{2}})\.parquet(/|$)", 1)
+    listed = list_files(spark, root).select("path", month.alias("month")).where("month <> ''").orderBy("month", "path")
+    paths = [row["path"] for row in listed.collect()]
+    if not paths:
         raise FileNotFoundError(f"no monthly file of {service} in {root}")
+    alike = defaultdict(list)
+    for schema, group in schemas_alike(spark, paths):
+        alike[schema.json()] += group
     scans = [
-        spark.read.parquet(*paths).withColumns(month_file_parts(F.col("_metadata.file_path"))) for paths in alike.values()
+        spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*group).withColumns(month_file_parts(F.col("_metadata.file_path")))
+        for schema, group in alike.items()
     ]
     return reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), scans)
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from workload.queries import (
-    CUSTOMER, DAY, DRAWN_CUSTOMERS, LOST_FROM, MEDIA_BYTES, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE, SHORTENED, TOP_K,
+    CUSTOMER, DAY, DRAWN_CUSTOMERS, LOST_FROM, MEDIA_BYTES, NEW_FORM_FROM, PUBLISHED_ROWS, SAMPLE_ROWS, SERVICE,
+    SHORTENED, STORE_FILES, TOP_K,
 )
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -277,6 +278,11 @@ ORACLE: dict[str, str] = {
         CLEANED_BOTH,
     ),
     "top_customers": _with("SELECT * FROM top", ITEMS, TOP),
+    "top_customers_by_sketch": _with("SELECT * FROM top", ITEMS, TOP),
+    "busiest_zones_by_sketch": _with(
+        f"""SELECT pulocationid, count(*) AS trips FROM trips GROUP BY pulocationid
+            ORDER BY trips DESC, pulocationid NULLS FIRST LIMIT {TOP_K}"""
+    ),
     "top_customer_trips": _with(
         f"""SELECT id_customer, {KEY}, service, pickup_datetime, pulocationid, total_amount
             FROM trips WHERE id_customer IN (SELECT id_customer FROM top)""",
@@ -369,6 +375,35 @@ ORACLE: dict[str, str] = {
     "trip_sample": _with(
         f"SELECT {KEY}, service, total_amount FROM trips ORDER BY {_draw(13)}, {KEY} LIMIT {SAMPLE_ROWS}"
     ),
+    "trip_sample_third": _with(
+        f"SELECT {KEY}, service, total_amount FROM trips ORDER BY {_draw(13)}, {KEY} LIMIT (SELECT count(*) // 3 FROM lineitem)"
+    ),
+    "month_files_read": _with(
+        f"""SELECT service, strftime(pickup_datetime, '%Y') AS year, strftime(pickup_datetime, '%m') AS month,
+              count(*) AS trips, sum(passenger_count) AS passengers,
+              count(*) FILTER (year(pickup_datetime) >= {NEW_FORM_FROM}) AS in_new_form
+            FROM trips WHERE service = 'yellow' GROUP BY ALL"""
+    ),
+    "month_files_cleaned": _with(f"{_cleaned('yellow', 'intent')} AND payment_type IS NOT NULL"),
+    "month_files_augmented": _with(
+        f"""SELECT {KEY}, pickup_datetime, numbered.id, listed.id AS id_customer,
+              least(round({_id_draw(43)} / CAST(4503599627370496 AS DOUBLE) * 5, 1) + 1, 5.0) AS rate
+            FROM numbered
+            JOIN (SELECT id, row_number() OVER (ORDER BY id) - 1 AS place FROM customers) listed
+              ON place = {_id_draw(42)} % (SELECT count(*) FROM customers)""",
+        ITEMS.replace("FROM lineitem)", "FROM lineitem WHERE l_returnflag = 'R')"),
+        CUSTOMERS,
+        NUMBERED,
+    ),
+    "store_file_counts": _with(
+        f"SELECT service, CAST({STORE_FILES} AS BIGINT) AS files, count(*) AS trips FROM trips GROUP BY service"
+    ),
+    "unwanted_columns_dropped": _with(f"SELECT {KEY}, total_amount FROM trips"),
+    "coordinates_added_once": _with(
+        f"""SELECT {KEY}, pulocationid, dolocationid, CAST(1.5 AS DOUBLE) AS pickup_latitude, CAST(2.5 AS DOUBLE) AS pickup_longitude,
+              latitude AS dropoff_latitude, longitude AS dropoff_longitude
+            FROM trips LEFT JOIN zones ON dolocationid = "LocationID" """
+    ),
     "trips_split_by_day": _with(
         """SELECT service, trip_day, count(*) AS trips, min(dropoff_datetime) AS first_dropoff,
              max(dropoff_datetime) AS last_dropoff FROM trips GROUP BY ALL"""

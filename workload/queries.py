@@ -19,13 +19,14 @@ from farelane.operators.augment import (
     ensure_customer,
     normalize_customers,
 )
-from farelane.operators.lookups import colliding, not_colliding
-from farelane.operators.ranking import sample_exact
+from farelane.operators.columns import drop_containing
+from farelane.operators.lookups import add_both_coordinates, colliding, not_colliding, small_side
+from farelane.operators.ranking import sample_exact, top_by_sketch
 from farelane.plans import customers as people
 from farelane.plans import daily
-from farelane.plans.augment import augment_trips
+from farelane.plans.augment import augment_month_files, augment_trips
 from farelane.plans.cleaning import clean_trips, cleaning_audit
-from farelane.plans.ingest import convert_table, ingest_raw, publish_day, raw_to_processed
+from farelane.plans.ingest import clean_month_files, convert_table, ingest_raw, publish_day, raw_to_processed
 from farelane.plans.partials import merged_daily_kpis, merged_zone_kpis, refresh_partials
 from farelane.plans.rollup import fact_rollup
 from farelane.schemas import GREEN_AFTER, ZONE_LOOKUP
@@ -34,7 +35,7 @@ from farelane.sinks.exports import write_csv, write_text_messages
 from farelane.sinks.objects import put_object
 from farelane.sinks.store import SOURCE_KEYS, append, read_day, read_month_to_date, replace_source, write_store
 from farelane.sinks.tables import publish
-from farelane.sources.files import read_csv, read_latest, read_objects, read_recursive, read_zone_lookup, run_query
+from farelane.sources.files import read_csv, read_latest, read_month_files, read_objects, read_recursive, read_zone_lookup, run_query
 from farelane.sources.streams import table_stream, text_messages
 from farelane.streaming import changes, media
 from workload import tables
@@ -47,6 +48,7 @@ SERVICE = "yellow"
 TOP_K = 10
 CUSTOMER = 151
 SAMPLE_ROWS = 1000
+STORE_FILES = 4
 DRAWN_CUSTOMERS = 300
 PUBLISHED_ROWS = 50
 # A bound that refuses some messages at every scale; the product's bound is MAX_MESSAGE_BYTES.
@@ -206,6 +208,18 @@ def top_customers(spark, sf_dir):
     return people.top_customers(_trips(spark, sf_dir), TOP_K)
 
 
+@register
+def top_customers_by_sketch(spark, sf_dir):
+    """Customers ride about equally often here, so the sketch cannot settle the places and all are counted."""
+    return people.top_customers_by_sketch(_trips(spark, sf_dir), TOP_K)
+
+
+@register
+def busiest_zones_by_sketch(spark, sf_dir):
+    """Zones are few, so the sketch settles the places."""
+    return top_by_sketch(_trips(spark, sf_dir), "pulocationid", TOP_K, "trips")[0]
+
+
 @register
 def top_customer_trips(spark, sf_dir):
     """All trips of the top customers."""
@@ -324,6 +338,13 @@ def trip_sample(spark, sf_dir):
     return sample_exact(trips, SAMPLE_ROWS, _trip_key_draw(13), *tables.KEY)
 
 
+@register
+def trip_sample_third(spark, sf_dir):
+    """A third of all trips, by the threshold of a large sample at every scale."""
+    trips = _trips(spark, sf_dir).select(*tables.KEY, "service", "total_amount")
+    return sample_exact(trips, trips.count() // 3, _trip_key_draw(13), *tables.KEY, small=0)
+
+
 # Stores, tables and files
 
 
@@ -561,6 +582,75 @@ def zone_kpis_from_partials(spark, sf_dir):
     return merged_zone_kpis(_refreshed_partials(spark, sf_dir), tables.zones(spark, sf_dir))
 
 
+#: From this year on, months hold codes as whole numbers and have one more column.
+NEW_FORM_FROM = 1995
+
+
+def _month_files(spark, raw: DataFrame, service: str, pickup: str) -> str:
+    """Raw trips as months named like the files of a service; types and columns change with a year."""
+    root = scratch_folder(spark, "months")
+    month = F.concat(F.lit(f"{service}_tripdata_"), F.date_format(pickup, "yyyy-MM"), F.lit(".parquet"))
+    named = raw.withColumn("file", month).repartition("file")
+    new = F.year(pickup) >= NEW_FORM_FROM
+    named.where(~new).write.partitionBy("file").parquet(f"{root}/old")
+    whole = {c: F.col(c).cast("int") for c in ("passenger_count", "payment_type")}
+    named.where(new).withColumns(whole).withColumn("Unnamed: 0", F.lit(0)).write.partitionBy("file").parquet(f"{root}/new")
+    return root
+
+
+@register
+def month_files_read(spark, sf_dir):
+    """Months of two schemas read as one, with service, year and month from their names."""
+    root = _month_files(spark, _raw(spark, sf_dir, "yellow"), "yellow", "tpep_pickup_datetime")
+    return read_month_files(spark, root, "yellow").groupBy("service", "year", "month").agg(
+        F.count("*").alias("trips"), F.sum("passenger_count").alias("passengers"), F.count("Unnamed: 0").alias("in_new_form")
+    )
+
+
+@register
+def month_files_cleaned(spark, sf_dir):
+    """Months of two schemas through the cleaning into folders by month, read back whole."""
+    target = scratch_folder(spark, "cleaned")
+    root = _month_files(spark, _raw(spark, sf_dir, "yellow").where("payment_type IS NOT NULL"), "yellow", "tpep_pickup_datetime")
+    clean_month_files(spark, root, tables.zones(spark, sf_dir), "yellow", target, "intent")
+    return _local_times(spark.read.parquet(target)).drop("service", "year", "month")
+
+
+@register
+def month_files_augmented(spark, sf_dir):
+    """Months of a service completed with ids, customers and ratings, read back whole."""
+    target = scratch_folder(spark, "augmented")
+    trips = _trips(spark, sf_dir).where("service = 'green'").select(*tables.KEY, "pickup_datetime", "passenger_count", F.lit(1.0).alias("payment_type"))
+    root = _month_files(spark, trips, "green", "pickup_datetime")
+    order = ["pickup_datetime", *tables.KEY]
+    augment_month_files(spark, root, "green", tables.customers(spark, sf_dir), order, target, digest_draw, unique=True)
+    return spark.read.parquet(target).select(*tables.KEY, "pickup_datetime", "id", "id_customer", "rate")
+
+
+@register
+def store_file_counts(spark, sf_dir):
+    """A store written with a number of files: as many in each folder, whatever its size."""
+    store = scratch_folder(spark, "store")
+    write_store(_trips(spark, sf_dir), store, ("service",), files=STORE_FILES)
+    stored = spark.read.parquet(store).select("service", F.col("_metadata.file_path").alias("file"))
+    return stored.groupBy("service").agg(F.countDistinct("file").alias("files"), F.count("*").alias("trips"))
+
+
+@register
+def unwanted_columns_dropped(spark, sf_dir):
+    """Columns that a file writer left behind go by a part of their name."""
+    trips = _trips(spark, sf_dir).select(*tables.KEY, "total_amount", F.lit(1).alias("Unnamed: 0"), F.lit(2).alias("Unnamed: 0.1"))
+    return drop_containing(trips, "Unnamed")
+
+
+@register
+def coordinates_added_once(spark, sf_dir):
+    """Trips with coordinates of the pick-up keep them; those of the drop-off are looked up."""
+    trips = _trips(spark, sf_dir).select(*tables.KEY, "pulocationid", "dolocationid")
+    trips = trips.withColumns({"pickup_latitude": F.lit(1.5), "pickup_longitude": F.lit(2.5)})
+    return add_both_coordinates(trips, small_side(tables.zones(spark, sf_dir)))
+
+
 # Change stream
 
 
