@@ -7,6 +7,7 @@ repeat far more often than texts; a bounded cache keeps their ids in flat arrays
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -22,9 +23,80 @@ WORDS = re.compile(f"{_STEM}|[^{WHITE}]+")
 #: Words with one space before them, and the white space left between such words.
 SPACED = re.compile(f" ?{_STEM}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 CACHED_CHUNKS, CACHED_IDS = 800_000, 8_000_000
+#: Characters below this one never change when they are composed; lower case changes them one by one.
+COMPOSED = "\u0300"
+#: Ends the words of vocabularies that mark them; no letter.
+END_MARK = "\x01"
 JOINED_CHUNKS = 4096
 
 
+def _byte_letters() -> dict[str, int]:
+    """The printable characters that byte-level vocabularies write for bytes."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
+
+
+class RankedMerges:
+    """Ids of words by the merges of a vocabulary, many words in one call.
+
+    Wherever the merges of a vocabulary stand in the order of its ids and every token is merged
+    from its own bytes, ranks of byte strings alone decide the merges. Words of a vocabulary with
+    word ends get an end mark, which merges with their last byte before all else.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], ids: np.ndarray, mark: str, lower: bool):
+        from tiktoken import Encoding
+
+        self.encoding = Encoding("merges", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={})
+        self.ids, self.mark, self.lower, self.line = ids, mark, lower, ranks[b"\n"]
+
+    @classmethod
+    def of(cls, path: str) -> RankedMerges | None:
+        """None for a vocabulary of another kind."""
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        model, letters = told["model"], _byte_letters()
+        vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        normal = json.dumps(told["normalizer"] or {})
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        merged = [vocabulary.get(a + b) for a, b in pairs]
+        if model["type"] != "BPE" or None in merged or sorted(merged) != merged or "Prepend" in normal or "Strip" in normal:
+            return None
+        single = [c for c in letters if c in vocabulary]
+        ended = [c + suffix for c in letters if c + suffix in vocabulary] if suffix else []
+        if len(single) < 256 or (suffix and len(ended) < 256):
+            return None
+
+        def raw(token: str) -> bytes:
+            end = bool(suffix) and token.endswith(suffix)
+            return bytes(letters[c] for c in (token.removesuffix(suffix) if end else token)) + (END_MARK.encode() if end else b"")
+
+        order = [*single, *ended, *(a + b for a, b in pairs)]
+        ranks: dict[bytes, int] = {}
+        ids = []
+        for token in order:
+            if raw(token) not in ranks:
+                ranks[raw(token)] = len(ids)
+                ids.append(vocabulary[token])
+        return cls(ranks, np.array(ids, np.uint32), END_MARK if suffix else "", "Lowercase" in normal)
+
+    def takes(self, chunk: str) -> bool:
+        """Whether a chunk is one word of letters that normalising keeps one word."""
+        word = chunk[1:] if chunk[0] == " " and not self.mark else chunk
+        if not word.isalpha():
+            return False
+        return not self.lower or word.isascii() or (max(word) < COMPOSED and word.lower().isalpha())
+
+    def encode(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after another, and the number of each."""
+        text = f"{self.mark}\n".join(chunks) + self.mark
+        found = self.encoding.encode_to_numpy(text.lower() if self.lower else text)
+        ends = np.flatnonzero(found == self.line)
+        counts = np.diff(np.r_[-1, ends, len(found)]) - 1
+        return self.ids[found[found != self.line]], counts
+
+
 class _Places(dict):
     """Numbers chunks in the order of their first use and remembers the new ones."""
 
@@ -48,8 +120,7 @@ class ChunkEncoder:
         self.chunks = chunks
         special = sorted((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        #: Whether a line feed has an id of its own.
-        self.keeps_white = bool(self.tokenizer.encode("\n", add_special_tokens=False).ids)
+        self.merges = RankedMerges.of(path)
         self._forget()
 
     def _forget(self) -> None:
@@ -59,47 +130,25 @@ class ChunkEncoder:
         self.lengths = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks, each of letters alone, and the number of ids of each, from one call.
-
-        A line feed before a chunk without its own space keeps the chunk apart; where it
-        has an id, that is left out again. Every chunk is one word to the library.
-        """
-        apart = [chunk[0] != " " for chunk in chunks]
-        text = "".join(f"\n{chunk}" if lone else chunk for chunk, lone in zip(chunks, apart))
-        encoding = self.tokenizer.encode(text, add_special_tokens=False)
-        ids = np.array(encoding.ids, np.uint32)
-        word = np.array(encoding.word_ids, np.int64)
-        own = np.arange(len(chunks))
-        if self.keeps_white:
-            own += np.cumsum(apart)
-        counts = np.bincount(word, minlength=int(own[-1]) + 1)
-        if len(counts) != own[-1] + 1:
-            # Some letter falls apart when it is normalised: one call per chunk.
-            found = [np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, np.uint32) for c in chunks]
-            return np.concatenate(found), np.array([len(f) for f in found])
-        mine = np.zeros(len(counts), bool)
-        mine[own] = True
-        return ids[mine[word]], counts[own]
-
     def _learn(self, chunks: list[str]) -> None:
-        """Encodes new chunks, numbered in this order."""
-        lengths, parts = np.zeros(len(chunks), np.int64), [None] * len(chunks)
-        plain = [i for i, c in enumerate(chunks) if c.isalpha() or (c[0] == " " and c[1:].isalpha())]
-        odd = set(range(len(chunks))).difference(plain)
+        """Encodes new chunks and numbers them: those of letters alone by their merges, others by the library."""
+        takes = self.merges.takes if self.merges else lambda chunk: False
+        plain = [i for i, c in enumerate(chunks) if takes(c)]
+        odd = sorted(set(range(len(chunks))).difference(plain))
+        first = len(self.place) - len(chunks)
+        lengths, parts = np.zeros(len(chunks), np.int64), []
         for start in range(0, len(plain), JOINED_CHUNKS):
             part = plain[start : start + JOINED_CHUNKS]
-            ids, counts = self._encode_joined([chunks[i] for i in part])
-            lengths[part] = counts
-            ends = np.cumsum(counts)
-            for i, a, b in zip(part, (ends - counts).tolist(), ends.tolist()):
-                parts[i] = ids[a:b]
+            ids, lengths[part] = self.merges.encode([chunks[i] for i in part])
+            parts.append(ids)
         for i in odd:
-            parts[i] = np.array(self.tokenizer.encode(chunks[i], add_special_tokens=False).ids, np.uint32)
-            lengths[i] = len(parts[i])
-        self._keep(np.concatenate(parts), lengths, len(self.place) - len(chunks))
+            parts.append(np.array(self.tokenizer.encode(chunks[i], add_special_tokens=False).ids, np.uint32))
+            lengths[i] = len(parts[-1])
+        order = np.array(plain + odd, np.int64)
+        self._keep(np.concatenate(parts), order, lengths[order], first)
 
-    def _keep(self, ids: np.ndarray, lengths: np.ndarray, first: int) -> None:
+    def _keep(self, ids: np.ndarray, order: np.ndarray, lengths: np.ndarray, first: int) -> None:
+        """Ids of chunks ``order``, numbered from ``first`` on, of these lengths."""
         total, count = len(ids), len(lengths)
         while self.used + total > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -107,8 +156,8 @@ class ChunkEncoder:
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         self.ids[self.used : self.used + total] = ids
-        self.starts[first : first + count] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[first : first + count] = lengths
+        self.starts[first + order] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[first + order] = lengths
         self.used += total
 
     def _places(self, chunks: list[str]) -> np.ndarray:
