@@ -10,8 +10,9 @@ from pyspark.sql import SparkSession
 
 
 @lru_cache(maxsize=1)
-def _local_base() -> str:
-    return tempfile.mkdtemp(prefix="farelane-")
+def _local_base() -> tempfile.TemporaryDirectory:
+    """Goes with the process that made it."""
+    return tempfile.TemporaryDirectory(prefix="farelane-", ignore_cleanup_errors=True)
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -24,5 +25,19 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = _local_base()
+        base = _local_base().name
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme under which Spark finds it, for code that opens files by itself.
+
+    Spark reads a path without a scheme in the cluster's default file system, others on the
+    machine's own disk; where Spark puts a small file tells.
+    """
+    if "://" in folder:
+        return folder
+    probe = f"{folder.rstrip('/')}/place-{uuid4().hex}"
+    spark.range(1).write.parquet(probe)
+    written = spark.read.parquet(probe).select("_metadata.file_path").first()[0]
+    return written.split("/place-", 1)[0]

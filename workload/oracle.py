@@ -426,6 +426,7 @@ ORACLE: dict[str, str] = {
               trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
               total_amount, congestion_surcharge, id_customer, {KEY} FROM trips"""
     ),
+    "convert_formats": _with(f"SELECT service, {KEY}, pickup_datetime, pulocationid, total_amount FROM trips"),
     "append_tables": _with(f"SELECT service, {KEY}, total_amount FROM trips"),
     "processed_store_kpis": _with(
         _zone_kpis("JOIN").replace("GROUP BY", """JOIN zones o ON dolocationid = o."LocationID"

@@ -30,12 +30,12 @@ from farelane.plans.ingest import clean_month_files, convert_table, ingest_raw,
 from farelane.plans.partials import merged_daily_kpis, merged_zone_kpis, refresh_partials
 from farelane.plans.rollup import fact_rollup
 from farelane.schemas import GREEN_AFTER, ZONE_LOOKUP
-from farelane.scratch import scratch_folder
+from farelane.scratch import qualified, scratch_folder
 from farelane.sinks.exports import write_csv, write_text_messages
 from farelane.sinks.objects import put_object
 from farelane.sinks.store import SOURCE_KEYS, append, read_day, read_month_to_date, replace_source, write_store
 from farelane.sinks.tables import publish
-from farelane.sources.files import read_csv, read_latest, read_month_files, read_objects, read_recursive, read_zone_lookup, run_query
+from farelane.sources.files import read_csv, read_latest, read_month_files, read_objects, read_recursive, read_table, read_zone_lookup, run_query
 from farelane.sources.streams import table_stream, text_messages
 from farelane.streaming import changes, media
 from workload import tables
@@ -429,6 +429,18 @@ def append_tables(spark, sf_dir):
     return spark.read.parquet(copy)
 
 
+@register
+def convert_formats(spark, sf_dir):
+    """Trips converted from one file format to the next and read back from the last."""
+    trips = _trips(spark, sf_dir).select("service", *tables.KEY, "pickup_datetime", "pulocationid", "total_amount")
+    table = trips
+    for fmt in ("orc", "json", "csv", "parquet"):
+        path = scratch_folder(spark, f"as-{fmt}")
+        convert_table(table, path, fmt)
+        table = read_table(spark, path, fmt, trips.schema)
+    return table
+
+
 @register
 def processed_store_kpis(spark, sf_dir):
     """Raw trips of both services through the cleaning job into a store, then the zone report from it."""
@@ -877,8 +889,7 @@ def media_stream_rejects(spark, sf_dir):
 def media_stream_files(spark, sf_dir):
     """One file per message; the files are read back as binary rows."""
     folder = scratch_folder(spark, "media")
-    root = folder if "://" in folder else f"file://{folder}"
-    store = f"{root}/store"
+    store = f"{qualified(spark, folder)}/store"
     running = media.start_media(
         _media_stream(spark, sf_dir), "image", folder, "at", lambda: put_object(store), once=True
     )
