@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import in_slices, mapped, saved, shuffle_tasks, utf8
+from farelane.llm.common import in_slices, mapped, row_key, saved, shuffle_tasks, utf8
 from farelane.llm.mph import MinimalPerfectHash
 
 #: What is stripped from both ends of a line.
@@ -81,20 +81,30 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 
 
 class LineIndex:
-    """One shard: slots of a minimal perfect hash over fingerprints, counts and first documents."""
+    """One shard: slots of a minimal perfect hash over fingerprints, counts and first documents.
 
-    def __init__(self, table: MinimalPerfectHash, prints: np.ndarray, counts: np.ndarray, smallest: np.ndarray):
-        self.table, self.prints, self.counts, self.smallest = table, prints, counts, smallest
+    The hash is built on the first half of the lines' hashes. Of lines that agree there all but
+    one go to a short list at the end, which is searched for lines that their slot denies.
+    """
+
+    def __init__(self, table: MinimalPerfectHash, prints: np.ndarray, counts: np.ndarray, smallest: np.ndarray, more: np.ndarray):
+        self.table, self.prints, self.counts, self.smallest, self.more = table, prints, counts, smallest, more
+        self.others = {(a, b): owner for a, b, owner in zip(more[0].tolist(), more[1].tolist(), more[2].view(np.int64).tolist())}
 
     @classmethod
     def build(cls, first, second, counts, smallest) -> LineIndex:
-        table = MinimalPerfectHash.build(first)
-        order = np.argsort(table.slots(first))
-        return cls(table, second[order], counts[order], smallest[order])
+        _, one = np.unique(first, return_index=True)
+        rest = np.setdiff1d(np.arange(len(first)), one)
+        more = np.stack([first[rest], second[rest], smallest[rest].astype(np.int64).view(np.uint64)])
+        table = MinimalPerfectHash.build(first[one])
+        order = one[np.argsort(table.slots(first[one]))]
+        return cls(table, second[order], counts[order], smallest[order], more)
 
     def to_bytes(self) -> bytes:
         table = self.table.to_bytes()
-        return b"".join([struct.pack("<Q", len(table)), table, self.prints.tobytes(), self.counts.tobytes(), self.smallest.tobytes()])
+        return b"".join(
+            [struct.pack("<Q", len(table)), table, self.prints.tobytes(), self.counts.tobytes(), self.smallest.tobytes(), self.more.tobytes()]
+        )
 
     @classmethod
     def from_bytes(cls, data: bytes) -> LineIndex:
@@ -106,6 +116,7 @@ class LineIndex:
             np.frombuffer(data, "<u8", n, at),
             np.frombuffer(data, "<i8", n, at + 8 * n),
             np.frombuffer(data, "<i8", n, at + 16 * n),
+            np.frombuffer(data, "<u8", -1, at + 24 * n).reshape(3, -1) if len(data) > at + 24 * n else np.zeros((3, 0), np.uint64),
         )
 
     def owners(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -115,6 +126,9 @@ class LineIndex:
         known[known] = self.prints[slots[known]] == second[known]
         found = np.full(len(first), np.iinfo(np.int64).max)
         found[known] = self.smallest[slots[known]]
+        if self.others:
+            for i in np.flatnonzero(~known):
+                found[i] = self.others.get((int(first[i]), int(second[i])), found[i])
         return found
 
 
@@ -136,7 +150,7 @@ def _index_rows(repeated: DataFrame, shards: int, salts: dict[int, int]) -> Data
     )
     return indexes.select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"),
-        F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), "data",
+        F.lit(0).alias("kind"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("tie"), "data",
     )
 
 
@@ -160,29 +174,30 @@ def _probe_rows(docs: DataFrame, shards: int, salts: dict[int, int]) -> DataFram
             ends = np.r_[starts[1:], len(rows)]
             keep = spread[shard[starts]] > 0
             starts, ends = starts[keep], ends[keep]
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[rows[starts]]
-            salt = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            ids, ties = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)[rows[starts]] for c in (0, 2))
+            salt = ((ids ^ ties).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(shard[starts]),
                     pa.array(salt % spread[shard[starts]]),
                     pa.array(np.ones(len(starts), np.int32)),
                     pa.array(ids),
+                    pa.array(ties),
                     pa.array([both[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
                 ],
-                names=["shard", "salt", "kind", "doc_id", "data"],
+                names=["shard", "salt", "kind", "doc_id", "tie", "data"],
             )
 
-    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    return mapped(lines, run, "shard long, salt long, kind int, doc_id long, data binary")
+    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "text", row_key())
+    return mapped(lines, run, "shard long, salt long, kind int, doc_id long, tie long, data binary")
 
 
 def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by shard and salt, the index before its probes; only one index is held."""
     index = None
     for batch in in_slices(batches):
-        ids, lines = [], []
-        for kind, doc_id, data in zip(*(batch.column(n).to_pylist() for n in ("kind", "doc_id", "data"))):
+        ids, ties, lines = [], [], []
+        for kind, doc_id, tie, data in zip(*(batch.column(n).to_pylist() for n in ("kind", "doc_id", "tie", "data"))):
             if kind == 0:
                 index = LineIndex.from_bytes(data)
                 continue
@@ -190,12 +205,15 @@ def _probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lost = both[index.owners(both[:, 0], both[:, 1]) < doc_id]
             if len(lost):
                 ids.append(doc_id)
+                ties.append(tie)
                 lines.append(lost.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lines, pa.binary())], names=["doc_id", "lost"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(ties, pa.int64()), pa.array(lines, pa.binary())], names=["doc_id", "tie", "lost"]
+        )
 
 
 def lost_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, lost: lists of hashes of the lines a document gives up; other documents have no row."""
+    """doc_id, tie, lost: lists of hashes of the lines that a row (``row_key`` is tie) gives up; other rows have none."""
     spark = docs.sparkSession
     repeated = saved(repeated_lines(docs), "repeated-lines")
     total = repeated.count()
@@ -205,8 +223,8 @@ def lost_lines(docs: DataFrame) -> DataFrame:
     salts = {s: groups // shards + 1 + groups * w // probes for s, w in weights.items()}
     rows = _index_rows(repeated, shards, salts).unionByName(_probe_rows(docs, shards, salts))
     dealt = rows.repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind")
-    lost = mapped(dealt, _probed, "doc_id long, lost binary")
-    return lost.groupBy("doc_id").agg(F.collect_set("lost").alias("lost"))
+    lost = mapped(dealt, _probed, "doc_id long, tie long, lost binary")
+    return lost.groupBy("doc_id", "tie").agg(F.collect_set("lost").alias("lost"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -221,8 +239,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "n_dropped")
     names = docs.columns
-    lost = lost_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("lost").alias("__lost"))
-    joined = docs.join(lost, F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id")
+    lost = lost_lines(docs).select(F.col("doc_id").alias("__doc_id"), F.col("tie").alias("__tie"), F.col("lost").alias("__lost"))
+    same = (F.col("doc_id") == F.col("__doc_id")) & (row_key() == F.col("__tie"))
+    joined = docs.join(lost, same, "left").drop("__doc_id", "__tie")
     joined = joined.select(*[c for c in names if c != "text"], "text", "__lost")
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("__lost",)), "n_lines long", "n_dropped long"])
 
