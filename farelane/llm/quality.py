@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from farelane.llm.common import in_slices, mapped, saved, texts
 
-#: Documents that train the scorer, about so many and chosen by a hash of their id and text.
+#: Documents that vote and train the scorer, about so many, chosen by a hash of their id and text; equal rows count once.
 FIT_ROWS = 16384
 BITS = 12
 EPOCHS, RATE, DECAY = 60, 0.5, 1e-4
@@ -35,14 +35,20 @@ MARKS = re.compile(r"[^\w\s]{2,}$|[^\w\s.,;:!?'\"()\[\]{}<>|/@&%+=*#$-]|[#$%&*]{
 
 
 def _shape(word: str) -> str:
-    shape = re.sub(r"[^\W\d_]+", lambda m: "X" if m.group().isupper() and len(m.group()) > 1 else "x", word[:40])
+    shape = re.sub(r"[^\W\d_]+", lambda m: "X" if m.group().isupper() and len(m.group()) > 1 else "x", word)
     return re.sub(r"(.)\1+", r"\1\1", re.sub(r"[0-9]+", "9", shape))
 
 
+#: Letters of a plain word at most; longer ones are codes, run-on text or noise.
+LONGEST = 40
+
+
 class _Codes(dict):
-    """Facts and hashed shape of each word; forgotten when there are too many."""
+    """Facts and hashed shape of each word; forgotten when there are too many, long ones at once."""
 
     def __missing__(self, word: str) -> int:
+        if len(word) > LONGEST:
+            return self._found(word)
         if len(self) > 300_000:
             self.clear()
         stem = word[:-1] if word[-1] in ".,;:!?" else word
@@ -57,10 +63,14 @@ class _Codes(dict):
     @staticmethod
     @lru_cache(maxsize=10_000)
     def _code(word: str) -> int:
+        return _Codes._found(word)
+
+    @staticmethod
+    def _found(word: str) -> int:
         letters = [c for c in word if c.isalpha()]
         facts = UPPER * (len(letters) > 1 and all(c.isupper() for c in letters))
         facts |= MARKED * (MARKS.search(word) is not None) | BAR * (word == "|")
-        facts |= PLAIN * (not facts & UPPER and PLAIN_WORD.fullmatch(word) is not None) | STOP * word.endswith((".", "!", "?")) | LETTER * bool(letters)
+        facts |= PLAIN * (not facts & UPPER and len(word) <= LONGEST and PLAIN_WORD.fullmatch(word) is not None) | STOP * word.endswith((".", "!", "?")) | LETTER * bool(letters)
         return facts | (zlib.crc32(_shape(word).encode("utf-8", "surrogatepass")) % (1 << BITS)) << 8
 
 
@@ -73,7 +83,8 @@ BAD = {
     "echoes": (0.3, 1), "variety": (0.85, 1), "sentences": (0.5, 1), "letters": (0.3, 1),
 }
 GOOD = {"prose": (0.93, 1), "sentences": (0.03, 0.35)}
-MIN_WORDS = 12
+#: Labellers abstain on texts of fewer words, unless these are long.
+MIN_WORDS, MIN_CHARS = 12, 400
 
 
 def _repetition(ids: np.ndarray, run: int = 1000) -> float:
@@ -110,7 +121,7 @@ def _described(text: str) -> tuple[int, np.ndarray, np.ndarray]:
     shares, votes = _shares(words, codes), 0
     for name in LABELLERS:
         vote = 0
-        if len(words) >= MIN_WORDS:
+        if len(words) >= MIN_WORDS or len(text) >= MIN_CHARS:
             vote = 2 if _within(shares[name], BAD[name]) else int(_within(shares[name], GOOD.get(name, NEVER)))
         votes = votes * 3 + vote
     features, counts = np.unique(codes >> 8, return_counts=True)
@@ -163,46 +174,36 @@ def fit_scorer(features: list[np.ndarray], values: list[np.ndarray], target: np.
     return weights
 
 
-def _votes(share: float):
-    """Votes of every document; features only of those whose hash falls into the share."""
-    limit = int(share * (1 << 62))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
-            votes, features, values = [], [], []
-            for text, place in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-                vote, feature, value = _described(text)
-                chosen = place & ((1 << 62) - 1) < limit
-                votes.append(vote)
-                features.append(feature if chosen else None)
-                values.append(value if chosen else None)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(votes, pa.int64()), pa.array(features, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))],
-                names=["votes", "features", "vals"],
-            )
-
-    return run
+def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_slices(batches):
+        found = [_described(text) for text in texts(batch.column(0))]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([v for v, _, _ in found], pa.int64()),
+                pa.array([f for _, f, _ in found], pa.list_(pa.int32())),
+                pa.array([x for _, _, x in found], pa.list_(pa.float32())),
+            ],
+            names=["votes", "features", "vals"],
+        )
 
 
 def train(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the scorer, and the labellers' rates as ``fit_votes`` estimates them.
 
-    The driver gets at most one count per pattern of votes, 3 ** 8, and about
-    ``fit_rows`` feature lists.
+    Both are fitted on about ``fit_rows`` documents, chosen by a hash of id and text and never
+    more than twice as many; of equal rows one is taken. The driver gets their votes and features.
     """
-    total = docs.count()
-    share = min(1.0, fit_rows / max(total, 1))
-    rows = docs.select("text", F.xxhash64("doc_id", "text").alias("place"))
-    found = saved(mapped(rows, _votes(share), "votes long, features array<int>, vals array<float>"), "votes")
-    counts = found.groupBy("votes").count().toArrow()
-    patterns = counts.column("votes").to_numpy()
-    bad, rates = fit_votes(patterns, counts.column("count").to_numpy())
-    posterior = dict(zip(patterns.tolist(), bad.tolist()))
-    sample = found.filter("features is not null").toArrow()
+    share = min(1.0, fit_rows / max(docs.count(), 1))
+    place = F.xxhash64("doc_id", "text")
+    rows = docs.select("text", place.alias("place")).filter(F.col("place").bitwiseAND(F.lit((1 << 62) - 1)) < int(share * (1 << 62)))
+    rows = rows.dropDuplicates(["place"]).select("text")
+    sample = saved(mapped(rows, _votes, "votes long, features array<int>, vals array<float>"), "votes").limit(2 * fit_rows).toArrow()
+    votes = sample.column("votes").to_numpy()
+    patterns, which, counts = np.unique(votes, return_inverse=True, return_counts=True)
+    bad, rates = fit_votes(patterns, counts)
     features = [np.array(f, np.int32) for f in sample.column("features").to_pylist()]
     values = [np.array(v, np.float32) for v in sample.column("vals").to_pylist()]
-    target = np.array([posterior[v] for v in sample.column("votes").to_pylist()])
-    return fit_scorer(features, values, target), rates
+    return fit_scorer(features, values, bad[which] if len(which) else np.zeros(0)), rates
 
 
 def classify(docs: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
