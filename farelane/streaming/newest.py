@@ -17,12 +17,16 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 FOLD_AFTER = 16
 #: Turns of the folders: changes of so many folds, and so many bases, lie side by side.
 CHANGE_SLOTS, BASE_SLOTS = 3, 2
-MARKERS = "fold long, first_batch long"
+MARKERS = "fold long, first_batch long, every long"
 
 
-def _prepare(spark: SparkSession, path: str) -> None:
-    """The marker of a table without a base, unless there is one."""
-    spark.range(1).selectExpr("-1L AS fold", "0L AS first_batch").write.mode("ignore").parquet(f"{path}/markers")
+def _prepare(spark: SparkSession, path: str, every: int) -> None:
+    """The marker of a table without a base, unless there is one; folds of a table keep their length."""
+    marker = spark.range(1).select(*(F.lit(v).cast("long").alias(n) for n, v in (("fold", -1), ("first_batch", 0), ("every", every))))
+    marker.write.mode("ignore").parquet(f"{path}/markers")
+    kept = {r["every"] for r in spark.read.schema(MARKERS).parquet(f"{path}/markers").select("every").distinct().collect()}
+    if kept != {every}:
+        raise ValueError(f"{path} folds after {sorted(kept)} batches, not after {every}")
 
 
 def _marker(spark: SparkSession, path: str) -> tuple[int, int]:
@@ -65,7 +69,7 @@ def start_newest(
     table is written once in ``every`` batches.
     """
     spark, schema = table.sparkSession, table.schema
-    _prepare(spark, path)
+    _prepare(spark, path, every)
 
     def write(changed: DataFrame, batch: int) -> None:
         fold, place = divmod(batch, every)
@@ -81,7 +85,8 @@ def start_newest(
             whole = _gathered(session, path, schema, keys, fmt, [slot], batch + 1)
             if _marker(session, path)[0] < fold:
                 whole.write.format(fmt).mode("overwrite").save(f"{path}/base/slot={fold % BASE_SLOTS}")
-                marker = session.range(1).select(F.lit(fold).cast("long").alias("fold"), F.lit(batch + 1).cast("long").alias("first_batch"))
+                told = (("fold", fold), ("first_batch", batch + 1), ("every", every))
+                marker = session.range(1).select(*(F.lit(v).cast("long").alias(n) for n, v in told))
                 marker.write.mode("append").parquet(f"{path}/markers")
 
     writer = table.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -137,6 +137,14 @@ def test_folds_keep_counts_and_bound_files(spark, tmp_path):
     assert {r[0]: r[1] for r in changes.counts_in_state(spark, checkpoint).collect()} == expected
 
 
+def test_folds_of_a_table_keep_their_length(spark, tmp_path):
+    feed, path, checkpoint = tmp_path / "feed", str(tmp_path / "counts"), str(tmp_path / "c")
+    feed.mkdir()
+    _feed_counts(spark, feed, path, checkpoint, [(0, [1, 2])], every=3)
+    with pytest.raises(ValueError, match="folds after"):
+        _feed_counts(spark, feed, path, checkpoint, [(1, [2])], every=2)
+
+
 def test_a_repeated_batch_counts_once(spark, tmp_path):
     """The batch is taken off the commit log, as if the job had died before it ended."""
     feed, path, checkpoint = tmp_path / "feed", str(tmp_path / "counts"), str(tmp_path / "c")

@@ -416,6 +416,7 @@ ORACLE: dict[str, str] = {
             WHERE service = '{SERVICE}' AND trip_day = DATE '{DAY}'"""
     ),
     "publish_one_day": _with(f"SELECT service, {DAILY_NAMES} FROM daily WHERE date = DATE '{DAY}'", ITEMS, DAILY),
+    "publish_one_day_zones": _with(f"SELECT * FROM ({_zone_kpis('LEFT JOIN')}) WHERE date = DATE '{DAY}'"),
     "day_overwrite": _with(
         """SELECT service, trip_day, count(*) AS trips,
              sum(CASE WHEN service = 'green' AND month(trip_day) = 1 THEN 2 ELSE 1 END * total_amount) AS revenue

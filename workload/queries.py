@@ -397,6 +397,17 @@ def publish_one_day(spark, sf_dir):
     return yellow.unionByName(green)
 
 
+@register
+def publish_one_day_zones(spark, sf_dir):
+    """The zone tables of both services of one day, published twice from a store of all trips and read back."""
+    store, folder = scratch_folder(spark, "store"), scratch_folder(spark, "tables")
+    write_store(_with_month(_trips(spark, sf_dir)), store, MONTH_KEYS, sort=("trip_day",))
+    for _ in range(2):
+        names = publish_day(spark, store, tables.zones(spark, sf_dir), DAY, folder=folder)
+    yellow, green = (run_query(spark, names[s]["zones"]).withColumn("service", F.lit(s)) for s in ("yellow", "green"))
+    return yellow.unionByName(green)
+
+
 @register
 def day_overwrite(spark, sf_dir):
     """A store in which the green trips of each January are replaced: their amounts are doubled."""
@@ -723,7 +734,7 @@ def cdc_stream_append(spark, sf_dir):
 
 
 #: Files of a replayed feed, each a trigger, and triggers between two folds of the count table.
-FEED_FILES, FOLD_EVERY = 5, 2
+FEED_FILES, FOLD_EVERY = 4, 2
 
 
 def _change_feed(spark, sf_dir) -> DataFrame:
