@@ -12,7 +12,7 @@ import re
 
 import numpy as np
 
-from farelane.llm.common import flat_ranges
+from farelane.llm.common import flat_ranges, remembered_for
 
 #: The characters that Unicode calls white space.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -22,7 +22,7 @@ _STEM = r"[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[\x00-@\[-`{-\x7f]|\Z)"
 WORDS = re.compile(f"{_STEM}|[^{WHITE}]+")
 #: Words with one space before them, and the white space left between such words.
 SPACED = re.compile(f" ?{_STEM}| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-CACHED_CHUNKS, CACHED_IDS = 800_000, 8_000_000
+CACHED_CHUNKS, CACHED_IDS = 500_000, 5_000_000
 #: Characters below this one never change when they are composed; lower case changes them one by one.
 COMPOSED = "\u0300"
 #: Ends the words of vocabularies that mark them; no letter.
@@ -190,6 +190,7 @@ class ChunkEncoder:
 
 
 _ENCODERS: dict[tuple, ChunkEncoder] = {}
+remembered_for(("farelane.llm.packing", "farelane.llm.token_files"), _ENCODERS.clear)
 
 
 def chunk_encoder(path: str, chunks: re.Pattern) -> ChunkEncoder:

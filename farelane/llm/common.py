@@ -40,10 +40,32 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+#: What worker processes remember over tasks: how to forget it, by the modules that use it.
+_MEMORIES: list[tuple[tuple[str, ...], Callable[[], None]]] = []
+
+
+def remembered_for(modules: tuple[str, ...], forget: Callable[[], None]) -> None:
+    """Says that only functions of ``modules`` use a cache of this process, and how to empty it."""
+    _MEMORIES.append((modules, forget))
+
+
+def forget_others(module: str) -> None:
+    """Empties the caches that functions of a module do not use: a worker serves one operator after another."""
+    for modules, forget in _MEMORIES:
+        if module not in modules:
+            forget()
+
+
 def mapped(df: DataFrame, function: Callable, ddl: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package; caches of other operators are emptied first."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, ddl)
+    module = function.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(module)
+        return function(batches)
+
+    return df.mapInArrow(run, ddl)
 
 
 def shuffle_tasks(spark: SparkSession) -> int:

@@ -26,13 +26,12 @@ from farelane.llm.mph import mixed
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union, as whole numbers.
 PERCENT = 75
-#: Cells of each row of the sketch that estimates how many documents hold a shingle: 8 MB in all, whatever the corpus.
-ROWS, CELLS = 2, 1 << 20
-#: Cells that one group sums.
-BLOCK = 1 << 15
-#: This many documents beyond what a usual cell counts, a shingle's postings are dealt by group instead of by shingle.
+#: Shingles of known frequency at most, 12 bytes each in every task; all others count as rare.
+KNOWN = 1 << 20
+MIN_KNOWN = 4
+#: Beyond this many documents a shingle's postings are dealt by group instead of by shingle.
 HOT = 4096
-#: Shingles counted at once, and postings compared per task group.
+#: Shingles counted, and postings compared, per task group.
 COUNTED, POSTED = 1 << 21, 1 << 19
 #: Sets compared with one copy of a centre's set.
 MEMBERS = 64
@@ -64,29 +63,40 @@ def prefix_length(size: int) -> int:
     return size - (PERCENT * size + 99) // 100 + 1
 
 
-def _cells(tokens: np.ndarray) -> list[np.ndarray]:
-    """The cell of each shingle in every row of the sketch."""
-    return [(tokens & np.uint64(CELLS - 1)).astype(np.int64), ((tokens >> np.uint64(40)) & np.uint64(CELLS - 1)).astype(np.int64)]
+def _counter(tokens: np.ndarray, shards: int) -> np.ndarray:
+    """A shingle's shard and 32 of its bits: enough to estimate its frequency."""
+    return (((tokens >> np.uint64(40)) % np.uint64(shards)) << np.uint64(32)) | (tokens & np.uint64(0xFFFFFFFF))
 
 
-def _described(docs: DataFrame) -> DataFrame:
-    """Rows of two kinds: a document's group and size, or one block of the cells of a task's documents."""
-    ddl = "doc_id long, tie long, group long, size long, block long, data binary"
-    names = [part.split()[0] for part in ddl.split(", ")]
+def _packed_ascending(low: np.ndarray) -> bytes:
+    """Ascending numbers as differences, by planes of bytes, compressed: about half of their four bytes."""
+    steps = np.diff(low, prepend=np.uint32(0)).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes())
 
-    def blocks(cells: np.ndarray) -> pa.RecordBatch:
-        parts = cells.reshape(-1, BLOCK)
-        data = [zstandard.ZstdCompressor(level=1).compress(p.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()) for p in parts]
-        blank = pa.nulls(len(parts), pa.int64())
-        return pa.RecordBatch.from_arrays([blank] * 4 + [pa.array(np.arange(len(parts))), pa.array(data, pa.binary())], names=names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, waiting, held = np.zeros((ROWS, CELLS), np.uint32), [], 0
+def _ascending(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def _described(docs: DataFrame, shards: int) -> DataFrame:
+    """Rows of two kinds: a document's group and size, or the counters of many documents packed by shard."""
+    ddl = "doc_id long, tie long, group long, size long, shard long, data binary"
 
-        def count() -> None:
-            for row, places in zip(cells, _cells(np.concatenate(waiting))):
-                row += np.bincount(places, minlength=CELLS).astype(np.uint32)
+    def packed(counters: list[np.ndarray]) -> pa.RecordBatch:
+        found = np.sort(np.concatenate(counters))
+        shard = (found >> np.uint64(32)).astype(np.int64)
+        low = found.astype("<u4")
+        names, starts = np.unique(shard, return_index=True)
+        ends = np.r_[starts[1:], len(found)]
+        blank = pa.nulls(len(names), pa.int64())
+        data = pa.array([_packed_ascending(low[a:b]) for a, b in zip(starts, ends)], pa.binary())
+        return pa.RecordBatch.from_arrays([blank] * 4 + [pa.array(names), data], names=NAMES)
+
+    NAMES = [part.split()[0] for part in ddl.split(", ")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, held = [], 0
         for batch in in_slices(batches):
             sets = [shingles(text) for text in utf8(batch.column(1))]
             n = len(sets)
@@ -95,39 +105,47 @@ def _described(docs: DataFrame) -> DataFrame:
                     batch.column(0), batch.column(2), pa.array([group_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
                 ],
-                names=names,
+                names=NAMES,
             )
-            waiting += sets
-            held += sum(map(len, sets))
+            for found in sets:
+                counters.append(_counter(found, shards))
+                held += len(found)
             if held >= COUNTED:
-                count()
-                waiting, held = [], 0
+                yield packed(counters)
+                counters, held = [], 0
         if held:
-            count()
-        if cells.any():
-            yield blocks(cells)
+            yield packed(counters)
 
     return mapped(docs.select(F.col("doc_id").cast("long"), "text", row_key()), run, ddl)
 
 
-def _frequencies(blocks: DataFrame) -> tuple[np.ndarray, int]:
-    """The sketch of all documents, and what a usual cell counts. Its size does not depend on the corpus."""
-
-    def add(key: tuple, table: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, np.uint64)
-        for data in table.column("data").to_pylist():
-            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-            total += np.ascontiguousarray(planes.T).view("<u4").ravel()
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "data": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
-
-    cells = np.zeros((ROWS, CELLS), np.uint32)
-    flat = cells.reshape(-1, BLOCK)
-    for row in saved(blocks.groupBy("block").applyInArrow(add, "block long, data binary"), "sketch").collect():
-        flat[row["block"]] = np.frombuffer(row["data"], "<u4")
-    return cells, int(np.median(cells[0]))
-
-
-def _postings(docs: DataFrame, known: tuple[np.ndarray, int], shards: int) -> DataFrame:
+def _frequencies(counters: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent counters, at most KNOWN, and their numbers of documents, both by counter."""
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        low = np.concatenate([_ascending(d) for d in table.column("data").to_pylist()])
+        found, times = np.unique(low, return_counts=True)
+        often = times >= MIN_KNOWN
+        names = (np.uint64(key[0].as_py()) << np.uint64(32)) | found[often].astype(np.uint64)
+        return pa.table({"counter": names.view(np.int64), "times": times[often].astype(np.int64)})
+
+    found = saved(counters.groupBy("shard").applyInArrow(count, "counter long, times long"), "frequencies")
+    steps = found.groupBy(F.floor(F.log2("times") * 8).alias("step")).count().orderBy(F.desc("step")).collect()
+    total, least = 0, None
+    for step, n in steps:
+        total += n
+        if total > KNOWN:
+            break
+        least = step
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    known = found.filter(F.floor(F.log2("times") * 8) >= least).toArrow()
+    names = known.column("counter").to_numpy().view(np.uint64)
+    order = np.argsort(names)
+    return names[order], known.column("times").to_numpy().astype(np.uint32)[order]
+
+
+def _postings(docs: DataFrame, known: tuple[np.ndarray, np.ndarray], counted: int, shards: int) -> DataFrame:
     """token, group, size, place of every prefix shingle that two groups share, and of every hot one."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
@@ -144,7 +162,7 @@ def _postings(docs: DataFrame, known: tuple[np.ndarray, int], shards: int) -> Da
         return pa.RecordBatch.from_arrays([pa.array(names), pa.array(data, pa.binary())], names=["shard", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, usual = shared.value
+        names, times = shared.value
         parts, hot, held, seen = [], [], 0, set()
         for batch in in_slices(batches):
             for text in utf8(batch.column(0)):
@@ -153,13 +171,16 @@ def _postings(docs: DataFrame, known: tuple[np.ndarray, int], shards: int) -> Da
                 if not len(found) or group in seen:
                     continue
                 seen.add(group)
-                often = np.minimum(*(row[places] for row, places in zip(sketch, _cells(found))))
+                counter = _counter(found, counted)
+                at = np.searchsorted(names, counter)
+                at[at == len(names)] = 0
+                often = np.where(names[at] == counter, times[at], 0) if len(names) else np.zeros(len(found), np.uint32)
                 first = np.argsort(often, kind="stable")[: prefix_length(len(found))]
                 rows = np.empty(len(first), POSTING)
                 rows["token"], rows["group"], rows["size"] = found[first], group, len(found)
                 rows["place"] = np.arange(len(first))
                 parts.append(rows)
-                hot.append(often[first] >= HOT + usual)
+                hot.append(often[first] >= HOT)
                 held += len(rows)
             if held >= POSTED:
                 yield packed(parts, hot)
@@ -305,14 +326,16 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select("doc_id", "text")
-    described = saved(_described(docs), "shingles")
-    rows = described.filter("block is null").select("doc_id", "tie", "group", "size")
-    known = _frequencies(described.filter("block is not null").select("block", "data"))
+    words = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(shuffle_tasks(spark), words // 6 // COUNTED + 1)
+    described = saved(_described(docs, shards), "shingles")
+    rows = described.filter("shard is null").select("doc_id", "tie", "group", "size")
+    known = _frequencies(described.filter("shard is not null").select("shard", "data"))
     filled = rows.filter("size > 0")
     groups = filled.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("r"))
     groups = saved(groups.select("group", "r.doc_id", "r.tie"), "groups")
     total = filled.agg(F.sum("size")).first()[0] or 0
-    shared = saved(_postings(docs, known, max(shuffle_tasks(spark), prefix_length(total) // POSTED + 1)), "postings")
+    shared = saved(_postings(docs, known, shards, max(shuffle_tasks(spark), prefix_length(total) // POSTED + 1)), "postings")
     tested = saved(_star_pairs(shared), "star-pairs")
     links = saved(_verified(docs, groups, tested), "links")
     labels = saved(components(links), "labels")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelane.llm.common import in_slices, mapped, saved, texts
+from farelane.llm.common import in_slices, mapped, remembered_for, saved, texts
 
 #: Documents that vote and train the scorer, about so many, chosen by a hash of their id and text; equal rows count once.
 FIT_ROWS = 16384
@@ -49,7 +49,7 @@ class _Codes(dict):
     def __missing__(self, word: str) -> int:
         if len(word) > LONGEST:
             return self._found(word)
-        if len(self) > 300_000:
+        if len(self) > 200_000:
             self.clear()
         stem = word[:-1] if word[-1] in ".,;:!?" else word
         if stem.isalpha():
@@ -75,6 +75,7 @@ class _Codes(dict):
 
 
 _CODES = _Codes()
+remembered_for((__name__,), _CODES.clear)
 
 LABELLERS = ("prose", "capitals", "marks", "bars", "echoes", "variety", "sentences", "letters")
 #: For each labeller the shares of words at which it votes bad and good, as ranges; it abstains on all others.
