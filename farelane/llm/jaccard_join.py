@@ -1,11 +1,14 @@
 """Exact Jaccard join of word shingle sets as components: a grouped prefix join.
 
 Shingles are ordered from rare to common. Two sets that reach the threshold share a
-shingle among the first quarter of both, their prefixes. Documents of equal sets, and so
-of equal prefixes and size, are one group. Groups that share a prefix shingle are
-filtered by size and by the places of the shingle, and then verified on whole sets: first
-each against the group in which the shingle comes earliest, then every pair that is
-still in different components. Pairs inside a component found already need no check.
+shingle among the first quarter of both, their prefixes. Documents of equal sets are one
+member, and members of identical prefixes and size are one group: the prefix is posted
+once for all of them. Group pairs that share a prefix shingle are filtered, then expanded
+to members, whose whole sets are verified. This is done twice. First each group's head
+is compared with the members of its own group and of the groups for which it holds a
+shared shingle earliest. Then group pairs that still reach into different components are
+filtered by size, places and the number of shingles that their prefixes share, and their
+members in different components are compared. Pairs inside a component need no check.
 """
 
 from __future__ import annotations
@@ -38,6 +41,9 @@ MEMBERS = 64
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 POSTING = np.dtype([("token", "<u8"), ("group", "<i8"), ("size", "<u4"), ("place", "<u4")])
+MEMBER = np.dtype([("group", "<i8"), ("member", "<i8")])
+#: Sets and groups that a task remembers to send them once; sending one again changes nothing.
+SEEN = 1 << 17
 
 
 def shingles(text: bytes) -> np.ndarray:
@@ -53,11 +59,16 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(mixed(rolled, width))
 
 
-def group_of(found: np.ndarray) -> int:
+def member_of(found: np.ndarray) -> int:
     """Names a set: documents of equal sets get the same number."""
     return xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found)) - (1 << 63)
 
 
+def group_of(prefix: np.ndarray, size: int) -> int:
+    """Names a group: sets of the same prefix and size get the same number."""
+    return xxhash.xxh3_64_intdigest(prefix.tobytes(), seed=size) - (1 << 63)
+
+
 def prefix_length(size: int) -> int:
     """Two sets without a common shingle among so many of their first ones cannot link."""
     return size - (PERCENT * size + 99) // 100 + 1
@@ -80,8 +91,8 @@ def _ascending(data: bytes) -> np.ndarray:
 
 
 def _described(docs: DataFrame, shards: int) -> DataFrame:
-    """Rows of two kinds: a document's group and size, or the counters of many documents packed by shard."""
-    ddl = "doc_id long, tie long, group long, size long, shard long, data binary"
+    """Rows of two kinds: a document's set and its size, or the counters of many documents packed by shard."""
+    ddl = "doc_id long, tie long, member long, size long, shard long, data binary"
 
     def packed(counters: list[np.ndarray]) -> pa.RecordBatch:
         found = np.sort(np.concatenate(counters))
@@ -102,7 +113,7 @@ def _described(docs: DataFrame, shards: int) -> DataFrame:
             n = len(sets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(2), pa.array([group_of(s) for s in sets], pa.int64()),
+                    batch.column(0), batch.column(2), pa.array([member_of(s) for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
                 ],
                 names=NAMES,
@@ -146,36 +157,53 @@ def _frequencies(counters: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(docs: DataFrame, known: tuple[np.ndarray, np.ndarray], counted: int, shards: int) -> DataFrame:
-    """token, group, size, place of every prefix shingle that two groups share, and of every hot one."""
+    """Rows of two kinds: token, group, size, place of prefix shingles; or group, member of every set.
+
+    Shingles that one group alone posts are left out, but for hot ones.
+    """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
 
-    def packed(parts: list[np.ndarray], hot: list[np.ndarray]) -> pa.RecordBatch:
-        rows, often = np.concatenate(parts), np.concatenate(hot)
+    def packed(parts: list[np.ndarray], hot: list[np.ndarray], sets: list[tuple[int, int]]) -> pa.RecordBatch:
+        members = np.array(sets, MEMBER)
+        rows = np.concatenate([np.empty(0, POSTING), *parts])
+        often = np.concatenate([np.empty(0, bool), *hot])
         dealt = np.where(often, rows["group"].view(np.uint64), rows["token"])
-        shard = (mixed(dealt, 7) % np.uint64(shards)).astype(np.int64) + shards * often
-        order = np.argsort(shard, kind="stable")
-        rows, shard = rows[order], shard[order]
-        names, starts = np.unique(shard, return_index=True)
-        ends = np.r_[starts[1:], len(rows)]
-        data = [b"".join(rows[f][a:b].tobytes() for f in POSTING.names) for a, b in zip(starts, ends)]
-        return pa.RecordBatch.from_arrays([pa.array(names), pa.array(data, pa.binary())], names=["shard", "data"])
+        kinds = [
+            (rows, (mixed(dealt, 7) % np.uint64(shards)).astype(np.int64) + shards * often),
+            (members, (mixed(members["group"].view(np.uint64), 7) % np.uint64(shards)).astype(np.int64) + 2 * shards),
+        ]
+        shard_names, data = [], []
+        for found, shard in kinds:
+            order = np.argsort(shard, kind="stable")
+            found, shard = found[order], shard[order]
+            names, starts = np.unique(shard, return_index=True)
+            ends = np.r_[starts[1:], len(found)]
+            shard_names += names.tolist()
+            data += [b"".join(found[f][a:b].tobytes() for f in found.dtype.names) for a, b in zip(starts, ends)]
+        return pa.RecordBatch.from_arrays([pa.array(shard_names, pa.int64()), pa.array(data, pa.binary())], names=["shard", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, times = shared.value
-        parts, hot, held, seen = [], [], 0, set()
+        parts, hot, sets, held, seen, posted = [], [], [], 0, set(), set()
         for batch in in_slices(batches):
             for text in utf8(batch.column(0)):
                 found = shingles(text)
-                group = group_of(found)
-                if not len(found) or group in seen:
+                member = member_of(found)
+                if not len(found) or member in seen:
                     continue
-                seen.add(group)
+                seen.add(member)
                 counter = _counter(found, counted)
                 at = np.searchsorted(names, counter)
                 at[at == len(names)] = 0
                 often = np.where(names[at] == counter, times[at], 0) if len(names) else np.zeros(len(found), np.uint32)
                 first = np.argsort(often, kind="stable")[: prefix_length(len(found))]
+                group = group_of(found[first], len(found))
+                sets.append((group, member))
+                held += 1
+                if group in posted:
+                    continue
+                posted.add(group)
                 rows = np.empty(len(first), POSTING)
                 rows["token"], rows["group"], rows["size"] = found[first], group, len(found)
                 rows["place"] = np.arange(len(first))
@@ -183,90 +211,137 @@ def _postings(docs: DataFrame, known: tuple[np.ndarray, np.ndarray], counted: in
                 hot.append(often[first] >= HOT)
                 held += len(rows)
             if held >= POSTED:
-                yield packed(parts, hot)
-                parts, hot, held = [], [], 0
+                yield packed(parts, hot, sets)
+                parts, hot, sets, held = [], [], [], 0
+            if len(seen) > SEEN:
+                seen, posted = set(), set()
         if held:
-            yield packed(parts, hot)
+            yield packed(parts, hot, sets)
+
+    def unpacked(pieces: list[bytes], kind: np.dtype) -> np.ndarray:
+        made = []
+        for data in pieces:
+            n, at = len(data) // kind.itemsize, 0
+            rows = np.empty(n, kind)
+            for field in kind.names:
+                rows[field] = np.frombuffer(data, kind[field], n, at)
+                at += n * kind[field].itemsize
+            made.append(rows)
+        return np.concatenate(made)
 
     def meet(key: tuple, table: pa.Table) -> pa.Table:
-        pieces = []
-        for data in table.column("data").to_pylist():
-            n, at = len(data) // POSTING.itemsize, 0
-            rows = np.empty(n, POSTING)
-            for field in POSTING.names:
-                rows[field] = np.frombuffer(data, POSTING[field], n, at)
-                at += n * POSTING[field].itemsize
-            pieces.append(rows)
-        rows = np.concatenate(pieces)
+        shard, pieces = key[0].as_py(), table.column("data").to_pylist()
+        if shard >= 2 * shards:
+            rows = np.unique(unpacked(pieces, MEMBER))
+            blank = pa.nulls(len(rows), pa.int64())
+            columns = [blank, pa.array(rows["group"].copy()), blank, blank, pa.array(rows["member"].copy())]
+            return pa.table(columns, names=["token", "group", "size", "place", "member"])
+        rows = unpacked(pieces, POSTING)
         order = np.lexsort((rows["group"], rows["token"]))
         token, group = rows["token"][order], rows["group"][order]
         new_token = np.r_[True, token[1:] != token[:-1]]
         distinct = new_token | np.r_[True, group[1:] != group[:-1]]
         order, token, new_token = order[distinct], token[distinct], np.r_[True, token[distinct][1:] != token[distinct][:-1]]
-        if key[0].as_py() < shards:
+        if shard < shards:
             starts = np.flatnonzero(new_token)
             sizes = np.diff(np.r_[starts, len(token)])
             order = order[np.repeat(sizes > 1, sizes)]
         rows = rows[order]
         return pa.table({
-            "token": rows["token"].view(np.int64), "group": rows["group"].copy(),
-            "size": rows["size"].astype(np.int64), "place": rows["place"].astype(np.int64),
+            "token": rows["token"].view(np.int64), "group": rows["group"].copy(), "size": rows["size"].astype(np.int64),
+            "place": rows["place"].astype(np.int64), "member": pa.nulls(len(rows), pa.int64()),
         })
 
     dealt = mapped(docs.select("text"), run, "shard long, data binary")
-    return dealt.groupBy("shard").applyInArrow(meet, "token long, group long, size long, place long")
+    return dealt.groupBy("shard").applyInArrow(meet, "token long, group long, size long, place long, member long")
 
 
-def _may_link(a: str, b: str):
-    """Sizes close enough, and enough shingles left after the shared one in both."""
-    sizes = F.col(f"{a}.size") + F.col(f"{b}.size")
-    left = F.least(F.col(f"{a}.size") - F.col(f"{a}.place"), F.col(f"{b}.size") - F.col(f"{b}.place"))
-    least = F.least(f"{a}.size", f"{b}.size")
-    most = F.greatest(f"{a}.size", f"{b}.size")
-    return (100 * least >= PERCENT * most) & ((100 + PERCENT) * left >= PERCENT * sizes)
+def _sizes_fit(a: str, b: str):
+    return 100 * F.least(f"{a}.size", f"{b}.size") >= PERCENT * F.greatest(f"{a}.size", f"{b}.size")
 
 
-def _star_pairs(shared: DataFrame) -> DataFrame:
-    """Every group with the group in which a shared shingle stands first."""
-    first = shared.groupBy("token").agg(
+def _left(a: str, b: str):
+    """Shingles from a shared one on, of the set that has fewer."""
+    return F.least(F.col(f"{a}.size") - F.col(f"{a}.place"), F.col(f"{b}.size") - F.col(f"{b}.place"))
+
+
+def _enough(common, sizes):
+    """Whether so many common shingles can reach the threshold in sets of together ``sizes``."""
+    return (100 + PERCENT) * common >= PERCENT * sizes
+
+
+def _star_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
+    """Heads of groups with the members of their group, and of groups in which a shingle of theirs stands later."""
+    first = postings.groupBy("token").agg(
         F.min(F.struct("place", "group", "size")).alias("c"), F.min("group").alias("low"), F.max("group").alias("high")
     )
     first = first.filter("low < high").select("token", "c.*")
-    pairs = shared.alias("m").join(first.alias("c"), F.col("m.token") == F.col("c.token"))
-    pairs = pairs.filter((F.col("m.group") != F.col("c.group")) & _may_link("m", "c"))
-    return pairs.select(F.col("c.group").alias("a"), F.col("m.group").alias("b")).distinct()
+    pairs = postings.alias("m").join(first.alias("c"), F.col("m.token") == F.col("c.token"))
+    sizes = F.col("m.size") + F.col("c.size")
+    pairs = pairs.filter((F.col("m.group") != F.col("c.group")) & _sizes_fit("m", "c") & _enough(_left("m", "c"), sizes))
+    pairs = pairs.select(F.col("c.group").alias("first"), F.col("m.group").alias("group")).distinct()
+    heads = members.groupBy(F.col("group").alias("first")).agg(F.min("member").alias("a"))
+    across = pairs.join(heads, "first").join(members, "group").select("a", F.col("member").alias("b"))
+    within = members.join(heads, F.col("group") == F.col("first")).select("a", F.col("member").alias("b"))
+    return across.union(within.filter("a != b"))
+
 
+def _open_groups(postings: DataFrame, spans: DataFrame) -> DataFrame:
+    """Pairs a, b of groups that may link and reach into different components, a group with itself included.
 
-def _open_pairs(shared: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
-    """Every pair of groups with a shared shingle that stand in different components and were not tested."""
-    labelled = shared.join(labels, F.col("group") == F.col("node"), "left").select(
-        "token", "group", "size", "place", F.coalesce("component", "group").alias("label")
+    Of two linked sets, the common shingles that do not lie in both prefixes all lie behind one of
+    them; so the number of shingles that the prefixes share tells most pairs apart unseen.
+    """
+    spread = postings.join(spans, "group")
+    tokens = spread.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count("*").alias("n"))
+    tokens = tokens.filter("l < h").select("token", F.floor(F.col("n") / HOT).alias("parts"))
+    rows = saved(spread.join(tokens, "token"), "open-postings")
+    # A shingle of many groups is compared in parts: one side is dealt, the other sent to every part.
+    left = rows.withColumn("part", F.pmod(F.xxhash64("group"), F.col("parts") + 1)).alias("m")
+    right = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts")))).alias("c")
+    met = (F.col("m.token") == F.col("c.token")) & (F.col("m.part") == F.col("c.part")) & (F.col("m.group") < F.col("c.group"))
+    differ = F.least("m.low", "c.low") < F.greatest("m.high", "c.high")
+    pairs = left.join(right, met & differ & _sizes_fit("m", "c")).select(
+        F.col("m.group").alias("a"), F.col("c.group").alias("b"), F.col("m.size").alias("s"), F.col("c.size").alias("t"), _left("m", "c").alias("left")
     )
-    mixed_tokens = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    rows = saved(labelled.join(mixed_tokens.filter("low < high").select("token"), "token"), "open-postings")
-    left, right = rows.alias("m"), rows.alias("c")
-    pairs = left.join(right, (F.col("m.token") == F.col("c.token")) & (F.col("m.label") < F.col("c.label")) & _may_link("m", "c"))
-    pairs = pairs.select(F.col("m.group").alias("a"), F.col("c.group").alias("b")).distinct()
+    pairs = pairs.groupBy("a", "b", "s", "t").agg(F.count("*").alias("common"), F.max("left").alias("left"))
+    behind = F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("s", "t")))
+    sizes = F.col("s") + F.col("t")
+    pairs = pairs.filter(_enough(F.col("left"), sizes) & _enough(F.col("common") + behind, sizes)).select("a", "b")
+    return pairs.union(spans.filter("low < high").select(F.col("group").alias("a"), F.col("group").alias("b")))
+
+
+def _open_pairs(postings: DataFrame, members: DataFrame, labels: DataFrame, tested: DataFrame) -> DataFrame:
+    """Members of open groups that stand in different components and were not tested."""
+    labelled = members.join(labels, F.col("member") == F.col("node"), "left")
+    labelled = saved(labelled.select("group", "member", F.coalesce("component", "member").alias("label")), "member-labels")
+    spans = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    groups = saved(_open_groups(postings, spans), "open-groups")
+    x, y = labelled.alias("x"), labelled.alias("y")
+    pairs = groups.join(x, F.col("a") == F.col("x.group")).join(y, F.col("b") == F.col("y.group"))
+    once = (F.col("a") < F.col("b")) | (F.col("x.member") < F.col("y.member"))
+    pairs = pairs.filter((F.col("x.label") != F.col("y.label")) & once)
+    pairs = pairs.select(F.col("x.member").alias("a"), F.col("y.member").alias("b"))
     both = tested.select("a", "b").union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return pairs.join(both, ["a", "b"], "left_anti")
 
 
-def _verified(docs: DataFrame, groups: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs a, b whose whole sets link. Each group's set is made again from one of its texts."""
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs a, b whose whole sets link. Each set is made again from one of its texts."""
     stars = pairs.groupBy("a").agg(F.count("*").alias("n"))
     salts = (F.col("n") / MEMBERS).cast("long") + 1
     members = pairs.join(stars, "a").select(
-        "a", F.pmod(F.xxhash64("b"), salts).alias("salt"), F.lit(1).alias("kind"), F.col("b").alias("group")
+        "a", F.pmod(F.xxhash64("b"), salts).alias("salt"), F.lit(1).alias("kind"), F.col("b").alias("member")
     )
     centres = stars.select(
-        "a", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("group")
+        "a", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("a").alias("member")
     )
-    roles = saved(members.union(centres).join(groups, "group"), "roles")
+    roles = saved(members.union(centres).join(sets, "member"), "roles")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc"), "text", row_key().alias("key"))
     chosen = chosen.join(roles, F.col("doc").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("tie")))
-    ddl = "a long, salt long, kind int, group long, data binary"
+    ddl = "a long, salt long, kind int, member long, data binary"
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             data, last, last_text = [], b"", None
             for text in utf8(batch.column(4)):
@@ -279,7 +354,7 @@ def _verified(docs: DataFrame, groups: DataFrame, pairs: DataFrame) -> DataFrame
         centre = None
         for batch in in_slices(batches):
             a, b = [], []
-            for star, kind, group, data in zip(*(batch.column(n).to_pylist() for n in ("a", "kind", "group", "data"))):
+            for star, kind, member, data in zip(*(batch.column(n).to_pylist() for n in ("a", "kind", "member", "data"))):
                 found = np.frombuffer(data, "<u8")
                 if kind == 0:
                     centre = found
@@ -289,10 +364,10 @@ def _verified(docs: DataFrame, groups: DataFrame, pairs: DataFrame) -> DataFrame
                 common = int((centre[at] == found).sum())
                 if 100 * common >= PERCENT * (len(centre) + len(found) - common):
                     a.append(star)
-                    b.append(group)
+                    b.append(member)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    made = mapped(chosen.select("a", "salt", "kind", "group", "text"), sets, ddl)
+    made = mapped(chosen.select("a", "salt", "kind", "member", "text"), again, ddl)
     dealt = made.repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
     return mapped(dealt, compare, "a long, b long")
 
@@ -308,50 +383,51 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     its component its component_id is null. Other columns are left out, and an empty
     table gives an empty one.
     """
-    rows, groups, labels = _linked(docs)
-    return _named(rows, groups, labels)
+    return _named(*_linked(docs))
 
 
 def linked_rows(docs: DataFrame) -> DataFrame:
     """id, text_hash (``row_key``), component for every row of ``docs`` with words; rows of one component link."""
-    rows, groups, labels = _linked(docs)
-    labelled = groups.join(labels, F.col("group") == F.col("node"), "left")
-    labelled = labelled.select(F.col("group").alias("of"), F.coalesce("component", "group").alias("label"))
-    joined = rows.filter("size > 0").join(labelled, F.col("group") == F.col("of"))
+    rows, sets, labels = _linked(docs)
+    labelled = sets.join(labels, F.col("member") == F.col("node"), "left")
+    labelled = labelled.select(F.col("member").alias("of"), F.coalesce("component", "member").alias("label"))
+    joined = rows.filter("size > 0").join(labelled, F.col("member") == F.col("of"))
     return joined.select(F.col("doc_id").alias("id"), F.col("tie").alias("text_hash"), F.col("label").alias("component"))
 
 
 def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows with the group of their set, groups with one row of each, and components of linked groups."""
+    """Rows with their set, sets with one row of each, and components of linked sets."""
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select("doc_id", "text")
     words = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(shuffle_tasks(spark), words // 6 // COUNTED + 1)
     described = saved(_described(docs, shards), "shingles")
-    rows = described.filter("shard is null").select("doc_id", "tie", "group", "size")
+    rows = described.filter("shard is null").select("doc_id", "tie", "member", "size")
     known = _frequencies(described.filter("shard is not null").select("shard", "data"))
     filled = rows.filter("size > 0")
-    groups = filled.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("r"))
-    groups = saved(groups.select("group", "r.doc_id", "r.tie"), "groups")
+    sets = filled.groupBy("member").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie")).alias("r"))
+    sets = saved(sets.select("member", "r.doc_id", "r.tie"), "sets")
     total = filled.agg(F.sum("size")).first()[0] or 0
-    shared = saved(_postings(docs, known, shards, max(shuffle_tasks(spark), prefix_length(total) // POSTED + 1)), "postings")
-    tested = saved(_star_pairs(shared), "star-pairs")
-    links = saved(_verified(docs, groups, tested), "links")
+    posted = saved(_postings(docs, known, shards, max(shuffle_tasks(spark), prefix_length(total) // POSTED + 1)), "postings")
+    postings = posted.filter("token is not null").select("token", "group", "size", "place")
+    members = posted.filter("member is not null").select("group", "member")
+    tested = saved(_star_pairs(postings, members), "star-pairs")
+    links = saved(_verified(docs, sets, tested), "links")
     labels = saved(components(links), "labels")
-    rest = saved(_open_pairs(shared, labels, tested), "open-pairs")
+    rest = saved(_open_pairs(postings, members, labels, tested), "open-pairs")
     if rest.limit(1).count():
-        links = links.union(saved(_verified(docs, groups, rest), "more-links"))
+        links = links.union(saved(_verified(docs, sets, rest), "more-links"))
         labels = saved(components(links), "labels")
-    return rows, groups, labels
+    return rows, sets, labels
 
 
-def _named(rows: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
-    named = groups.join(labels, F.col("group") == F.col("node"), "left").select(
-        "group", F.coalesce("component", "group").alias("label"), "doc_id"
+def _named(rows: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    named = sets.join(labels, F.col("member") == F.col("node"), "left").select(
+        "member", F.coalesce("component", "member").alias("label"), "doc_id"
     )
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "label").select(F.col("group").alias("of"), "component_id")
-    joined = rows.join(named, (F.col("group") == F.col("of")) & (F.col("size") > 0), "left")
+    named = named.join(least, "label").select(F.col("member").alias("of"), "component_id")
+    joined = rows.join(named, (F.col("member") == F.col("of")) & (F.col("size") > 0), "left")
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id"))

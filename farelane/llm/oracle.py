@@ -39,6 +39,33 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op6_jaccard_join": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS shingle
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * c >= 75 * (x.n + y.n - c)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+        )
+        SELECT d.doc_id, CAST(coalesce(any_value(s.n), 0) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN reached r ON r.doc_id = d.doc_id
+        GROUP BY d.doc_id
+    """,
     "op7_chat_format": """
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
