@@ -7,8 +7,8 @@ once for all of them. Group pairs that share a prefix shingle are filtered, then
 to members, whose whole sets are verified. This is done twice. First each group's head
 is compared with the members of its own group and of the groups for which it holds a
 shared shingle earliest. Then group pairs that still reach into different components are
-filtered by size, places and the number of shingles that their prefixes share, and their
-members in different components are compared. Pairs inside a component need no check.
+filtered by size, places and bitmaps of their prefixes, and their members in different
+components are compared. Pairs inside a component need no check.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ MEMBERS = 64
 STEP = np.uint64(0x9E3779B97F4A7C15)
 POSTING = np.dtype([("token", "<u8"), ("group", "<i8"), ("size", "<u4"), ("place", "<u4")])
 MEMBER = np.dtype([("group", "<i8"), ("member", "<i8")])
+#: Words of 64 bits in the bitmap of a prefix.
+BITMAP = 4
 #: Sets and groups that a task remembers to send them once; sending one again changes nothing.
 SEEN = 1 << 17
 
@@ -290,24 +292,29 @@ def _open_groups(postings: DataFrame, spans: DataFrame) -> DataFrame:
     """Pairs a, b of groups that may link and reach into different components, a group with itself included.
 
     Of two linked sets, the common shingles that do not lie in both prefixes all lie behind one of
-    them; so the number of shingles that the prefixes share tells most pairs apart unseen.
+    them, so the prefixes must share many. A bitmap of a prefix holds a bit for every place that an
+    odd number of its shingles falls on: bits that differ are at most the shingles that differ, so
+    the bitmaps tell most pairs apart before they are written, and never a pair that links.
     """
     spread = postings.join(spans, "group")
     tokens = spread.groupBy("token").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count("*").alias("n"))
     tokens = tokens.filter("l < h").select("token", F.floor(F.col("n") / HOT).alias("parts"))
     rows = saved(spread.join(tokens, "token"), "open-postings")
+    place = F.pmod(F.xxhash64("token"), F.lit(64 * BITMAP))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    bitmap = [F.bit_xor(F.when(F.floor(place / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"bits{i}") for i in range(BITMAP)]
+    rows = rows.join(rows.groupBy("group").agg(F.count("*").alias("shared"), *bitmap), "group")
     # A shingle of many groups is compared in parts: one side is dealt, the other sent to every part.
     left = rows.withColumn("part", F.pmod(F.xxhash64("group"), F.col("parts") + 1)).alias("m")
     right = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts")))).alias("c")
     met = (F.col("m.token") == F.col("c.token")) & (F.col("m.part") == F.col("c.part")) & (F.col("m.group") < F.col("c.group"))
     differ = F.least("m.low", "c.low") < F.greatest("m.high", "c.high")
-    pairs = left.join(right, met & differ & _sizes_fit("m", "c")).select(
-        F.col("m.group").alias("a"), F.col("c.group").alias("b"), F.col("m.size").alias("s"), F.col("c.size").alias("t"), _left("m", "c").alias("left")
-    )
-    pairs = pairs.groupBy("a", "b", "s", "t").agg(F.count("*").alias("common"), F.max("left").alias("left"))
-    behind = F.greatest(*(F.ceil(PERCENT * F.col(c) / 100) - 1 for c in ("s", "t")))
-    sizes = F.col("s") + F.col("t")
-    pairs = pairs.filter(_enough(F.col("left"), sizes) & _enough(F.col("common") + behind, sizes)).select("a", "b")
+    sizes = F.col("m.size") + F.col("c.size")
+    unlike = sum((F.bit_count(F.col(f"m.bits{i}").bitwiseXOR(F.col(f"c.bits{i}"))) for i in range(BITMAP)), F.lit(0))
+    behind = F.greatest(*(F.ceil(PERCENT * F.col(f"{x}.size") / 100) - 1 for x in "mc"))
+    twice = F.col("m.shared") + F.col("c.shared") - unlike + 2 * behind
+    pairs = left.join(right, met & differ & _sizes_fit("m", "c") & _enough(_left("m", "c"), sizes) & _enough(twice, 2 * sizes))
+    pairs = pairs.select(F.col("m.group").alias("a"), F.col("c.group").alias("b")).distinct()
     return pairs.union(spans.filter("low < high").select(F.col("group").alias("a"), F.col("group").alias("b")))
 
 
