@@ -9,6 +9,8 @@ from farelane.sinks.objects import put_object, write_objects
 from farelane.sources.files import read_objects
 from farelane.sources.streams import text_messages
 from farelane.streaming import media
+from workload.queries import QUERIES
+from workload.tables import given_stream
 
 META = {"year": "2024", "month": "01", "day": "02"}
 FILES = "id string, year string, month string, day string, content binary"
@@ -120,3 +122,19 @@ def test_producer_from_files(spark, tmp_path):
     )
     sent = media.sendable(media.encode_media(scanned, "image")).first()
     assert sent["value"] == message("x", b"\x00\x01\x02").replace(": ", ":").replace(", ", ",")
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_streams_read_a_table_that_is_a_file_or_a_folder(spark, tmp_path, files):
+    rows = spark.createDataFrame([(i, f"text {i} " * (1 + i % 5)) for i in range(1, 40)], "doc_id long, text string")
+    table, checkpoint = tmp_path / "documents.parquet", tmp_path / "checkpoint"
+    if files:
+        rows.repartition(files).write.parquet(str(table))
+    else:
+        rows.toPandas().to_parquet(table)
+    rows.limit(1).write.parquet(str(tmp_path / "documents.parquet.old"))
+    stream = given_stream(spark, str(tmp_path), "documents").writeStream.format("parquet").option("checkpointLocation", str(checkpoint))
+    assert stream.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination(120)
+    assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(rows.collect())
+    for name in ("media_stream_objects", "media_stream_speech", "media_stream_files"):
+        assert QUERIES[name](spark, str(tmp_path)).count() == 38

@@ -195,12 +195,19 @@ def change_messages(line_items: DataFrame) -> DataFrame:
     return messages.select(broken.alias("value"))
 
 
+def given_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of files, be it one file or a folder of them.
+
+    Only a pattern may name a single file, so one letter of the name is written as one.
+    """
+    place = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
+    return table_stream(spark, place, given(spark, sf_dir, name).schema)
+
+
 def line_items_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line items as a stream of files."""
-    schema = given(spark, sf_dir, "lineitem").schema
-    return table_stream(spark, sf_dir, schema, "lineitem.parquet")
+    return given_stream(spark, sf_dir, "lineitem")
 
 
 def documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = given(spark, sf_dir, "documents").schema
-    return table_stream(spark, sf_dir, schema, "documents.parquet")
+    return given_stream(spark, sf_dir, "documents")
