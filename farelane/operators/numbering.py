@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelane.operators.lookups import small_side
 from farelane.scratch import scratch_folder
@@ -11,6 +15,9 @@ from farelane.scratch import scratch_folder
 #: Rows of a range, as far as the number of ranges allows, and keys drawn for each bound.
 ROWS_PER_RANGE, MAX_RANGES, DRAWN_PER_BOUND = 250_000, 16_384, 32
 
+# Types that Spark and Arrow sort alike, NaN apart.
+SORTED_ALIKE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+
 # monotonically_increasing_id keeps the partition number above the lowest 33 bits.
 PARTITION_SHIFT = 33
 
@@ -44,10 +51,48 @@ def _bounds(keys: DataFrame, ranges: int, rows: int) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+def _sort_keys(df: DataFrame, columns: list[str]) -> list[Column] | None:
+    """Columns that Arrow sorts as Spark sorts the key, null first and NaN last; None if it cannot."""
+    keys = []
+    for name in columns:
+        kind = df.schema[name].dataType
+        if not (kind == T.StringType() or isinstance(kind, SORTED_ALIKE)):
+            return None
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            keys.append(F.isnan(name))
+        keys.append(F.col(name))
+    return keys
+
+
+def _range_finder(bounds: pa.RecordBatch):
+    """Finds how many bounds are at most each key, by one stable sort of a batch's keys behind the bounds.
+
+    It counts as not deterministic so that filters on its result do not call it again.
+    """
+
+    @F.arrow_udf("int")
+    def find(*keys: pa.Array) -> pa.Array:
+        both = [pa.concat_arrays([bound.cast(key.type), key]) for bound, key in zip(bounds.columns, keys)]
+        names = [str(i) for i in range(len(both))]
+        sorting = pc.SortOptions([(name, "ascending") for name in names], null_placement="at_start")
+        order = pc.sort_indices(pa.record_batch(both, names=names), options=sorting).to_numpy()
+        passed, is_key = np.cumsum(order < bounds.num_rows, dtype=np.int32), order >= bounds.num_rows
+        found = np.empty(len(keys[0]), np.int32)
+        found[order[is_key] - bounds.num_rows] = passed[is_key]
+        return pa.array(found)
+
+    return find.asNondeterministic()
+
+
 def _with_range(df: DataFrame, columns: list[str], bounds: DataFrame | None, ranges: int) -> DataFrame:
-    """Adds ``_range``: how many bounds are at most the key, by bisection."""
+    """Adds ``_range``: how many bounds are at most the key; by bisection where Arrow has no such order."""
     if bounds is None:
         return df.withColumn("_range", F.lit(0))
+    keys = _sort_keys(df, columns)
+    if keys is not None:
+        listed = bounds.select(F.inline("bounds"))
+        held = listed.select(*[key.alias(f"_{i}") for i, key in enumerate(_sort_keys(listed, columns))]).toArrow()
+        return df.withColumn("_range", _range_finder(pa.record_batch([c.combine_chunks() for c in held.columns], names=held.column_names))(*keys))
     steps = F.array(*(F.lit(1 << i) for i in reversed(range(ranges.bit_length()))))
 
     def step(found: Column, width: Column) -> Column:
@@ -73,7 +118,7 @@ def _number_by_bounds(df: DataFrame, name: str, order: list[str], within: list[s
     starts = spark.read.parquet(folder)
     mine = Window.partitionBy("_range", *within).orderBy(*order)
     placed = _with_range(df, columns, bounds, ranges).withColumn("_place", F.row_number().over(mine))
-    same = F.col("_range") == F.col("_of_range")
+    same = F.col("_range").eqNullSafe(F.col("_of_range"))
     for key, g in zip(within, names):
         same = same & placed[key].eqNullSafe(F.col(f"{g}s"))
     return placed.join(small_side(starts), same).withColumn(name, F.col("_place") + F.col("_before")).select(*df.columns, name)

@@ -56,6 +56,30 @@ def test_numbers_by_bounds(spark, monkeypatch, within, per_range):
     assert number_rows(df.where("v > 0"), "n", ["at", "v"], within, unique=True).count() == 0
 
 
+def test_ranges_of_odd_keys(spark, monkeypatch):
+    """Every type of key in Spark's order: null first, NaN last, zeros alike, text by bytes; other types are bisected."""
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 9)
+    df = spark.range(240, numPartitions=5).selectExpr(
+        "id AS v", "CASE id % 6 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') WHEN 2 THEN -0.0D WHEN 3 THEN 0.0D WHEN 4 THEN double('Infinity') ELSE -id END AS x",
+        "CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '\uffee' WHEN 3 THEN '\U0001F600' ELSE 'Z' END AS s",
+        "CAST(id % 7 AS DECIMAL(12, 3)) AS d", "id % 2 = 0 AS b", "unhex(hex(id % 9)) AS raw", "DATE'2024-01-01' + CAST(id % 4 AS INT) AS day",
+        "IF(id % 3 = 0, NULL, TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id % 8)) AS at", "array(id % 4, -id) AS other",
+    )
+    for order in (["x", "v"], ["s", "v"], ["d", "b", "v"], ["raw", "day", "v"], ["at", "s", "x", "v"], ["other", "v"]):
+        numbered = number_rows(df.select(*order), "n", order, unique=True)
+        expected = df.select(*order).withColumn("n", F.row_number().over(Window.orderBy(*order)))
+        assert sorted(map(repr, numbered.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_ranges_are_found_once_a_row_and_pass(spark, monkeypatch):
+    monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 1000)
+    df = spark.range(20_000, numPartitions=4).selectExpr("id % 3 AS g", "id AS v")
+    numbered = number_rows(df, "n", ["v"], ["g"], unique=True)
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("find(") >= 1 and plan.count("+- ArrowEvalPython") + plan.count(" ArrowEvalPython") <= 2 and "aggregate(" not in plan
+    assert numbered.where("n <> 1 + v div 3").count() == 0
+
+
 def test_other_columns_are_shuffled_once_and_not_written(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(numbering, "ROWS_PER_RANGE", 1000)
     folders = []
