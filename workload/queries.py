@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 
@@ -735,13 +736,16 @@ def cdc_stream_append(spark, sf_dir):
 
 #: Files of a replayed feed, each a trigger, and triggers between two folds of the count table.
 FEED_FILES, FOLD_EVERY = 4, 2
+#: Messages of a file of a feed; each of the files above is cut into as many as that takes.
+MESSAGES_PER_FILE = 250_000
 
 
 def _change_feed(spark, sf_dir) -> DataFrame:
-    """The change messages as files that are read one per trigger; an empty message becomes an empty line."""
-    feed = scratch_folder(spark, "feed")
-    write_text_messages(_changes(spark, sf_dir), feed, files=FEED_FILES)
-    return text_messages(spark, feed, files_per_trigger=1)
+    """The change messages as files, of which each trigger reads its share; an empty message becomes an empty line."""
+    feed, messages = scratch_folder(spark, "feed"), _changes(spark, sf_dir)
+    cuts = max(1, math.ceil(messages.count() / (FEED_FILES * MESSAGES_PER_FILE)))
+    write_text_messages(messages, feed, files=FEED_FILES * cuts)
+    return text_messages(spark, feed, files_per_trigger=cuts)
 
 
 @register
@@ -793,10 +797,9 @@ def cdc_recovery_gaps(spark, sf_dir):
 
 @register
 def cdc_replay(spark, sf_dir):
-    """Messages written as files and replayed file by file; an empty message becomes an empty line."""
-    feed, folder = scratch_folder(spark, "feed"), scratch_folder(spark, "changes")
-    write_text_messages(_changes(spark, sf_dir), feed, files=4)
-    rows = changes.parse_changes(text_messages(spark, feed, files_per_trigger=1))
+    """Messages written as files and replayed share by share; an empty message becomes an empty line."""
+    folder = scratch_folder(spark, "changes")
+    rows = changes.parse_changes(_change_feed(spark, sf_dir))
     _finish(changes.start_append(rows, f"{folder}/data", f"{folder}/checkpoint", once=True))
     return _local_times(spark.read.parquet(f"{folder}/data"))
 
