@@ -52,3 +52,14 @@ def test_feed_is_read_in_as_many_triggers(spark, folder, monkeypatch, tmp_path):
     feed = queries._change_feed(spark, folder).writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/checkpoint")
     running = feed.trigger(availableNow=True).start(f"{tmp_path}/out")
     assert running.awaitTermination(120) and running.lastProgress["batchId"] == queries.FEED_FILES - 1
+
+
+@pytest.mark.parametrize("name", ["ingest_overlapping_years", "ingest_default_layout"])
+def test_long_years_are_cut_into_files(spark, folder, monkeypatch, name):
+    trips = tables.trips(tables.given(spark, folder, "lineitem"))
+    wanted = QUERIES[name](spark, folder).collect()
+    monkeypatch.setattr(queries, "TRIPS_PER_FILE", 40)
+    assert sorted(map(repr, wanted)) == sorted(map(repr, QUERIES[name](spark, folder).collect()))
+    files = queries._year_files(spark, trips, queries._periods(trips))
+    rows = spark.read.parquet(files).groupBy("service", "period", "part").agg(F.count("*").alias("n"), F.countDistinct("_metadata.file_path").alias("files")).collect()
+    assert max(r["n"] for r in rows) < 60 and {r["files"] for r in rows} == {1} and sum(r["n"] for r in rows) == 900

@@ -536,11 +536,29 @@ def latest_file_of_store(spark, sf_dir):
     return read_latest(spark, root)
 
 
-def _year_files(spark, trips: DataFrame) -> str:
-    """Trips in folders by service and year of pick-up, all files of one name per folder level."""
+#: Trips of a file of a year; a year with more is cut into parts by the trips' keys.
+TRIPS_PER_FILE = 500_000
+
+
+def _periods(trips: DataFrame) -> list[tuple[str, int, int]]:
+    """Service, year and number of trips of every year's file."""
+    counted = trips.groupBy("service", F.year("pickup_datetime").alias("period")).count()
+    return [tuple(r) for r in counted.orderBy("service", "period").collect()]
+
+
+def _parts(periods: list[tuple[str, int, int]]) -> int:
+    """Parts into which each year is cut, so that none of its files is too long for one task."""
+    return max([1, *(math.ceil(n / TRIPS_PER_FILE) for _, _, n in periods)])
+
+
+def _year_files(spark, trips: DataFrame, periods: list[tuple[str, int, int]]) -> str:
+    """Trips in folders by service, year of pick-up and part, one file in each."""
+    parts = _parts(periods)
     root = scratch_folder(spark, "years")
-    rows = trips.drop("trip_day").withColumn("period", F.year("pickup_datetime"))
-    rows.repartition("service", "period").write.partitionBy("service", "period").parquet(root)
+    part = F.pmod(F.xxhash64(*tables.KEY), F.lit(parts))
+    rows = trips.drop("trip_day").withColumns({"period": F.year("pickup_datetime"), "part": part})
+    keys = ("service", "period", "part")
+    rows.repartition(max(1, 2 * len(periods) * parts), *keys).write.partitionBy(*keys).parquet(root)
     return root
 
 
@@ -552,10 +570,10 @@ def _by_service_and_day(stored: DataFrame) -> DataFrame:
 def ingest_overlapping_years(spark, sf_dir):
     """All trips in files by year of pick-up, ingested one after another and one of them twice, counted by drop-off."""
     store, trips = scratch_folder(spark, "raw"), _trips(spark, sf_dir)
-    files = _year_files(spark, trips)
-    periods = [tuple(r) for r in trips.select("service", F.year("pickup_datetime")).distinct().orderBy("service", F.year("pickup_datetime")).collect()]
-    for service, period in [*periods, periods[1]]:
-        pattern = f"{files}/service={service}/period={period}/*.parquet"
+    periods = _periods(trips)
+    files = _year_files(spark, trips, periods)
+    for service, period, _ in [*periods, periods[1]]:
+        pattern = f"{files}/service={service}/period={period}/*/*.parquet"
         ingest_raw(spark, [pattern], store, service, "dropoff_datetime", str(period), below=())
     return _by_service_and_day(spark.read.parquet(store))
 
@@ -573,12 +591,14 @@ def ingest_default_layout(spark, sf_dir):
     """
     store, service = scratch_folder(spark, "raw"), "green"
     trips = _trips(spark, sf_dir).where(F.col("service") == service)
-    files = _year_files(spark, trips)
+    periods = _periods(trips)
+    files = _year_files(spark, trips, periods)
     shorter = trips.where((F.year("pickup_datetime") == SHORTENED) & (F.col("pickup_datetime") < F.lit(LOST_FROM).cast("date")))
-    again = _year_files(spark, shorter)
-    ingest_raw(spark, [f"{files}/service={service}/*/*.parquet"], store, service, "dropoff_datetime", at_once=8)
-    (source,) = ingest_raw(spark, [f"{files}/service={service}/period={SHORTENED}/*.parquet"], store, service, "dropoff_datetime")
-    ingest_raw(spark, [f"{again}/service={service}/*/*.parquet"], store, service, "dropoff_datetime", source)
+    again = _year_files(spark, shorter, periods)
+    ingest_raw(spark, [f"{files}/service={service}/*/*/*.parquet"], store, service, "dropoff_datetime", at_once=8)
+    for part in range(_parts(periods)):
+        (source,) = ingest_raw(spark, [f"{files}/service={service}/period={SHORTENED}/part={part}/*.parquet"], store, service, "dropoff_datetime")
+        ingest_raw(spark, [f"{again}/service={service}/*/part={part}/*.parquet"], store, service, "dropoff_datetime", source)
     return _by_service_and_day(spark.read.parquet(store))
 
 
