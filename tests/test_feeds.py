@@ -63,3 +63,16 @@ def test_long_years_are_cut_into_files(spark, folder, monkeypatch, name):
     files = queries._year_files(spark, trips, queries._periods(trips))
     rows = spark.read.parquet(files).groupBy("service", "period", "part").agg(F.count("*").alias("n"), F.countDistinct("_metadata.file_path").alias("files")).collect()
     assert max(r["n"] for r in rows) < 60 and {r["files"] for r in rows} == {1} and sum(r["n"] for r in rows) == 900
+
+
+def test_fields_are_read_level_by_level(spark, folder):
+    found = QUERIES["cdc_encode"](spark, folder)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate json_tuple(") == 3 and "get_json_object" not in plan
+    messages = tables.whole_changes(tables.given(spark, folder, "lineitem"), *tables.KEY)
+    names = found.columns[len(tables.KEY) + 1 :]
+    by_path = messages.select(
+        *tables.KEY, F.get_json_object("value", "$.payload.op").alias("op"),
+        *[F.get_json_object("value", f"$.payload.after.{n}").cast(found.schema[n].dataType).alias(n) for n in names],
+    )
+    assert same_rows(found, by_path) and found.schema == by_path.schema

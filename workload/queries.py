@@ -726,16 +726,17 @@ def cdc_rejects(spark, sf_dir):
 
 @register
 def cdc_encode(spark, sf_dir):
-    """The messages themselves, their fields read by path and not by the parser of the stream."""
+    """The messages themselves, their fields read by path and not by the parser of the stream.
 
-    def field(path: str, kind: str):
-        return F.get_json_object("value", f"$.payload.{path}").cast(kind)
-
-    return tables.whole_changes(_items(spark, sf_dir), *tables.KEY).select(
-        *tables.KEY,
-        field("op", "string").alias("op"),
-        *[field(f"after.{name}", kind.dataType.simpleString()).alias(name) for name, kind in zip(GREEN_AFTER.names, GREEN_AFTER)],
-    )
+    Each level of the path is read once for all its fields.
+    """
+    texts = [f"{name}_text" for name in GREEN_AFTER.names]
+    messages = tables.whole_changes(_items(spark, sf_dir), *tables.KEY)
+    payloads = messages.select(*tables.KEY, F.json_tuple("value", "payload").alias("payload"))
+    images = payloads.select(*tables.KEY, F.json_tuple("payload", "op", "after").alias("op", "after"))
+    fields = images.select(*tables.KEY, "op", F.json_tuple("after", *GREEN_AFTER.names).alias(*texts))
+    typed = [F.col(text).cast(field.dataType).alias(field.name) for text, field in zip(texts, GREEN_AFTER)]
+    return fields.select(*tables.KEY, "op", *typed)
 
 
 @register
