@@ -84,9 +84,9 @@ def clean_month_files(
     write_store(clean_trips(raw, zones, service, null_policy), target, ("service", "year", "month"))
 
 
-def convert_table(source: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Appends a table to one in another format."""
-    append(source, target, fmt)
+def convert_table(source: DataFrame, target: str, fmt: str = "parquet", **options: str) -> None:
+    """Appends a table to one in another format; ``options`` are the writer's."""
+    append(source, target, fmt, **options)
 
 
 def publish_day(

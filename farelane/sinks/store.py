@@ -103,9 +103,9 @@ def write_store(
     )
 
 
-def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append(df: DataFrame, path: str, fmt: str = "parquet", **options: str) -> None:
     """Adds rows. Unlike the other writers it adds them again when run again."""
-    df.write.format(fmt).mode("append").save(path)
+    df.write.format(fmt).options(**options).mode("append").save(path)
 
 
 def read_day(spark: SparkSession, path: str, service: str, day: str, fmt: str = "parquet") -> DataFrame:

@@ -76,3 +76,11 @@ def test_fields_are_read_level_by_level(spark, folder):
         *[F.get_json_object("value", f"$.payload.after.{n}").cast(found.schema[n].dataType).alias(n) for n in names],
     )
     assert same_rows(found, by_path) and found.schema == by_path.schema
+
+
+def test_text_formats_are_packed(spark, folder, monkeypatch, made):
+    found = QUERIES["convert_formats"](spark, folder)
+    assert found.count() == 900
+    for fmt in ("json", "csv"):
+        names = glob(f"{made[f'as-{fmt}']}/part-*")
+        assert names and all(name.endswith(f".{fmt}.lz4") for name in names)
