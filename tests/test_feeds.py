@@ -84,3 +84,13 @@ def test_text_formats_are_packed(spark, folder, monkeypatch, made):
     for fmt in ("json", "csv"):
         names = glob(f"{made[f'as-{fmt}']}/part-*")
         assert names and all(name.endswith(f".{fmt}.lz4") for name in names)
+
+
+@pytest.mark.parametrize("name", ["media_stream_latest", "media_stream_rejects"])
+def test_media_feed_has_files_by_bytes(spark, folder, monkeypatch, made, name):
+    wanted = QUERIES[name](spark, folder).collect()
+    made.clear()
+    monkeypatch.setattr(queries, "MEDIA_FILE_BYTES", 4000)
+    found = QUERIES[name](spark, folder).collect()
+    assert sorted(map(repr, wanted)) == sorted(map(repr, found))
+    assert spark.read.parquet(made["feed"]).select("_metadata.file_path").distinct().count() > 8

@@ -894,6 +894,10 @@ def media_stream_speech(spark, sf_dir):
     return _described(spark.read.parquet(f"{folder}/objects"))
 
 
+#: Batches of a media feed, and about how long the messages of the newest objects in one of its files are.
+MEDIA_BATCHES, MEDIA_FILE_BYTES = 4, 32 * 1024 * 1024
+
+
 def _stored_resent(spark, sf_dir) -> str:
     """Every document sent twice, first with other content, and some broken messages, all over several batches."""
     files = tables.media_files(_documents(spark, sf_dir))
@@ -906,8 +910,10 @@ def _stored_resent(spark, sf_dir) -> str:
     wrong = last.where(doc % 11 == 0).withColumns({"value": no_base64, "at": F.lit(4)})
     sent = first.unionByName(last).unionByName(cut).unionByName(wrong).select("value", "at", "id")
     feed, folder = scratch_folder(spark, "feed"), scratch_folder(spark, "media")
-    sent.repartition(4, "id", "at").write.parquet(feed)
-    stream = table_stream(spark, feed, sent.schema, files_per_trigger=1)
+    n_bytes = media.encode_media(files, "image").agg(F.sum("n_bytes")).first()[0] or 0
+    cuts = max(1, math.ceil(n_bytes / (MEDIA_BATCHES * MEDIA_FILE_BYTES)))
+    sent.repartition(MEDIA_BATCHES * cuts, "id", "at").write.parquet(feed)
+    stream = table_stream(spark, feed, sent.schema, files_per_trigger=cuts)
     _finish(media.start_media(stream, "image", folder, "at", once=True))
     return folder
 
