@@ -8,10 +8,13 @@ all that its service and source held, also days that the input no longer has.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.scratch import scratch_folder
+
 SOURCE_KEYS = ("service", "source")
 DAY_KEY = "trip_day"
 STORE_KEYS = (*SOURCE_KEYS, DAY_KEY)
@@ -42,15 +45,37 @@ def source_folder(path: str, service: str, source: str) -> str:
     return "/".join([path.rstrip("/"), part_folder("service", service), part_folder("source", source)])
 
 
+# The column that deals rows into parts while they wait for a write, and how many parts there are at most.
+PART, PARTS = "write_part", 200
+
+
+def _in_parts(df: DataFrame, keys: tuple[str, ...], files: int) -> DataFrame:
+    """Rows dealt into ``files`` parts a folder, each read back by one task.
+
+    A shuffle would bring a task its rows one by one; here they wait in scratch files, packed by
+    column. The parts of a folder follow each other and never meet. Folders whose hashes are near
+    share parts, as many folders must; that costs time and no file.
+    """
+    spark, staged, most = df.sparkSession, scratch_folder(df.sparkSession, "parts"), max(PARTS, files)
+    first = F.pmod(F.xxhash64(F.lit(0), *keys), F.lit(most))
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
+    packed = df.withColumn(PART, (first + dealt) % most).write.partitionBy(PART)
+    packed.options(**{"compression": "zstd", "parquet.writer.version": "v2"}).parquet(staged)
+    found = spark.read.schema(f"{PART} LONG").parquet(staged).distinct().collect()
+    parts = [spark.read.schema(df.schema).parquet(f"{staged}/{PART}={row[0]}").coalesce(1) for row in found]
+    # A union lays children of one task each over each other, in one task; beside one without files it does not.
+    return reduce(DataFrame.unionAll, parts, spark.read.schema(df.schema).parquet(staged, pathGlobFilter="none").drop(PART))
+
+
 def shaped(df: DataFrame, keys: tuple[str, ...] = (), files: int | None = None) -> DataFrame:
     """Rows spread for writing.
 
     By default partitions of about equal size that hold whole keys where they
-    fit; a key too large for one partition is split over several. A fixed
-    number of files is a full shuffle into as many tasks.
+    fit; a key too large for one partition is split over several. With a fixed
+    number of files each task writes one file of a folder, or of a few.
     """
     if files:
-        return df.repartition(files)
+        return _in_parts(df, keys, files)
     return df.hint("rebalance", *[F.col(key) for key in keys])
 
 

@@ -17,7 +17,7 @@ from farelane.plans.partials import day_partials, merged_daily_kpis, merged_mont
 from farelane.scratch import scratch_folder
 from farelane.sinks import tables
 from farelane.sinks.exports import write_csv
-from farelane.sinks.store import append, read_day, read_month_to_date, replace_source, with_store_keys, write_store
+from farelane.sinks.store import append, read_day, read_month_to_date, replace_source, shaped, with_store_keys, write_store
 from farelane.sources import files
 from tests.test_reports import frame as plain_frame
 from tests.test_reports import trip
@@ -68,6 +68,38 @@ def test_number_of_files(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "one")).select("_metadata.file_path").distinct().count() == 1
 
 
+def test_a_task_writes_one_file_of_one_folder(spark):
+    """With a fixed number of files no task takes a share of all folders, nor its rows from a shuffle."""
+    df = spark.range(3000).selectExpr("id", "IF(id % 3 = 0, 'green', 'yellow') AS service")
+    rows = shaped(df, ("service",), 4)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    tasks = rows.groupBy(F.spark_partition_id()).agg(F.countDistinct("service"), F.count("*")).collect()
+    assert len(tasks) == 8 and {services for _, services, _ in tasks} == {1}
+    assert sorted(rows.collect()) == sorted(df.collect())
+
+
+def test_fixed_files_keep_odd_rows(spark, tmp_path):
+    """Null keys, rows that are all alike, values at the ends of their types, and more folders than parts."""
+    alike = spark.range(400).selectExpr("1 AS a", "CAST(NULL AS STRING) AS service", "CAST('nan' AS DOUBLE) AS b", "TIMESTAMP'1066-01-02 03:04:05.678901' AS t")
+    many = spark.range(4000).selectExpr("CAST(id AS INT) AS a", "CONCAT('x', id % 400) AS service", "-0.0D AS b", "CAST(NULL AS TIMESTAMP) AS t")
+    df, path = alike.unionAll(many), str(tmp_path / "store")
+    write_store(df, path, ("service",), files=3)
+    stored = spark.read.parquet(path)
+    columns = ["a", "service", F.col("b").cast("string"), F.col("t").cast("string")]
+    assert stored.select(columns).exceptAll(df.select(columns)).count() == df.select(columns).exceptAll(stored.select(columns)).count() == 0
+    files = stored.select("service", F.col("_metadata.file_path").alias("file")).groupBy("service").agg(F.countDistinct("file")).collect()
+    assert dict(map(tuple, files))[None] == 3 and max(n for _, n in files) <= 3 and len(files) == 401
+
+
+def test_fixed_files_of_no_rows(spark, tmp_path):
+    df = frame(spark, [trip("2024-01-02 12:00")])
+    replace_source(df, str(tmp_path / "store"), "yellow", "one", files=2)
+    replace_source(df.limit(0), str(tmp_path / "store"), "yellow", "one", files=2)
+    assert not [f for _, _, found in os.walk(tmp_path) for f in found if f.endswith(".parquet")]
+    replace_source(df.limit(0), str(tmp_path / "whole"), "yellow", "one", below=(), files=2)
+    assert spark.read.parquet(str(tmp_path / "whole")).count() == 0
+
+
 def test_large_day_is_split_over_files(spark, tmp_path):
     """One day holds nearly all rows; the rebalanced write gives it several tasks."""
     df = spark.range(400_000, numPartitions=8).selectExpr(
