@@ -22,8 +22,10 @@ from farelane.llm.suffix_runs import PLACES, SPAN, AnchoredTexts, Entries, pack_
 
 #: Bytes of text in a run; a longer text is a run of its own.
 RUN_BYTES = 8 << 20
-#: Runs whose share of suffixes makes up one slice, at most.
-RUNS_PER_SLICE = 8
+#: Runs whose suffixes make up one slice, if every suffix is repeated.
+RUNS_PER_SLICE = 2
+#: Bytes of entries that wait to be sent.
+SENT_BYTES = 1 << 20
 
 RUNS_DDL = "run long, kind int, slice int, data binary"
 RUNS = pa.schema([("run", pa.int64()), ("kind", pa.int32()), ("slice", pa.int32()), ("data", pa.binary())])
@@ -75,14 +77,19 @@ def _packed_texts(run_bytes: int):
     return run
 
 
-def _read_texts(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes], AnchoredTexts]:
-    """Ids, rows without an id, texts, and their anchors."""
+def _read_texts(data: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Ids, rows without an id, texts, and where each ends."""
     ids, nulls, sizes, body = _parted(data)
-    nulls, sizes = np.frombuffer(nulls, bool), unpack_numbers(sizes, "<i8")
+    nulls, ends = np.frombuffer(nulls, bool), np.cumsum(unpack_numbers(sizes, "<i8"))
     joined = zstandard.ZstdDecompressor().decompress(body)
-    ends = np.cumsum(sizes).tolist()
-    texts = [joined[a:b] for a, b in zip([0, *ends], ends)]
-    return unpack_numbers(ids, "<i8"), nulls, texts, AnchoredTexts(texts, ~nulls)
+    edges = ends.tolist()
+    return unpack_numbers(ids, "<i8"), nulls, [joined[a:b] for a, b in zip([0, *edges], edges)], ends
+
+
+def _anchored(data: bytes) -> tuple[np.ndarray, AnchoredTexts]:
+    """Ids, and texts with their anchors."""
+    ids, nulls, texts, _ = _read_texts(data)
+    return ids, AnchoredTexts(texts, ~nulls)
 
 
 def _by_slice(slices: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -98,7 +105,7 @@ def _prints(slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 1):
             row = batch.to_pylist()[0]
-            dealt, prints = _read_texts(row["data"])[3].fingerprints(slices)
+            dealt, prints = _anchored(row["data"])[1].fingerprints(slices)
             yield _rows([(row["run"], PRINTS, s, pack_numbers(np.diff(np.unique(prints[o]), prepend=np.uint32(0)))) for s, o in _by_slice(dealt)])
 
     return run
@@ -145,10 +152,10 @@ def _entries(slices: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_run(batches):
             number = rows[TEXTS][0]["run"]
-            ids, _, _, texts = _read_texts(rows[TEXTS][0]["data"])
+            ids, texts = _anchored(rows[TEXTS][0]["data"])
             dealt, prints = texts.fingerprints(slices)
             bits = {r["slice"]: r["data"] for r in rows.get(REPEATED, [])}
-            out = []
+            out, held = [], 0
             for s, of_slice in _by_slice(dealt):
                 distinct, which, count = np.unique(prints[of_slice], return_inverse=True, return_counts=True)
                 known = np.unpackbits(np.frombuffer(bits[s], np.uint8), count=len(distinct)).astype(bool)
@@ -161,30 +168,34 @@ def _entries(slices: int):
                 kinds = ("<u4", "<i8", "<u1", "<u1")
                 out.append((number, ENTRIES, s, entries.to_bytes()))
                 out.append((number, PLACED, s, _joined(*(pack_numbers(p.astype(k)) for p, k in zip(places, kinds)), pack_numbers(entries.smallest.astype("<i8")))))
+                held += len(out[-1][3]) + len(out[-2][3])
+                if held > SENT_BYTES:
+                    yield _rows(out)
+                    out, held = [], 0
             yield _rows(out)
 
     return run
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """SMALLER rows: entry, place and smallest document where it is not the run's own. ENTRIES come by slice, others pass."""
+    """SMALLER rows: entry, range of places and smallest document where it is not the run's own. ENTRIES come by slice, others pass."""
     held: list[dict] = []
 
     def answer() -> pa.RecordBatch:
-        runs = [Entries.from_bytes(r["data"]) for r in held]
+        runs = [Entries.from_bytes(r.pop("data")) for r in held]
         firsts = np.cumsum([0] + [len(r.right) for r in runs])
-        found = list(smallest_by_place(runs))
+        found = [(f[0].astype("<u4"), *f[1:]) for f in smallest_by_place(runs)]
         if not found:
             return _rows([])
-        place = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
-        entry, least = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
-        order = np.lexsort((place, entry))
-        place, entry, least = place[order], entry[order], least[order]
+        entry, place, more, least = (np.concatenate(f) for f in zip(*found))
+        order = np.argsort(entry, kind="stable")
+        entry, place, more, least = entry[order], place[order], more[order], least[order]
         cuts = np.searchsorted(entry, firsts)
         out = []
         for row, first, a, b in zip(held, firsts.tolist(), cuts.tolist(), cuts[1:].tolist()):
             if b > a:
-                out.append((row["run"], SMALLER, row["slice"], _joined(pack_numbers((entry[a:b] - first).astype("<u4")), pack_numbers(place[a:b].astype("<u1")), pack_numbers(least[a:b].astype("<i8")))))
+                parts = (np.diff(entry[a:b], prepend=np.uint32(first)), place[a:b], more[a:b], least[a:b].astype("<i8"))
+                out.append((row["run"], SMALLER, row["slice"], _joined(*map(pack_numbers, parts))))
         return _rows(out)
 
     for batch in in_slices(batches, 64):
@@ -203,14 +214,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield answer()
 
 
-def _covered(texts: AnchoredTexts, ids: np.ndarray, placed: list[dict], smaller: list[dict]) -> np.ndarray:
+def _covered(ends: np.ndarray, ids: np.ndarray, placed: list[dict], smaller: list[dict]) -> np.ndarray:
     """Which bytes of a run lie in a string that a smaller document holds."""
-    edges = np.zeros(texts.total + 1, np.int32)
+    edges = np.zeros(int(ends[-1]) + 1, np.int32)
     answers = {r["slice"]: _parted(r["data"]) for r in smaller}
     for row in placed:
         entry, begin, before, more, own = (unpack_numbers(p, k) for p, k in zip(_parted(row["data"]), ("<u4", "<i8", "<u1", "<u1", "<i8")))
         begin, before, entry = np.cumsum(begin), before.astype(np.int64), entry.astype(np.int64)
-        doc = ids[np.searchsorted(texts.ends, begin, side="right")]
+        doc = ids[np.searchsorted(ends, begin, side="right")]
         strings = more.astype(np.int64) + 1
         least = own[entry]
         local = least < doc
@@ -219,9 +230,10 @@ def _covered(texts: AnchoredTexts, ids: np.ndarray, placed: list[dict], smaller:
         np.add.at(edges, (begin + strings - 1 + SPAN)[local], -1)
         if row["slice"] not in answers:
             continue
-        which, place, found = (unpack_numbers(p, k) for p, k in zip(answers[row["slice"]], ("<u4", "<u1", "<i8")))
+        which, place, more, found = (unpack_numbers(p, k) for p, k in zip(answers[row["slice"]], ("<u4", "<u1", "<u1", "<i8")))
+        places = more.astype(np.int64) + 1
         table = np.full((len(own), PLACES), NO_ID)
-        table[which, place] = found
+        table[np.repeat(np.cumsum(which), places), flat_ranges(place.astype(np.int64), places)] = np.repeat(found, places)
         open_ = np.flatnonzero(~local)
         string = flat_ranges(np.zeros(len(open_), np.int64), strings[open_])
         of = np.repeat(open_, strings[open_])
@@ -229,7 +241,7 @@ def _covered(texts: AnchoredTexts, ids: np.ndarray, placed: list[dict], smaller:
         at = (begin[of] + string)[hit]
         np.add.at(edges, at, 1)
         np.add.at(edges, at + SPAN, -1)
-    return np.cumsum(edges[:-1]) > 0
+    return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
 
 KEPT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, spans array<long>, kept binary"
@@ -239,16 +251,18 @@ KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts of a run without the bytes covered; rows come by run."""
     for rows in _by_run(batches):
-        ids, nulls, raw, texts = _read_texts(rows[TEXTS][0]["data"])
-        covered = _covered(texts, ids, rows.get(PLACED, []), rows.get(SMALLER, []))
+        ids, nulls, texts, ends = _read_texts(rows[TEXTS][0]["data"])
+        covered = _covered(ends, ids, rows.get(PLACED, []), rows.get(SMALLER, []))
         out = []
-        for i, (text, start) in enumerate(zip(raw, texts.starts.tolist())):
-            gone = covered[start : start + len(text)]
+        for i, (text, end) in enumerate(zip(texts, ends.tolist())):
+            gone = covered[end - len(text) : end]
             edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if len(edges) else text
             out.append({"doc_id": None if nulls[i] else int(ids[i]), "n_bytes": len(text), "n_removed": len(text) - len(kept), "n_spans": len(edges) // 2, "spans": edges.tolist(), "kept": kept})
-        for at in range(0, len(out), 512):
-            yield pa.RecordBatch.from_pylist(out[at : at + 512], schema=KEPT)
+            if len(out) == 512:
+                yield pa.RecordBatch.from_pylist(out, schema=KEPT)
+                out = []
+        yield pa.RecordBatch.from_pylist(out, schema=KEPT)
 
 
 def drop_repeated_strings(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:

@@ -13,13 +13,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import zstandard
+from numpy.lib.stride_tricks import sliding_window_view
 
+#: Places whose hashes are found at a time, entries of a run that are objects at a time, and entries merged at a time, about.
+STEP, FEED, BLOCK = 1 << 18, 256, 1 << 15
 SPAN = 50
 GRAM = 20
 #: Places an anchor can have in a string of SPAN bytes; at most so many bytes less one lie before it.
 PLACES = SPAN - GRAM + 1
 LEFT = PLACES - 1
 LOW = np.uint64(0xFFFFFFFF)
+NO_PLACE = np.uint8(255)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -28,14 +32,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _gram_hashes(data: np.ndarray, n: int) -> np.ndarray:
-    """A hash of the GRAM bytes at each of the first n places; ``data`` is longer by 3 * SPAN."""
-    words = np.ndarray(n + GRAM, "<u8", data.data, strides=(1,))
-    hashes = words[:n] * np.uint64(0xD6E8FEB86659FD93)
-    hashes ^= words[8 : 8 + n]
+def _gram_hashes(data: np.ndarray, places: slice | np.ndarray) -> np.ndarray:
+    """A hash of the GRAM bytes at each of the places; ``data`` is longer than these by 3 * SPAN."""
+    words = [np.ndarray(len(data) - at - 7, "<u8", data.data, at, (1,))[places] for at in (0, 8, GRAM - 8)]
+    hashes = words[0] * np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= words[1]
     hashes *= np.uint64(0xA0761D6478BD642F)
     hashes ^= hashes >> np.uint64(32)
-    hashes += words[GRAM - 8 : GRAM - 8 + n]
+    hashes += words[2]
     return mixed(hashes)
 
 
@@ -64,23 +68,27 @@ class AnchoredTexts:
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.total = int(self.ends[-1]) if len(texts) else 0
-        self.data = np.frombuffer(b"".join([*texts, bytes(3 * SPAN)]), np.uint8)
-        hashes = _gram_hashes(self.data, self.total + PLACES)
-        anchors = _anchors(hashes)[: self.total]
+        self.laid = np.frombuffer(b"".join([bytes(LEFT), *texts, bytes(3 * SPAN)]), np.uint8)
+        data = self.laid[LEFT:]
+        # How far behind each place its anchor lies.
+        behind = np.empty(self.total, np.uint8)
+        for a in range(0, self.total, STEP):
+            n = min(STEP, self.total - a)
+            behind[a : a + n] = _anchors(_gram_hashes(data, slice(a, a + n + PLACES)))[:n] - np.arange(n)
         # A string of SPAN bytes that starts here ends within its text.
         fits = np.where(counts, np.maximum(sizes - SPAN + 1, 0), 0)
-        edges = np.zeros(self.total + 1, np.int64)
-        np.add.at(edges, self.starts, (fits > 0).astype(np.int64))
-        np.add.at(edges, self.starts + fits, -(fits > 0).astype(np.int64))
-        valid = np.cumsum(edges[:-1]) > 0
+        edges = np.zeros(self.total + 1, np.int8)
+        edges[self.starts[fits > 0]] = 1
+        edges[(self.starts + fits)[fits > 0]] = -1
+        valid = np.cumsum(edges[:-1], dtype=np.int8) > 0
         changes = np.ones(self.total + 1, bool)
-        changes[1:-1] = (anchors[1:] != anchors[:-1]) | ~valid[1:] | ~valid[:-1]
+        changes[1:-1] = (behind[1:] + np.uint8(1) != behind[:-1]) | ~valid[1:] | ~valid[:-1]
         changes[self.starts[fits > 0]] = True
         self.begin = np.flatnonzero(changes[:-1] & valid)
         self.last = np.flatnonzero(changes[1:] & valid)
-        self.anchor = anchors[self.begin]
+        self.anchor = self.begin + behind[self.begin]
         self.doc = np.searchsorted(self.ends, self.begin, side="right")
-        self.hash = mixed(hashes[self.anchor] ^ np.uint64(0x5851F42D4C957F2D))
+        self.hash = mixed(_gram_hashes(data, self.anchor) ^ np.uint64(0x5851F42D4C957F2D))
 
     def fingerprints(self, slices: int) -> tuple[np.ndarray, np.ndarray]:
         """Slice and 32-bit fingerprint of each occurrence, by its anchor's bytes."""
@@ -118,13 +126,13 @@ class Entries:
     @classmethod
     def of(cls, texts: AnchoredTexts, chosen: np.ndarray, ids: np.ndarray) -> tuple[Entries, np.ndarray]:
         """The entries of chosen occurrences, and the entry of each of these."""
-        begin, anchor, data = texts.begin[chosen], texts.anchor[chosen], texts.data
+        begin, anchor = texts.begin[chosen], texts.anchor[chosen]
         before, size = anchor - begin, texts.last[chosen] + SPAN - anchor
         rows = np.zeros((len(chosen), SPAN + LEFT + 2), np.uint8)
-        rows[:, :SPAN] = data[anchor[:, None] + np.arange(SPAN)]
+        rows[:, :SPAN] = sliding_window_view(texts.laid[LEFT:], SPAN)[anchor]
         rows[:, :SPAN][np.arange(SPAN) >= size[:, None]] = 0
         rows[:, SPAN] = size
-        rows[:, SPAN + 1 : -1] = data[np.maximum(anchor[:, None] - 1 - np.arange(LEFT), 0)]
+        rows[:, SPAN + 1 : -1] = sliding_window_view(texts.laid, LEFT)[anchor][:, ::-1]
         rows[:, SPAN + 1 : -1][np.arange(LEFT) >= before[:, None]] = 0
         rows[:, -1] = before
         order = np.argsort(rows.view(f"S{rows.shape[1]}").ravel(), kind="stable")
@@ -170,27 +178,34 @@ class Entries:
         return cls(right, right_size, left, left_size, common, unpack_numbers(parts[3], "<i8"))
 
 
-def merge_runs(runs: list[Entries]) -> tuple[np.ndarray, np.ndarray]:
+def _feed(run: Entries) -> Iterator[tuple[int, bytes]]:
+    """The bytes each entry shares with the one before, and its right, a few as objects at a time."""
+    for a in range(0, len(run.right), FEED):
+        raw = run.right[a : a + FEED].tobytes()
+        yield from zip(run.common[a : a + FEED].tolist(), (raw[i : i + SPAN] for i in range(0, len(raw), SPAN)))
+
+
+def merged_blocks(runs: list[Entries], block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Merged order of the entries of all runs, laid end to end, and the bytes each shares with the one before.
 
     A loser tree over the runs. Every loser knows the bytes it shares with the winner that beat
     it, so two candidates are compared from the first byte on that is not known to be equal.
+    A block ends after ``block`` entries, as soon as the next one has other anchor bytes.
     """
-    firsts = np.cumsum([0] + [len(r.right) for r in runs]).tolist()
-    words = [[raw[i : i + SPAN] for i in range(0, len(raw), SPAN)] for raw in (r.right.tobytes() for r in runs)]
-    commons = [r.common.tolist() for r in runs]
-    sizes = [len(w) for w in words]
+    number = np.cumsum([0] + [len(r.right) for r in runs]).tolist()  # of the entry each run stands at
+    feeds = [_feed(r) for r in runs]
+    end = (-1, b"")
+    first, word = [list(x) for x in zip(*(next(f, end) for f in feeds))] if runs else ([], [])
     leaves = 1
     while leaves < len(runs):
         leaves *= 2
-    place = [0] * leaves  # the entry each run stands at
     loser, shared = [-1] * leaves, [-1] * leaves
 
     def play(node: int) -> tuple[int, int]:
         """The first winner below a node, filling in losers on the way; runs at their end lose."""
         if node >= leaves:
             run = node - leaves
-            return (run, 0) if run < len(runs) and sizes[run] else (run, -1)
+            return (run, first[run]) if run < len(runs) else (run, -1)
         one, one_shared = play(2 * node)
         other, other_shared = play(2 * node + 1)
         if other_shared < 0 or one_shared < 0:
@@ -198,7 +213,7 @@ def merge_runs(runs: list[Entries]) -> tuple[np.ndarray, np.ndarray]:
                 one, one_shared, other, other_shared = other, other_shared, one, one_shared
             loser[node], shared[node] = other, other_shared
             return one, one_shared
-        a, b, i = words[one][0], words[other][0], 0
+        a, b, i = word[one], word[other], 0
         while i < SPAN and a[i] == b[i]:
             i += 1
         if i < SPAN and b[i] < a[i]:
@@ -207,14 +222,15 @@ def merge_runs(runs: list[Entries]) -> tuple[np.ndarray, np.ndarray]:
         return one, 0
 
     out, out_shared = [], []
-    run, common = play(1) if leaves > 1 else (0, 0 if sizes and sizes[0] else -1)
+    run, common = play(1) if leaves > 1 else (0, first[0] if first else -1)
     while common >= 0:
-        at = place[run]
-        out.append(firsts[run] + at)
+        if common < GRAM and len(out) >= block:
+            yield np.array(out, np.int64), np.array(out_shared, np.int64)
+            out, out_shared = [], []
+        out.append(number[run])
         out_shared.append(common)
-        at += 1
-        place[run] = at
-        common = commons[run][at] if at < sizes[run] else -1
+        number[run] += 1
+        common, word[run] = next(feeds[run], end)
         node = (run + leaves) >> 1
         while node:
             known = shared[node]
@@ -222,42 +238,61 @@ def merge_runs(runs: list[Entries]) -> tuple[np.ndarray, np.ndarray]:
                 loser[node], run, shared[node], common = run, loser[node], common, known
             elif known == common >= 0:
                 other = loser[node]
-                a, b, i = words[run][place[run]], words[other][place[other]], known
-                while i < SPAN and a[i] == b[i]:
-                    i += 1
-                shared[node] = i
-                if i < SPAN and b[i] < a[i]:
-                    loser[node], run = run, other
+                a, b = word[run], word[other]
+                if a == b:
+                    shared[node] = SPAN
+                else:
+                    i = known
+                    while a[i] == b[i]:
+                        i += 1
+                    shared[node] = i
+                    if b[i] < a[i]:
+                        loser[node], run = run, other
             node >>= 1
-    return np.array(out, np.int64), np.array(out_shared, np.int64)
+    if out:
+        yield np.array(out, np.int64), np.array(out_shared, np.int64)
+
+
+def merge_runs(runs: list[Entries]) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks of ``merged_blocks`` as one."""
+    order, shared = zip(*merged_blocks(runs), (np.zeros(0, np.int64),) * 2)
+    return np.concatenate(order), np.concatenate(shared)
 
 
-def smallest_by_place(runs: list[Entries]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For every place of the anchor: entries (all runs end to end) with a smaller document, and that document.
+def smallest_by_place(runs: list[Entries], block: int = BLOCK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Entries (all runs end to end) with a smaller document, the first of the places, how many more follow, and that document.
 
-    At place o the string of an entry is its o nearest left bytes and its first SPAN - o right
-    ones. Entries that share these right bytes are neighbours in merged order; their left bytes
-    are compared by a 64-bit hash.
+    At place o of the anchor the string of an entry is its o nearest left bytes and its first SPAN - o
+    right ones. Entries that share these right bytes are neighbours in merged order and in one block;
+    their left bytes are compared by a 64-bit hash.
     """
-    order, shared = merge_runs(runs)
-    if not len(order):
+    if not runs:
         return
-    right_size, left_size = (np.concatenate([getattr(r, n) for r in runs])[order].astype(np.int64) for n in ("right_size", "left_size"))
-    left = np.concatenate([r.left for r in runs])[order]
-    own = np.concatenate([r.smallest for r in runs])[order]
-    left_hash = np.zeros(len(order), np.uint64)
-    for place in range(PLACES):
-        if place:
-            left_hash = left_hash * np.uint64(0x2545F4914F6CDD1D) + left[:, place - 1] + np.uint64(1)
-        group = np.cumsum(shared < SPAN - place)
-        here = np.flatnonzero((SPAN - right_size <= place) & (place <= left_size))
-        here = here[np.bincount(group[here], minlength=int(group[-1]) + 1)[group[here]] > 1]
-        if not len(here):
-            continue
-        key = mixed(left_hash[here] ^ mixed(group[here].astype(np.uint64)))
-        by_key = np.argsort(key, kind="stable")
-        here, key = here[by_key], key[by_key]
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        least = np.repeat(np.minimum.reduceat(own[here], heads), np.diff(np.r_[heads, len(here)]))
-        smaller = least < own[here]
-        yield place, order[here[smaller]], least[smaller]
+    every = [np.concatenate([getattr(r, n) for r in runs]) for n in ("right_size", "left_size", "left", "smallest")]
+    for order, shared in merged_blocks(runs, block):
+        right_size, left_size, left, own = (x[order] for x in every)
+        left_hash = np.zeros(len(order), np.uint64)
+        # The range of places that each entry is in, and its document; NO_PLACE ends what has not begun.
+        begun, ended, known = np.zeros(len(order), np.uint8), np.full(len(order), NO_PLACE), np.zeros(len(order), np.int64)
+        for place in range(PLACES):
+            if place:
+                left_hash = left_hash * np.uint64(0x2545F4914F6CDD1D) + left[:, place - 1] + np.uint64(1)
+            group = np.cumsum(shared < SPAN - place)
+            here = np.flatnonzero((right_size >= SPAN - place) & (place <= left_size))
+            here = here[np.bincount(group[here], minlength=int(group[-1]) + 1)[group[here]] > 1]
+            if not len(here):
+                continue
+            key = mixed(left_hash[here] ^ mixed(group[here].astype(np.uint64)))
+            by_key = np.argsort(key, kind="stable")
+            here, key = here[by_key], key[by_key]
+            heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            least = np.repeat(np.minimum.reduceat(own[here], heads), np.diff(np.r_[heads, len(here)]))
+            smaller = least < own[here]
+            here, least = here[smaller], least[smaller]
+            fresh = (ended[here] != place) | (known[here] != least)
+            over = here[fresh & (ended[here] != NO_PLACE)]
+            yield order[over], begun[over], ended[over] - begun[over] - np.uint8(1), known[over]
+            begun[here[fresh]] = place
+            ended[here], known[here] = place + 1, least
+        over = np.flatnonzero(ended != NO_PLACE)
+        yield order[over], begun[over], ended[over] - begun[over] - np.uint8(1), known[over]

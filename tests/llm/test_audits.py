@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -153,6 +154,32 @@ def test_merge_gives_sorted_order():
         assert n == common
 
 
+def copied_runs(text, copies):
+    laid = suffix_runs.AnchoredTexts([text], np.ones(1, bool))
+    every = np.arange(len(laid.begin))
+    return [suffix_runs.Entries.of(laid, every, np.array([n]))[0] for n in range(copies)]
+
+
+def test_blocks_of_a_merge_give_the_same_documents():
+    rng = random.Random(3)
+    runs = copied_runs(bytes(rng.choice(b"ab") for _ in range(2000)), 2) + copied_runs(bytes(rng.choice(b"a ") for _ in range(2000)), 3)
+    places = lambda block: sorted((int(e), p, int(d)) for es in suffix_runs.smallest_by_place(runs, block) for e, a, n, d in zip(*es) for p in range(a, a + n + 1))
+    assert places(1) == places(50) == places(10**9) != []
+    assert len(list(suffix_runs.merged_blocks(runs, 50))) > 5
+
+
+def test_a_slice_of_repeated_suffixes_is_merged_in_little_memory():
+    rng = random.Random(1)
+    words = [bytes(rng.choices(b"abcdefghijklmnop", k=6)) for _ in range(3000)]
+    runs = copied_runs(b" ".join(rng.choices(words, k=40000)), 6)
+    entries = suffix_dedup._rows([(n, suffix_dedup.ENTRIES, 0, e.to_bytes()) for n, e in enumerate(runs)])
+    tracemalloc.start()
+    rows = sum(batch.num_rows for batch in suffix_dedup._merged(iter([entries])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 5 and peak < 400 * sum(len(e.right) for e in runs)
+
+
 def digest(*parts):
     return sha256("".join(parts).encode()).hexdigest()
 
