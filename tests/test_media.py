@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from farelane.functions.text import base64_length, base64_line
-from farelane.sinks.objects import put_object, write_objects
+from farelane.sinks.objects import get_objects, put_object, write_objects
 from farelane.sources.files import read_objects
 from farelane.sources.streams import text_messages
 from farelane.streaming import media
@@ -138,3 +138,25 @@ def test_streams_read_a_table_that_is_a_file_or_a_folder(spark, tmp_path, files)
     assert sorted(spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(rows.collect())
     for name in ("media_stream_objects", "media_stream_speech", "media_stream_files"):
         assert QUERIES[name](spark, str(tmp_path)).count() == 38
+
+
+def test_stored_files_are_listed_and_read_by_tasks(spark, tmp_path):
+    names = ["a.jpg", "x/b.jpg", "x/y/z/c d%20ü.jpg", "x/y/empty.jpg", "x/_hidden.jpg", ".hidden/e.jpg", "x/_k=1/f.gz", *(f"many/{n}.jpg" for n in range(5000))]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else name.encode())
+    (tmp_path / "x" / "nothing").mkdir()
+    got = get_objects(spark, tmp_path.as_uri())
+    rows = sorted((r["path"], r["length"], bytes(r["content"])) for r in got.collect())
+    assert rows == sorted((n, len(n.encode()), n.encode()) for n in names if "empty" not in n and "hidden" not in n)
+    whole = read_objects(spark, str(tmp_path)).selectExpr("path", "length", "content").collect()
+    assert rows == sorted((r["path"].split(f"{tmp_path}/", 1)[1], r["length"], bytes(r["content"])) for r in whole)
+    assert got.rdd.getNumPartitions() == 1 and not any(f.endswith("jpg") for f in got.inputFiles())
+
+
+def test_the_driver_does_not_list_the_files_of_a_media_stream(spark, tmp_path):
+    rows = [(i, f"text {i}") for i in range(1, 300)]
+    spark.createDataFrame(rows, "doc_id long, text string").toPandas().to_parquet(tmp_path / "documents.parquet")
+    stored = QUERIES["media_stream_files"](spark, str(tmp_path))
+    assert not any("/store/" in f for f in stored.inputFiles())
+    assert stored.count() == sum(i % 50 != 7 for i, _ in rows)

@@ -33,10 +33,10 @@ from farelane.plans.rollup import fact_rollup
 from farelane.schemas import GREEN_AFTER, ZONE_LOOKUP
 from farelane.scratch import qualified, scratch_folder
 from farelane.sinks.exports import write_csv, write_text_messages
-from farelane.sinks.objects import put_object
+from farelane.sinks.objects import get_objects, put_object
 from farelane.sinks.store import SOURCE_KEYS, append, read_day, read_month_to_date, replace_source, write_store
 from farelane.sinks.tables import publish
-from farelane.sources.files import read_csv, read_latest, read_month_files, read_objects, read_recursive, read_table, read_zone_lookup, run_query
+from farelane.sources.files import read_csv, read_latest, read_month_files, read_recursive, read_table, read_zone_lookup, run_query
 from farelane.sources.streams import table_stream, text_messages
 from farelane.streaming import changes, media
 from workload import tables
@@ -939,6 +939,4 @@ def media_stream_files(spark, sf_dir):
         _media_stream(spark, sf_dir), "image", folder, "at", lambda: put_object(store), once=True
     )
     _finish(running)
-    files = read_objects(spark, f"{folder}/store")
-    path = F.regexp_extract("path", r"/store/(.*)$", 1)
-    return files.select(path.alias("path"), F.col("length").alias("n_bytes"), F.md5("content").alias("digest"))
+    return get_objects(spark, store).select("path", F.col("length").alias("n_bytes"), F.md5("content").alias("digest"))
