@@ -185,11 +185,12 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = [Entries.from_bytes(r.pop("data")) for r in held]
         firsts = np.cumsum([0] + [len(r.right) for r in runs])
         found = [(f[0].astype("<u4"), *f[1:]) for f in smallest_by_place(runs)]
+        del runs
         if not found:
             return _rows([])
-        entry, place, more, least = (np.concatenate(f) for f in zip(*found))
-        order = np.argsort(entry, kind="stable")
-        entry, place, more, least = entry[order], place[order], more[order], least[order]
+        found = [np.concatenate(f) for f in zip(*found)]
+        order = np.argsort(found[0], kind="stable")
+        entry, place, more, least = (found.pop(0)[order] for _ in range(4))
         cuts = np.searchsorted(entry, firsts)
         out = []
         for row, first, a, b in zip(held, firsts.tolist(), cuts.tolist(), cuts[1:].tolist()):

@@ -268,7 +268,11 @@ def smallest_by_place(runs: list[Entries], block: int = BLOCK) -> Iterator[tuple
     """
     if not runs:
         return
-    every = [np.concatenate([getattr(r, n) for r in runs]) for n in ("right_size", "left_size", "left", "smallest")]
+    every, cuts = [], np.cumsum([len(r.right) for r in runs])[:-1]
+    for name in ("right_size", "left_size", "left", "smallest"):
+        every.append(np.concatenate([getattr(r, name) for r in runs]))
+        for r, part in zip(runs, np.split(every[-1], cuts)):  # runs keep views, so nothing is held twice
+            setattr(r, name, part)
     for order, shared in merged_blocks(runs, block):
         right_size, left_size, left, own = (x[order] for x in every)
         left_hash = np.zeros(len(order), np.uint64)
