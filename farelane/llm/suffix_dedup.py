@@ -288,6 +288,7 @@ def drop_repeated_strings(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFr
     asked = runs.unionByName(mapped(prints, _repeated, RUNS_DDL))
     entries = mapped(asked.repartition("run").sortWithinPartitions("run", "kind"), _entries(slices), RUNS_DDL)
     home = F.when(F.col("kind") == ENTRIES, F.col("slice").cast("long")).otherwise(-1 - F.col("run"))
-    dealt = entries.withColumn("home", home).repartition("home").sortWithinPartitions("home").drop("home")
+    # A task's rows may be one Arrow batch, so few slices should meet in one task.
+    dealt = entries.withColumn("home", home).repartition(4 * slices, "home").sortWithinPartitions("home").drop("home")
     answers = runs.unionByName(mapped(dealt, _merged, RUNS_DDL))
     return mapped(answers.repartition("run").sortWithinPartitions("run", "kind"), _kept, KEPT_DDL)
